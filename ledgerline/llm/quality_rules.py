@@ -38,19 +38,23 @@ def _holds(x: np.ndarray, terms: list[tuple[int, str, float]]) -> np.ndarray:
     return out
 
 
-def _best_term(x: np.ndarray, junk: np.ndarray, cuts: list[np.ndarray]) -> tuple[float, tuple[int, str, float]] | None:
-    """The threshold with the largest information gain of the junk it still covers."""
-    p0, n0 = junk.sum(), (~junk).sum()
-    base, best = np.log2((p0 + 1) / (p0 + n0 + 2)), None
+def _best_term(x: np.ndarray, junk: np.ndarray, cuts: list[np.ndarray], precise: float) -> tuple[int, str, float] | None:
+    """The threshold that covers the most junk with precision `precise`; if none is so precise, that with the largest gain.
+
+    The gain is the junk covered times the bits by which the rate of junk rises.
+    """
+    n0 = (~junk).sum()
+    base, best = np.log2((junk.sum() + 1) / (len(junk) + 2)), None
     for j, edges in enumerate(cuts):
         for sign in (">=", "<="):
             for at in edges:
                 on = x[:, j] >= at if sign == ">=" else x[:, j] <= at
-                p, n = (on & junk).sum(), (on & ~junk).sum()
+                p, n = int((on & junk).sum()), int((on & ~junk).sum())
                 gain = p * (np.log2((p + 1) / (p + n + 2)) - base)
-                if p and n < n0 and (best is None or gain > best[0] + 1e-12):
-                    best = (float(gain), (j, sign, float(at)))
-    return best
+                worth = (p >= 2 and p >= precise * (p + n), p if p >= precise * (p + n) else float(gain))
+                if p and n < n0 and gain > 0 and (best is None or worth > best[0]):
+                    best = (worth, (j, sign, float(at)))
+    return best and best[1]
 
 
 def learn_rules(x: np.ndarray, junk: np.ndarray, most_rules: int = 12, most_terms: int = 3, least_precision: float = 0.9, seed: int = 3) -> list[list[tuple[int, str, float]]]:
@@ -66,13 +70,13 @@ def learn_rules(x: np.ndarray, junk: np.ndarray, most_rules: int = 12, most_term
         prune, grow = mixed[:third], mixed[third:]
         terms: list[tuple[int, str, float]] = []
         on = grow
-        while len(terms) < most_terms and junk[on].any() and not junk[on].all():
+        while len(terms) < most_terms and junk[on].any() and junk[on].mean() < (1 + least_precision) / 2:
             edges = [np.unique(np.quantile(c, np.linspace(0, 1, 41))) for c in x[on].T]
             edges = [(e[1:] + e[:-1]) / 2 for e in edges]
-            found = _best_term(x[on], junk[on], edges)
+            found = _best_term(x[on], junk[on], edges, (1 + least_precision) / 2)
             if found is None:
                 break
-            terms.append(found[1])
+            terms.append(found)
             on = grow[_holds(x[grow], terms)]
 
         def worth(t: list[tuple[int, str, float]]) -> float:

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import contamination
+from ledgerline.llm.html_extract import extract_text
+from ledgerline.llm.mixing import mix_counts
 from ledgerline.llm.quality_ranker import score_quality, train_ranker
 from ledgerline.llm.quality_rules import judge_quality, train_rules
 from ledgerline.llm.sharding import shard_documents
+from ledgerline.llm.toxicity import score_toxicity, train_toxicity
 from ledgerline.llm.url_filter import judge_urls
 
 
@@ -26,16 +29,29 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge_quality(docs, train_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_ranker, op3_decontaminate, op4_url_filter, op6_quality_rules, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_ranker, op3_decontaminate, op4_url_filter, op5_toxicity, op6_quality_rules, op7_html_extract, op8_mixing, op9_sharding)}
 
 _JUMP = """
 jump AS (
