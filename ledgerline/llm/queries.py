@@ -8,8 +8,10 @@ from ledgerline.llm.common import table
 from ledgerline.llm.decontaminate import contamination
 from ledgerline.llm.html_extract import extract_text
 from ledgerline.llm.mixing import mix_counts
+from ledgerline.llm.ngram_join import near_duplicates
 from ledgerline.llm.quality_ranker import score_quality, train_ranker
 from ledgerline.llm.quality_rules import judge_quality, train_rules
+from ledgerline.llm.quotation import link_quotes
 from ledgerline.llm.sharding import shard_documents
 from ledgerline.llm.toxicity import score_toxicity, train_toxicity
 from ledgerline.llm.url_filter import judge_urls
@@ -20,6 +22,10 @@ def op1_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_ranker(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -51,7 +57,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_ranker, op3_decontaminate, op4_url_filter, op5_toxicity, op6_quality_rules, op7_html_extract, op8_mixing, op9_sharding)}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_ranker, op2_quotation, op3_decontaminate, op4_url_filter, op5_toxicity, op6_quality_rules, op7_html_extract, op8_mixing, op9_sharding, op10_ngram_join)}
 
 _JUMP = """
 jump AS (
