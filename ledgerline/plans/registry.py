@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from ledgerline.plans import flow_queries, gtid_queries, snapshot_queries
+
+PARTS = (gtid_queries, flow_queries, snapshot_queries)
+QUERIES = {name: f for part in PARTS for name, f in part.QUERIES.items()}
+ORACLES = {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
