@@ -9,6 +9,7 @@ from ledgerline.llm.decontaminate import contamination
 from ledgerline.llm.html_extract import extract_text
 from ledgerline.llm.mixing import mix_counts
 from ledgerline.llm.ngram_join import near_duplicates
+from ledgerline.llm.oracles import ORACLES
 from ledgerline.llm.quality_ranker import score_quality, train_ranker
 from ledgerline.llm.quality_rules import judge_quality, train_rules
 from ledgerline.llm.quotation import link_quotes
@@ -61,19 +62,6 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_ranker, op2_quotation, op3_decontaminate, op4_url_filter, op5_toxicity, op6_quality_rules, op7_html_extract, op8_mixing, op9_sharding, op10_ngram_join)}
+__all__ = ["ORACLES", "QUERIES"]
 
-_JUMP = """
-jump AS (
-  SELECT DISTINCT coalesce(doc_id, 0) AS id, n, (coalesce(doc_id, 0)::HUGEINT + CASE WHEN coalesce(doc_id, 0) < 0 THEN 18446744073709551616::HUGEINT ELSE 0::HUGEINT END) AS k,
-         -1::BIGINT AS b, 0::BIGINT AS j
-  FROM documents, (VALUES (8), (9)) AS sizes(n)
-  UNION ALL
-  SELECT id, n, k2, j, floor((j + 1)::DOUBLE * (2147483648.0::DOUBLE / ((k2 // 8589934592::HUGEINT)::DOUBLE + 1.0)))::BIGINT
-  FROM (SELECT *, ((k % 4294967296::HUGEINT) * 2862933555777941757::HUGEINT
-                   + ((k // 4294967296::HUGEINT) * 2862933555777941757::HUGEINT % 4294967296::HUGEINT) * 4294967296::HUGEINT + 1::HUGEINT) % 18446744073709551616::HUGEINT AS k2
-        FROM jump WHERE j < n)
-),
-placed AS (SELECT id, max(CASE WHEN n = 8 THEN b END)::INTEGER AS shard, max(CASE WHEN n = 9 THEN b END)::INTEGER AS grown_shard FROM jump WHERE j >= n GROUP BY id)
-"""
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_ranker, op2_quotation, op3_decontaminate, op4_url_filter, op5_toxicity, op6_quality_rules, op7_html_extract, op8_mixing, op9_sharding, op10_ngram_join)}

@@ -46,15 +46,15 @@ def assign_shards(df: DataFrame, shards: int = 8, key: str = "doc_id") -> DataFr
     return df.withColumns({"shard": jump_shard(F.col(key), shards), "grown_shard": jump_shard(F.col(key), shards + 1)})
 
 
-def number_slots(rows: DataFrame, group: str, order: list[str], buckets: int = 2048) -> DataFrame:
-    """Numbers the rows of each group from 0 without gaps, in the order of a bucket (by hash of `order`) and then `order`.
+def number_slots(rows: DataFrame, group: str, order: list[str], spread: Column, buckets: int = 2048) -> DataFrame:
+    """Numbers the rows of each group from 0 without gaps, in the order of a bucket (`spread` modulo buckets), then `order`.
 
     Equal rows are counted before the shuffle and come back with consecutive slots, so that neither a large group nor
     many copies of a row meet in one task; only bucket totals, at most `buckets` a group, are summed in order.
     """
     once = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    once = once.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    totals = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")).groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    once = once.withColumn("_bucket", F.pmod(spread, F.lit(buckets)).cast("int"))
+    totals = rows.withColumn("_bucket", F.pmod(spread, F.lit(buckets)).cast("int")).groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     within = Window.partitionBy(group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -75,5 +75,6 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    slots = number_slots(assign_shards(narrow, shards), "shard", ["doc_id", "text_crc32", "size"])
+    spread = F.coalesce(F.col("doc_id") % 2048, F.lit(0)) + F.col("text_crc32")
+    slots = number_slots(assign_shards(narrow, shards), "shard", ["doc_id", "text_crc32", "size"], spread)
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
