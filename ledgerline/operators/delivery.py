@@ -77,7 +77,8 @@ def xid_digest(format_id: Column, gtrid: Column, bqual: Column, namespace: str =
     """SHA-256 of the namespaced, length-prefixed two-phase id, so that no two ids share a digest."""
 
     def little(n: Column) -> Column:
-        return F.reverse(F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0")))
+        digits = F.lpad(F.hex(n.cast("bigint")), 8, "0")
+        return F.unhex(F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)]))
 
     def framed(x: Column) -> Column:
         return F.concat(little(F.octet_length(x)), x.cast("binary"))

@@ -1,0 +1,86 @@
+"""Writes events in the captured layout, for fixtures and round trips."""
+
+from __future__ import annotations
+
+import datetime as dt
+import struct
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+
+from ledgerline.sources.binlog import HEADER, CHECKSUM, PAYLOAD, TABLE_MAP, XID
+
+
+def event(kind: int, body: bytes, timestamp: int = 0, server_id: int = 1, log_pos: int = 0, checksum: bool = True) -> bytes:
+    size = HEADER + len(body) + (CHECKSUM if checksum else 0)
+    raw = struct.pack("<IBIIIH", timestamp, kind, server_id, size, log_pos, 0) + body
+    return raw + struct.pack("<I", zlib.crc32(raw)) if checksum else raw
+
+
+def packed(n: int) -> bytes:
+    return bytes([n]) if n < 251 else b"\xfc" + n.to_bytes(2, "little") if n < 1 << 16 else b"\xfd" + n.to_bytes(3, "little") if n < 1 << 24 else b"\xfe" + n.to_bytes(8, "little")
+
+
+def payload(inner: bytes) -> bytes:
+    """The body of a compressed-payload event around events without checksums."""
+    frame = zstandard.ZstdCompressor().compress(inner)
+
+    def field(kind: int, value: bytes) -> bytes:
+        return bytes([kind]) + packed(len(value)) + value
+
+    return field(2, packed(0)) + field(3, packed(len(inner))) + field(1, packed(len(frame))) + b"\0" + frame
+
+
+def table_map_body(table_id: int, schema: str, table: str, types: list[int], meta: bytes, names: list[str], unsigned: bytes = b"", sets: list = (), enums: list = ()) -> bytes:
+    def name(x: str) -> bytes:
+        return bytes([len(x)]) + x.encode() + b"\0"
+
+    def listed(lists) -> bytes:
+        return b"".join(packed(len(m)) + b"".join(packed(len(x)) + x.encode() for x in m) for m in lists)
+
+    tlvs = [(1, unsigned), (4, b"".join(packed(len(n)) + n.encode() for n in names)), (5, listed(sets)), (6, listed(enums))]
+    extra = b"".join(bytes([k]) + packed(len(v)) + v for k, v in tlvs if v)
+    n = len(types)
+    return table_id.to_bytes(6, "little") + b"\0\0" + name(schema) + name(table) + packed(n) + bytes(types) + packed(len(meta)) + meta + b"\0" * ((n + 7) // 8) + extra
+
+
+def rows_body(table_id: int, columns: int, images: list[bytes], update: bool = False) -> bytes:
+    """images hold their null bits; every column is present."""
+    mask = ((1 << columns) - 1).to_bytes((columns + 7) // 8, "little")
+    return table_id.to_bytes(6, "little") + b"\0\0" + b"\x02\0" + packed(columns) + mask * (2 if update else 1) + b"".join(images)
+
+
+def date_bytes(d: dt.date) -> bytes:
+    return (d.year << 9 | d.month << 5 | d.day).to_bytes(3, "little")
+
+
+def payload_events(df: DataFrame, key: str, each: int) -> DataFrame:
+    """For each row, a compressed-payload event of `each` commits numbered from key * each."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            raws = [event(PAYLOAD, payload(b"".join(event(XID, (k * each + i).to_bytes(8, "little"), checksum=False) for i in range(each)))) for k in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(["f"] * len(keys)), pa.array(keys, pa.int64()), pa.array(raws, pa.binary())], names=["file", "seq", "raw"])
+
+    return df.select(key).mapInArrow(made, "file string, seq bigint, raw binary")
+
+
+def order_events(orders: DataFrame) -> DataFrame:
+    """For each order (o_orderkey, o_orderstatus, cents, day), a file of a table map and the insert of its row."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = event(TABLE_MAP, table_map_body(9, "shop", "orders", [8, 254, 8, 10], b"\xfe\x04", ["id", "status", "cents", "day"], b"\0"))
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                key, status = r["o_orderkey"], r["o_orderstatus"].encode()
+                image = b"\0" + key.to_bytes(8, "little", signed=True) + bytes([len(status)]) + status + r["cents"].to_bytes(8, "little", signed=True) + date_bytes(r["day"])
+                rows += [(str(key), 0, head), (str(key), 1, event(30, rows_body(9, 4, [image])))]
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()))], names=["file", "seq", "raw"])
+
+    return orders.mapInArrow(made, "file string, seq bigint, raw binary")
