@@ -108,7 +108,7 @@ def non_members(rows: DataFrame, intervals: DataFrame, number: str = "gno", keys
 
 def entry_fault(entry: Column) -> Column:
     """Null for a well-formed entry, else why it is refused; never holds any of the entry's text."""
-    trimmed = F.trim(entry)
+    trimmed = F.regexp_replace(entry, r"^\s+|\s+$", "")
     ranges = F.filter(F.split(trimmed, ":"), lambda x: F.regexp_like(x, F.lit(f"^{NUMBER}-{NUMBER}$")))
     descending = F.exists(ranges, lambda r: F.split(r, "-")[0].cast("decimal(38,0)") > F.split(r, "-")[1].cast("decimal(38,0)"))
     return F.when(~F.regexp_like(trimmed, F.lit(ENTRY)), F.lit("malformed_entry")).when(descending, F.lit("descending_interval"))
