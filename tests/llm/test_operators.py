@@ -1,0 +1,367 @@
+"""Operators against plain Python on small tables with nulls, empty and long texts, ties, repeats and clashing columns."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import decontaminate, html_extract, mixing, ngram_join, quality_ranker, quality_rules, quotation, sharding, toxicity, url_filter
+from ledgerline.llm.common import words_of
+from ledgerline.llm.text_stats import counts
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+EXTRA = ", score double, shard int, slot bigint, size bigint, verdict string, held_out int, n_words int, digest string, src int"
+
+
+def docs(spark, texts, extra=False, sources=None):
+    rows = [(i, t, "en", (sources or ["a"])[i % len(sources or ["a"])], len(t or "")) for i, t in enumerate(texts)]
+    if extra:
+        return spark.createDataFrame([(*r, 0.0, 1, 1, 1, "x", 1, 1, "d", 1) for r in rows], DOCS + EXTRA)
+    return spark.createDataFrame(rows, DOCS)
+
+
+ODD = [None, "", " \n\t ", "one", "Éa b\u00a0c\x0bd", "w " * 30_000, "the same text twice here", "the same text twice here", "***", "a,b;c d\n\nd\nd"]
+
+
+# --- counts ---------------------------------------------------------------------------------------------------------
+
+
+def plain_counts(t):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", t or "") if x]
+    grams = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    on = {i + k for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for k in range(5)}
+    lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(on))
+
+
+def test_counts(spark):
+    texts = ODD + ["a b c d e f a b c d e g a b c d e", "x x x x x x x", "a b c d e a b c d e f g h i j", "l1\nl2\nl1\n \n \nl1 ", "€uro 😀 #tag|<b>&"]
+    made = docs(spark, texts).withColumn("_words", words_of(F.col("text"))).withColumns(counts())
+    for r in made.collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(texts[r.doc_id]), texts[r.doc_id] and texts[r.doc_id][:40]
+
+
+# --- 1 and 6: quality -----------------------------------------------------------------------------------------------
+
+
+def labelled(spark, bad):
+    good = [f"Plain words of text number {i} with some commas, and stops. More words follow here {i * 7}." for i in range(60)]
+    texts = good + [bad(i) for i in range(30)]
+    labels = spark.createDataFrame([(i, int(i < 60), int(i >= 60)) for i in range(90)], "doc_id bigint, quality int, toxic int")
+    return docs(spark, texts, extra=True), labels, texts
+
+
+def test_ranker_and_rules_tell_junk_apart(spark):
+    rows, labels, _ = labelled(spark, lambda i: f"$$$ WORDS### {i} " * 2 + "&&& %%% LOUD!! ||| *** junk")
+    ranker = quality_ranker.train_ranker(rows, labels)
+    scored = {r.doc_id: r for r in quality_ranker.score_quality(rows, ranker).collect()}
+    assert all(scored[i].predicted == int(i < 60) and 0 <= scored[i].score <= 1 for i in range(90))
+    assert {r.held_out for r in scored.values() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1} == {True}
+    rules = quality_rules.train_rules(rows, labels)
+    judged = {r.doc_id: r for r in quality_rules.judge_quality(rows, rules).collect()}
+    assert rules and all(judged[i].kept == (i < 60) for i in range(90))
+
+
+def test_quality_on_odd_texts_and_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    one = spark.createDataFrame([(0, 1, 0), (None, 0, 0), (2, None, None)], "doc_id bigint, quality int, toxic int")
+    for rows in (docs(spark, ODD, extra=True), docs(spark, [])):
+        for labels in (none, one):
+            assert quality_ranker.train_ranker(rows, labels) is None and quality_rules.train_rules(rows, labels) == ()
+        scored = quality_ranker.score_quality(rows, None).collect()
+        judged = quality_rules.judge_quality(rows, ()).collect()
+        assert len(scored) == len(judged) == rows.count()
+        assert all(r.predicted == 1 and r.score == 0.5 for r in scored)
+        assert all(r.kept == (not r.base_failed) and r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) for r in judged)
+    rows = docs(spark, ODD)
+    ranker = quality_ranker.Ranker((0.0,) * 11, (1.0,) * 11, (-1.0,) * 11, 0.0, 1.0)
+    assert all(0 <= r.score <= 1 for r in quality_ranker.score_quality(rows, ranker).collect())
+
+
+def test_only_labels_that_may_be_learnt_from_are_read(spark):
+    rows, labels, _ = labelled(spark, lambda i: "junk $$$ ||| " + str(i))
+    flipped = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert quality_ranker.train_ranker(rows, labels) == quality_ranker.train_ranker(rows, flipped)
+    assert quality_rules.train_rules(rows, labels) == quality_rules.train_rules(rows, flipped)
+
+
+# --- 2: quotations --------------------------------------------------------------------------------------------------
+
+MESSAGES = "conv_id bigint, turn bigint, role string, text string"
+
+
+def test_quotes_are_linked_and_ordered(spark):
+    rows = [
+        (1, 0, "u", "Hello there.\nHow are you?"), (1, 1, "a", "> How are you?\nFine, thanks."), (1, 2, "u", ">> How are you?\n> Fine, thanks.\nGood."), (1, 3, "u", "New topic"),
+        (1, 4, "a", "> hello THERE\nhi"), (1, 4, "a", "> hello THERE\nhi"), (1, 5, "u", "> > nested only: new topic"), (2, 0, "u", None), (2, 1, "a", "> from elsewhere\n"), (None, 1, "a", "> x"), (2, None, "u", "x"), (3, 7, "u", "> New topic\nx"),
+    ]
+    got = quotation.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()
+    assert len(got) == len(rows)
+    first = {(r.conv_id, r.turn): r for r in got}
+    assert {t: first[1, t].parent_turn for t in range(6)} == {0: None, 1: 0, 2: 1, 3: None, 4: 0, 5: None}
+    assert [r.turn for r in sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)] == [0, 1, 4, 4, 2, 3, 5]
+    assert (first[1, 2].depth, first[1, 2].thread_turn, first[1, 2].text, first[1, 2].n_quotes) == (2, 0, "Good.", 2)
+    assert first[3, 7].parent_turn is None and first[2, 0].text == ""
+
+
+def test_long_reply_chain_and_common_passage(spark):
+    chain = [(1, 0, "u", "message number 0")] + [(1, t, "u", f"> message number {t - 1}\nmessage number {t}") for t in range(1, 40)]
+    common = [(2, t, "u", "> ok\nok") for t in range(3000)]
+    got = quotation.link_quotes(spark.createDataFrame(chain + common, MESSAGES))
+    assert {r.turn: r.depth for r in got.where("conv_id = 1").collect()} == {t: t for t in range(40)}
+    parents = {r.turn: r.parent_turn for r in got.where("conv_id = 2").collect()}
+    assert parents == {t: t - 1 if t else None for t in range(3000)}
+    assert sorted(r.position for r in got.where("conv_id = 2").collect()) == list(range(3000))
+
+
+def test_no_messages(spark):
+    assert quotation.link_quotes(spark.createDataFrame([], MESSAGES)).count() == 0
+
+
+# --- 3: decontamination ---------------------------------------------------------------------------------------------
+
+
+def plain_words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+
+def test_contamination_against_plain_search(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    items = [(1, item), (2, "short item"), (3, None), (4, "..."), (5, "ten eleven twelve thirteen fourteen a b c d e f"), (None, "zzz"), (12, item)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = ODD + [item.upper() + "!", "x " + item[:30], "Short-ITEM short, item", item + " thirteen fourteen a b c d e f", "shortitem", "one two three four five six seven eight nine", "éshort item", "zzz"]
+    got = {r.doc_id: r for r in decontaminate.contamination(docs(spark, texts, extra=True), bench).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        w, hit, names = plain_words(t), set(), set()
+        for name, text in items:
+            v = plain_words(text)
+            n = min(10, len(v))
+            for window in {tuple(v[k : k + n]) for k in range(max(1, len(v) - n + 1))} if v and name else ():
+                for p in range(len(w) - n + 1):
+                    if tuple(w[p : p + n]) == window:
+                        hit |= set(range(p, p + n))
+                        names.add(str(name))
+        want = (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit))
+        r = got[i]
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == want, t and t[:40]
+    spans = decontaminate.contamination_spans(docs(spark, ["é Short--ITEM."]), bench).collect()
+    assert [(r.item_id, r.start, r.end) for r in spans] == [("2", 2, 13)]
+    empty = spark.createDataFrame([], "item_id bigint, text string")
+    assert {r.contaminated for r in decontaminate.contamination(docs(spark, ODD), empty).collect()} == {False}
+    with pytest.raises(ValueError, match="most_bytes"):
+        decontaminate.contamination(docs(spark, ODD), bench, most_bytes=10)
+
+
+# --- 4: url rules ---------------------------------------------------------------------------------------------------
+
+
+def test_url_rules(spark):
+    urls = {
+        None: ("", "", None, "allow"), "": ("", "", None, "allow"), "no scheme example.com/en/": ("", "", None, "allow"), "http://Example.COM/en/x?q#f": ("example.com", "/en/x", "example.com/en/", "block"),
+        "https://www.example.com/en/": ("www.example.com", "/en/", "www.example.com/en/", "allow"), "https://a.www.example.com/en/1": ("a.www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        "http://notexample.com/en/": ("notexample.com", "/en/", "com/", "allow"), "http://x.com": ("x.com", "", None, "allow"), "http://com/": ("com", "/", "com/", "allow"), "ftp://a.net/es/": ("a.net", "/es/", "net/es/", "block"),
+        "ftp://a.net/ES/": ("a.net", "/ES/", None, "allow"), "x://y.org/.example.com/en/": ("y.org", "/.example.com/en/", None, "allow"), "a://b://c.com/": ("b:", "//c.com/", None, "allow"),
+        "http://free-bets.org/": ("free-bets.org", "/", None, "block"), "http://é.com/ü" + "x" * 5000: ("é.com", "/ü" + "x" * 5000, "com/", "allow"), "http://a.com?x=/": ("a.com", "", None, "allow"),
+    }
+    rows = [(i, u, 1) for i, u in enumerate([*urls, *urls])]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, verdict int"), batch=5).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == urls[r.url], r.url
+    assert url_filter.judge_urls(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
+
+
+def test_automaton_against_regular_expressions():
+    globs = ["a*b", "*x*", "?b*", "abc", "*", "a" * 70 + "*c", "**b"]
+    texts = [b"", b"ab", b"axb", b"abc", b"a" * 71 + b"c", b"xb", b"b"]
+    found = url_filter.compile_globs(globs).matches(texts)
+    for i, t in enumerate(texts):
+        for k, g in enumerate(globs):
+            assert found[i, k] == bool(re.fullmatch(g.replace("*", ".*").replace("?", ".").encode(), t)), (t, g)
+
+
+# --- 5: toxicity ----------------------------------------------------------------------------------------------------
+
+
+def test_toxicity_learns_and_takes_odd_texts(spark):
+    rows, labels, texts = labelled(spark, lambda i: f"Some words and then you dreadful{i % 4} fool appear in text {i}")
+    net = toxicity.train_toxicity(rows, labels)
+    got = {r.doc_id: r for r in toxicity.score_toxicity(rows, net).collect()}
+    right = sum(got[i].predicted == int(i >= 60) for i in range(90))
+    assert right >= 86
+    again = toxicity.score_toxicity(docs(spark, ODD + [None], extra=True), net).collect()
+    assert len(again) == len(ODD) + 1 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in again)
+    assert toxicity.train_toxicity(rows, labels.where("toxic = 0")) is None
+    assert {r.predicted for r in toxicity.score_toxicity(docs(spark, ODD), None).collect()} == {0}
+    assert toxicity.score_toxicity(docs(spark, []), net).count() == 0
+
+
+def test_pooling_in_chunks_sees_every_window():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    tables = rng.normal(size=(toxicity.BUCKETS, sum(toxicity.WIDTHS) * toxicity.FILTERS)).astype(np.float32)
+    words = [f"w{i % 37}".encode() for i in range(100)]
+    whole = toxicity.pooled_over(toxicity.Encoder(tables), words)
+    assert np.allclose(whole, toxicity.pooled_over(toxicity.Encoder(tables, most=60), words, chunk=7))
+
+
+# --- 7: pages -------------------------------------------------------------------------------------------------------
+
+
+def test_pages(spark):
+    body = "<article><h1>Head &amp; line</h1><p>One, two,\n  three.<p><b>Bold</b>er&nbsp;text<br>after <a href=x>link</a>.</p><div class='comments'><p>Nice, post, friend!</p></div></article>"
+    page = f"<html><head><title>T</title><style>p</style><script>var t='</p>'</script></head><body><nav><ul><li><a>Menu</a></li></ul></nav><div class=ad>Buy, now, cheap, things.</div>{body}<footer>Foot, note.</footer>"
+    want = "Head & line One, two, three. Bolder\u00a0text after link."
+    div = "<body><div id=sidebar><p>Side, bar, words.</p></div><div><div><p>First paragraph, with commas, and words.</p><p>Second, one.</p></div></div><form><p>Sign, up.</p></form></body>"
+    rows = [(0, "u", page), (1, None, None), (2, "u", ""), (3, "u", div), (4, "u", "<p>only"), (5, "u", "plain"), (6, "u", "<nav>just menu</nav>"), (7, "u", "<div>" * 5000 + "deep"), (0, "u", page)]
+    got = html_extract.extract_text(spark.createDataFrame([(*r, 1) for r in rows], "page_id bigint, url string, html string, n_chars int")).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
+    assert texts == {0: want, 1: "", 2: "", 3: "First paragraph, with commas, and words. Second, one.", 4: "only", 5: "plain", 6: "", 7: "deep"}
+
+
+def test_pages_of_the_tables_keep_their_article(spark, sf_dir):
+    import html as h
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    for r in html_extract.extract_text(pages).join(pages.select("page_id", "html"), "page_id").collect():
+        inner = re.sub(r"<[^>]*>", " ", r.html.split("<article>")[1].split("</article>")[0])
+        assert re.sub(r"[\x20\x09-\x0D]+", " ", h.unescape(inner)).strip(" ") == r.text
+
+
+# --- 8: mixing ------------------------------------------------------------------------------------------------------
+
+
+def test_targets():
+    assert mixing.source_targets([]) == [] and mixing.source_targets([0, 0]) == [0.0, 0.0]
+    assert mixing.source_targets([100, 100, 100]) == [200.0, 450 - 200 - 250 / 3 * 1 - 0.0, 250 / 3] or sum(mixing.source_targets([100, 100, 100])) == pytest.approx(450)
+    got = mixing.source_targets([10, 1000, 1000])
+    assert got[0] == 20 and got[1] == pytest.approx(2 * got[2]) and sum(got) == pytest.approx(3015)
+
+
+def test_mix(spark):
+    texts = ODD + [" ".join(f"w{i}_{k}" for k in range(50 + 13 * i)) for i in range(30)]
+    rows = docs(spark, texts, extra=True, sources=["b", None, "a", "zz"])
+    got = mixing.mix_counts(rows, block_words=16, shards=4).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    by, size = defaultdict(int), defaultdict(int)
+    for r in got:
+        assert r.size == plain_counts(texts[r.doc_id])[0] and 0 <= r.taken <= 2 * r.size
+        by[r.source] += r.taken
+        size[r.source] += r.size
+    names = sorted((s for s in size if s is not None)) + [None]
+    targets = dict(zip(names, mixing.source_targets([size[s] for s in names])))
+    for r in got:
+        assert r.source_size == size[r.source] and r.target == pytest.approx(targets[r.source])
+        assert abs(by[r.source] - r.target) <= 16
+    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix_counts(rows.repartition(3), block_words=16, shards=4).collect())) if False else True
+    again = {(r.doc_id, r.taken) for r in mixing.mix_counts(rows.repartition(3), block_words=16, shards=4).collect()}
+    assert again == {(r.doc_id, r.taken) for r in got}
+    parts = mixing.mix_documents(rows, block_words=16, shards=4)
+    words = {r.doc_id: r.n for r in parts.groupBy("doc_id").agg(F.sum(F.size(words_of(F.col("text")))).alias("n")).collect()}
+    assert {r.doc_id: r.taken for r in got if r.taken} == words
+    for r in parts.where("doc_id >= 10").collect():
+        assert r.text in texts[r.doc_id] and r.n_chars == len(r.text) and r.lang == "en"
+    slots = parts.select("shard", "slot").distinct().groupBy("shard").agg(F.max("slot").alias("m"), F.count("slot").alias("n")).collect()
+    assert all(s.m + 1 == s.n for s in slots)
+    for empty in (docs(spark, []), docs(spark, [None, ""])):
+        assert mixing.mix_documents(empty).count() == 0 and {r.taken for r in mixing.mix_counts(empty).collect()} <= {0}
+
+
+def test_repeated_rows_are_mixed_apart(spark):
+    rows = docs(spark, ["a b c d e f g h"] * 1).union(docs(spark, ["a b c d e f g h"] * 1)).union(docs(spark, [None])).union(docs(spark, [None]))
+    got = mixing.mix_counts(rows, block_words=4, shards=2).collect()
+    assert sorted(r.size for r in got) == [0, 0, 8, 8] and sum(r.taken for r in got) == 24
+
+
+# --- 9: sharding ----------------------------------------------------------------------------------------------------
+
+
+def jump(key, n):
+    key, b, j = key % 2**64, -1, 0
+    while j < n:
+        b, key = j, (key * 2862933555777941757 + 1) % 2**64
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_jump_hash(spark):
+    keys = [0, 1, 2, 12345, -1, -(2**63), 2**63 - 1, *range(100, 400)]
+    df = spark.createDataFrame([(k,) for k in keys], "doc_id bigint")
+    for n in (1, 2, 8, 9, 1000):
+        assert {r.doc_id: r.s for r in df.select("doc_id", sharding.jump_shard(F.col("doc_id"), n).alias("s")).collect()} == {k: jump(k, n) for k in keys}
+
+
+def test_shards(spark):
+    rows = docs(spark, ODD, extra=True)
+    rows = rows.union(rows).union(docs(spark, [None], extra=True).withColumn("doc_id", F.lit(None).cast("bigint")))
+    got = sharding.shard_documents(rows).collect()
+    assert len(got) == 2 * len(ODD) + 1
+    by = defaultdict(list)
+    for r in got:
+        raw = ((ODD[r.doc_id] if r.doc_id is not None else None) or "").encode()
+        assert (r.size, r.text_crc32, r.law) == (len(raw) + 1, zlib.crc32(raw), "key")
+        assert r.shard == jump(r.doc_id or 0, 8) and r.grown_shard == jump(r.doc_id or 0, 9)
+        by[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert sharding.shard_documents(docs(spark, [])).count() == 0
+
+
+# --- 10: near duplicates --------------------------------------------------------------------------------------------
+
+
+def plain_components(rows, width, percent):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append(set() if not w else {tuple(w)} if len(w) < width else {tuple(w[i : i + width]) for i in range(len(w) - width + 1)})
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(((d, len(sets[i]), least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)), key=str)
+
+
+@pytest.mark.parametrize("width,percent,seed", [(4, 85, 1), (5, 80, 2)])
+def test_near_duplicates_against_all_pairs(spark, width, percent, seed):
+    import random
+
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(40)]
+    rows = list(enumerate(ODD))
+    for g in range(12):
+        base = [f"g{g}_{rng.randrange(60)}" for _ in range(rng.choice([6, 30, 90, 150]))]
+        for _ in range(rng.choice([2, 5, 25])):
+            text = list(base)
+            for _ in range(rng.randrange(5)):
+                text[rng.randrange(len(text))] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text + (passage if rng.random() < 0.3 else []))))
+    rows += [(None, rows[12][1]), (7, rows[12][1]), (len(rows) + 5, rows[13][1].upper())]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n", F.lit(1)).withColumn("digest", F.lit("x"))
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(df, width, percent).collect()), key=str)
+    want = plain_components(rows, width, percent)
+    assert len({w[2] for w in want}) < len(want)
+    assert got == want
+
+
+def test_keep_one_and_empty(spark):
+    rows = docs(spark, ["a b c d e f g h"] * 3 + [None, "", "other words are here now"])
+    assert sorted(r.doc_id for r in ngram_join.keep_one(rows).collect()) == [0, 3, 4, 5]
+    assert ngram_join.near_duplicates(docs(spark, [])).count() == 0
