@@ -106,6 +106,11 @@ def non_members(rows: DataFrame, intervals: DataFrame, number: str = "gno", keys
     return _holding(rows, intervals, number, keys).where(F.coalesce(F.col("_hi") < F.col(number), F.lit(True))).drop("_hi")
 
 
+def uncovered(ranges: DataFrame, intervals: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """The ranges (lo, hi) that the set doesn't hold whole: as its intervals never touch, one of them must hold a range."""
+    return _holding(ranges, intervals, "lo", keys).where(F.coalesce(F.col("_hi") < F.col("hi"), F.lit(True))).drop("_hi")
+
+
 def entry_fault(entry: Column) -> Column:
     """Null for a well-formed entry, else why it is refused; never holds any of the entry's text."""
     trimmed = F.regexp_replace(entry, r"^\s+|\s+$", "")

@@ -101,10 +101,9 @@ def gate(images: DataFrame, cursors: DataFrame, key: str = "k") -> DataFrame:
 
 def ready_chunks(positions: DataFrame, processed: DataFrame, chunk: str = "chunk_seq") -> DataFrame:
     """(chunk, ready): whether the processed set holds all of the position at which a chunk was captured."""
-    keys = (chunk, "source_uuid")
     chunks = positions.select(chunk).distinct()
-    each = chunks.join(processed.select("source_uuid", "lo", "hi"), how="cross")
-    missing = gtid.subtract(positions, each, keys).select(chunk).distinct().withColumn("_missing", F.lit(True))
+    captured = gtid.normalize(positions, (chunk, "source_uuid"))
+    missing = gtid.uncovered(captured, processed).select(chunk).distinct().withColumn("_missing", F.lit(True))
     return chunks.join(missing, chunk, "left").select(chunk, F.col("_missing").isNull().alias("ready"))
 
 
