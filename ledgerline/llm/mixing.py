@@ -82,14 +82,14 @@ def permuted(index: Column, high: Column, low: Column, n: Column, key: Column, r
     digit to the other, each of which can be undone; a result of n or more goes through again.
     """
 
+    def add(s: Column, r: Column) -> Column:
+        a = F.pmod(s["a"] + F.pmod(F.xxhash64(key, r, s["b"]), high), high)
+        return F.transform(F.array(a), lambda x: F.struct(x.alias("a"), F.pmod(s["b"] + F.pmod(F.xxhash64(key, r, x, F.lit(1)), low), low).alias("b")))[0]
+
     def once(i: Column) -> Column:
-        a, b = F.floor(i / low).cast("bigint"), i % low
-        for r in range(rounds):
-            a = F.pmod(a + F.pmod(F.xxhash64(key, F.lit(2 * r), b), high), high)
-            b = F.pmod(b + F.pmod(F.xxhash64(key, F.lit(2 * r + 1), a), low), low)
-        return a * low + b
+        digits = F.struct(F.floor(i / low).cast("bigint").alias("a"), (i % low).alias("b"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), digits, add, lambda s: s["a"] * low + s["b"])
 
-    # The first pass is one step of the fold, so that once() stands in the plan one time.
     start = F.struct(index.cast("bigint").alias("i"), F.lit(False).alias("done"))
     walked = F.aggregate(
         F.sequence(F.lit(1), F.lit(MOST_WALKS)), start,
@@ -140,7 +140,7 @@ def drawn_blocks(spark, plan: list[dict], shards: int, seed: int) -> DataFrame:
     draws = spark.createDataFrame(rows, "shard int, src int, first bigint, slot0 bigint, n bigint, blocks bigint, high bigint, low bigint")
     # In two steps, of runs and then of the slots in a run, so that no row holds all slots of a large source.
     run = 8192
-    runs = draws.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(run).cast("bigint")))).repartition("shard", "src", "at")
+    runs = draws.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(run).cast("bigint")))).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "src", "at")
     each = runs.withColumn("i", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + run, F.col("n")) - 1)))
     k = F.col("first") + F.col("i")
     key = F.xxhash64(F.lit(seed), F.col("src"), F.floor(k / F.col("blocks")).cast("bigint"))
