@@ -2,47 +2,28 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerline.sources.scratch import discard, scratch_dir, stored
+
+__all__ = ["GAP", "WORD", "arrow_map", "bind", "discard", "held_out", "schema_with", "scratch_dir", "stored", "table", "words_of"]
+
 #: A word for the operators that split on ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+#: Rows that go to a Python worker at once.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; tests without one get a local folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = "/tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and returns a reader of it, which cuts the lineage."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes stored tables that nothing reads any more."""
-    for df in tables:
-        spark = df.sparkSession
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def bind(value: Column, body) -> Column:
     """body(value) with value computed once a row, however often body refers to it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -59,6 +40,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """mapInArrow in batches of at most BATCH_ROWS rows, as texts may be long, and without memory kept after a task.
+
+    Lowers the session's batch size, which is read when the result is run.
+    """
+    conf = df.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def schema_with(df: DataFrame, **kinds: str) -> StructType:
     """The schema of df with more columns at its end."""
     out = StructType(list(df.schema.fields))

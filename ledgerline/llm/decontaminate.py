@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import schema_with
+from ledgerline.llm.common import arrow_map, schema_with
 
 #: Bytes of a word (digits, letters and all of UTF-8 beyond ASCII), A-Z in lower case; others part words.
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -112,7 +112,7 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10,
                     out += [(doc, item, places[f][0], places[f + n - 1][1]) for f, n, names in found for item in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, (pa.int64(), pa.string(), pa.int64(), pa.int64()))], names=["doc_id", "item_id", "start", "end"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(spans, "doc_id bigint, item_id string, start bigint, end bigint")
+    return arrow_map(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), spans, "doc_id bigint, item_id string, start bigint, end bigint")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: int = 8 << 20) -> DataFrame:
@@ -139,7 +139,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_b
             more = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *added])
 
-    return base.mapInArrow(counted, schema)
+    return arrow_map(base, counted, schema)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

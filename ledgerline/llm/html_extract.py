@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerline.llm.common import schema_with
+from ledgerline.llm.common import arrow_map, schema_with
 
 #: Elements that are never text of the article, names of parts that aren't, and how elements flow.
 DROPPED = frozenset("script style noscript template head title nav footer header aside form button select textarea input iframe svg canvas object dialog menu".split())
@@ -153,4 +153,4 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
             texts = [main_text(x.as_py()) for x in batch.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
-    return base.mapInArrow(extracted, schema)
+    return arrow_map(base, extracted, schema)

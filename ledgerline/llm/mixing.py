@@ -170,7 +170,7 @@ def mix_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OU
     parts = spread.withColumn("words", F.when(F.col("block") >= 0, inside).otherwise(F.lit(0)))
     uses = drawn_blocks(spark, plan, shards, seed).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
     taken = (
-        parts.join(uses, ["src", "block"], "left")
+        parts.join(uses.hint("merge"), ["src", "block"], "left")  # made from a few rows, so Spark takes it for small
         .groupBy("src", "doc_id", "hash", "offset", "size")
         .agg(F.sum(F.col("words") * F.coalesce(F.col("uses"), F.lit(0))).cast("bigint").alias("taken"), F.count(F.when(F.col("block") < 0, 1)).alias("_empty"))
     )
@@ -208,4 +208,4 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     parts = cut.withColumn("_part", F.explode("_parts")).withColumns({"text": F.col("_part.text"), "block": F.col("_part.block")})
     if "n_chars" in base.columns:
         parts = parts.withColumn("n_chars", F.length("text").cast("bigint"))
-    return parts.select(*base.columns, "src", "block").join(drawn_blocks(spark, plan, shards, seed), ["src", "block"]).select(*base.columns, "shard", "slot")
+    return parts.select(*base.columns, "src", "block").join(drawn_blocks(spark, plan, shards, seed).hint("merge"), ["src", "block"]).select(*base.columns, "shard", "slot")

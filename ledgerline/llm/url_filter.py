@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import schema_with
+from ledgerline.llm.common import arrow_map, schema_with
 
 #: The rules of production, as (host and path prefix, verdict).
 RULES = (
@@ -132,4 +132,4 @@ def judge_urls(
                     verdicts.append(other if mine is None else rules[mine][1])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(verdicts, pa.string())], names=[*part.schema.names, "rule", "verdict"])
 
-    return base.mapInArrow(judged, schema)
+    return arrow_map(base, judged, schema)

@@ -239,7 +239,7 @@ def test_pages_of_the_tables_keep_their_article(spark, sf_dir):
 
 def test_targets():
     assert mixing.source_targets([]) == [] and mixing.source_targets([0, 0]) == [0.0, 0.0]
-    assert mixing.source_targets([100, 100, 100]) == [200.0, 450 - 200 - 250 / 3 * 1 - 0.0, 250 / 3] or sum(mixing.source_targets([100, 100, 100])) == pytest.approx(450)
+    assert mixing.source_targets([100, 100, 100]) == pytest.approx([200, 500 / 3, 250 / 3])
     got = mixing.source_targets([10, 1000, 1000])
     assert got[0] == 20 and got[1] == pytest.approx(2 * got[2]) and sum(got) == pytest.approx(3015)
 
@@ -259,7 +259,6 @@ def test_mix(spark):
     for r in got:
         assert r.source_size == size[r.source] and r.target == pytest.approx(targets[r.source])
         assert abs(by[r.source] - r.target) <= 16
-    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix_counts(rows.repartition(3), block_words=16, shards=4).collect())) if False else True
     again = {(r.doc_id, r.taken) for r in mixing.mix_counts(rows.repartition(3), block_words=16, shards=4).collect()}
     assert again == {(r.doc_id, r.taken) for r in got}
     parts = mixing.mix_documents(rows, block_words=16, shards=4)
