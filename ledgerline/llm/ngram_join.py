@@ -6,7 +6,8 @@ before frequent: any order gives the same links, this one keeps frequent passage
 
 The join runs twice. First each entry meets the leader of its shingle's list, a number of pairs linear in the entries;
 these links give first components. Then only pairs from different components are left to look at, and of those only what
-the size, position and bitmap bounds allow. Every surviving pair is verified on whole shingle sets.
+the bounds allow: size and place hold for a group, as its members share them; bitmaps are compared member by member.
+Every surviving pair is verified on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -274,9 +275,9 @@ def verified(docs: DataFrame, pairs: DataFrame, members: DataFrame, width: int,
 
 
 def _bounded(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs of groups (a, b) that their bitmaps allow."""
-    a = bitmaps.select(F.col("gid").alias("a"), F.col("bits").alias("x"), F.col("n").alias("n1"))
-    b = bitmaps.select(F.col("gid").alias("b"), F.col("bits").alias("y"), F.col("n").alias("n2"))
+    """The pairs of nodes (a, b) that their own bitmaps allow."""
+    a = bitmaps.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n").alias("n1"))
+    b = bitmaps.select(F.col("node").alias("b"), F.col("bits").alias("y"), F.col("n").alias("n2"))
     return pairs.join(a, "a").join(b, "b").where(bitmaps_allow(F.col("x"), F.col("y"), F.col("n1"), F.col("n2"), percent)).select("a", "b")
 
 
@@ -296,7 +297,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     groups = classes.groupBy("pdigest").agg(F.min("node").alias("gid"))
     members = stored(classes.join(groups, "pdigest").select("node", "gid", "n", "digest", "first_doc"), "ngram-members")
     leaders = members.where("node = gid").select("gid")
-    bitmaps = stored(signed.select(F.col("rid").alias("gid"), "n", "bits").join(leaders, "gid", "left_semi"), "ngram-bitmaps")
+    bitmaps = stored(signed.select(F.col("rid").alias("node"), "n", "bits").join(members.select("node"), "node", "left_semi"), "ngram-bitmaps")
 
     entries = signed.select(F.col("rid").alias("gid"), "n", "prefix").join(leaders, "gid", "left_semi").select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
     listed = Window.partitionBy("token")
@@ -326,7 +327,8 @@ def _cross_pairs(entries: DataFrame, known: DataFrame, bitmaps: DataFrame, perce
     """Every pair of nodes from different components that the bounds allow and no verified link has joined yet.
 
     In the list of a shingle, a group is settled if all its nodes are in the one component of the leader's nodes. Two nodes
-    of different components are not both in settled groups, so it is enough to join the others with the whole list.
+    of different components are not both in settled groups, so it is enough to join the others with the whole list. The
+    members of a group have different sets, so pairs of groups become pairs of nodes before any bitmap is looked at.
     """
     comps = known.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     # The leader's components come from its own entry in the list, not from a join on leaders, of which few lead many lists.
@@ -339,10 +341,11 @@ def _cross_pairs(entries: DataFrame, known: DataFrame, bitmaps: DataFrame, perce
     ordered = F.when(F.col("settled"), F.col("gid1") != F.col("gid2")).otherwise(F.col("gid1") < F.col("gid2"))
     near = may_link(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
     met = one.join(two, (one["token"] == two["token"]) & ordered & ~same & near).select(F.least("gid1", "gid2").alias("a"), F.greatest("gid1", "gid2").alias("b")).distinct()
-    allowed = _bounded(met, bitmaps, percent)
-    left = known.select(F.col("gid").alias("a"), F.col("node").alias("node1"), F.col("comp").alias("comp1"))
-    right = known.select(F.col("gid").alias("b"), F.col("node").alias("node2"), F.col("comp").alias("comp2"))
-    across = allowed.join(left, "a").join(right, "b").where("comp1 <> comp2").select(F.col("node1").alias("a"), F.col("node2").alias("b"))
+    each = known.select("gid", "node", "comp").join(bitmaps, "node")
+    left = each.select(F.col("gid").alias("a"), F.col("node").alias("node1"), F.col("comp").alias("comp1"), F.col("bits").alias("x"), F.col("n").alias("n1"))
+    right = each.select(F.col("gid").alias("b"), F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("bits").alias("y"), F.col("n").alias("n2"))
+    allowed = (F.col("comp1") != F.col("comp2")) & bitmaps_allow(F.col("x"), F.col("y"), F.col("n1"), F.col("n2"), percent)
+    across = met.join(left, "a").join(right, "b").where(allowed).select(F.col("node1").alias("a"), F.col("node2").alias("b"))
     odd = known.join(comps, "gid").where("lo <> hi").select("gid", "node", "comp")
     head = odd.where("node = gid").select("gid", F.col("comp").alias("head"))
     minor = odd.join(head, "gid").where("comp <> head").select("gid", F.col("node").alias("a"), F.col("comp").alias("c1"))

@@ -360,6 +360,20 @@ def test_near_duplicates_against_all_pairs(spark, width, percent, seed):
     assert got == want
 
 
+def test_every_member_of_a_group_meets_other_groups(spark):
+    """One prefix and size make a group of sets s+abc and s+def; s+defg links with the second only, which doesn't lead."""
+    texts = []
+    for k in range(3):
+        s, x, y = (" ".join(f"{c}{k}_{i}" for i in range(n)) for c, n in (("s", 5), ("x", 3), ("y", 3)))
+        tail = s.split(" ", 1)[1]
+        # Three copies of abc and of def, too short to link, make these shingles more frequent than s, which goes before them.
+        texts += [f"{s} {x}", f"{s} {y}", f"{s} {y} z{k}"] + [f"{tail} {x}"] * 3 + [f"{tail} {y}"] * 3
+    rows = list(enumerate(texts))
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(docs(spark, texts), 5, 80).collect()), key=str)
+    assert got == plain_components(rows, 5, 80)
+    assert {(d, c) for d, _, c in got} >= {(0, 0), (1, 1), (2, 1)}
+
+
 def test_keep_one_and_empty(spark):
     rows = docs(spark, ["a b c d e f g h"] * 3 + [None, "", "other words are here now"])
     assert sorted(r.doc_id for r in ngram_join.keep_one(rows).collect()) == [0, 3, 4, 5]
