@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import gtid
-from ledgerline.functions.ordered import number_rows
+from ledgerline.functions.ordered import asof_backward, number_rows
 
 
 def chunk_rows(table: DataFrame, key: str, size: int) -> DataFrame:
@@ -111,14 +111,20 @@ def snapshot_then_stream(table: DataFrame, key: str, columns: list[str], changes
     """(key, position, op, columns..., origin): all that a sink receives from a snapshot in chunks woven into a stream.
 
     Chunk c is captured at position floor((c + 1) * end / chunks): its rows as they were then. A change goes on exactly if
-    it comes after the capture of the chunk that covers its key. changes has key, seq, op and the columns.
+    it comes after the capture of the chunk that covers its key: the first whose last key is at or above it, the last chunk
+    for keys beyond all, so keys that the table doesn't hold yet are covered too. With an empty table all changes go on.
+    changes has key, seq, op and the columns.
     """
     n = table.count()
     size = max(1, -(-n // chunks))
     chunked = chunk_rows(table.select(key, *columns), key, size).withColumn("_captured", F.floor((F.col("chunk_seq") + 1) * F.lit(end) / chunks).cast("bigint"))
-    placed = changes.join(chunked.select(key, "_captured"), key)
-    seen = placed.where(F.col("seq") <= F.col("_captured")).groupBy(key).agg(F.max_by(F.struct("op", *columns), F.col("seq")).alias("_last"))
-    rows = chunked.join(seen, key, "left").where(F.col("_last").isNull() | (F.col("_last.op") != "delete"))
-    taken = rows.select(key, F.col("_captured").alias("position"), F.lit("snapshot").alias("op"), *[F.when(F.col("_last").isNull(), F.col(c)).otherwise(F.col(f"_last.{c}")).alias(c) for c in columns], F.lit("snapshot").alias("origin"))
-    streamed = placed.where(F.col("seq") > F.col("_captured")).select(key, F.col("seq").alias("position"), "op", *columns, F.lit("stream").alias("origin"))
+    bounds = chunked.groupBy("_captured", "chunk_seq").agg((-F.max(key)).alias("_last_back")).select(F.lit(0).alias("_all"), "_last_back", F.col("_captured").alias("_covered"))
+    keys = changes.select(key).distinct().withColumns({"_all": F.lit(0), "_back": -F.col(key)})
+    covered = asof_backward(keys, bounds, ["_all"], "_back", "_last_back", ["_covered"])
+    final = F.broadcast(bounds.agg(F.max("_covered").alias("_final")))
+    placed = changes.join(covered.crossJoin(final).select(key, F.coalesce("_covered", "_final").alias("_at")), key)
+    seen = placed.where(F.col("seq") <= F.col("_at")).groupBy(key).agg(F.first("_at").alias("_at"), F.max_by(F.struct("op", *columns), F.col("seq")).alias("_last"))
+    rows = chunked.join(seen, key, "full").where(F.col("_last").isNull() | (F.col("_last.op") != "delete"))
+    taken = rows.select(key, F.coalesce("_captured", "_at").alias("position"), F.lit("snapshot").alias("op"), *[F.when(F.col("_last").isNull(), F.col(c)).otherwise(F.col(f"_last.{c}")).alias(c) for c in columns], F.lit("snapshot").alias("origin"))
+    streamed = placed.where(F.col("_at").isNull() | (F.col("seq") > F.col("_at"))).select(key, F.col("seq").alias("position"), "op", *columns, F.lit("stream").alias("origin"))
     return taken.unionByName(streamed)

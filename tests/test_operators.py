@@ -97,6 +97,26 @@ def test_snapshot_woven_into_the_stream_gives_the_final_state_once(spark, seed):
         assert sum(r.k == k and r.v == v and r.op != "delete" for r in received) == 1
 
 
+@pytest.mark.parametrize("held", [range(0, 60, 2), range(0)])
+def test_keys_outside_the_snapshotted_table_are_received(spark, held):
+    rng = random.Random(7)
+    base = {k: float(k) for k in held}
+    log = [(rng.randrange(-10, 80), seq, rng.choice(["insert", "update", "delete"]), float(1000 + seq)) for seq in range(150)]
+    table = spark.createDataFrame(list(base.items()), "k bigint, v double")
+    changes = spark.createDataFrame(log, "k bigint, seq bigint, op string, v double")
+    received = snapshot.snapshot_then_stream(table, "k", ["v"], changes, 5, 149).collect()
+
+    def captured(k):  # six rows a chunk
+        return 149 * (next((i for i in range(0, 30, 6) if k <= held[i + 5]), 24) // 6 + 1) // 5 if base else -1
+
+    want = [(k, seq, op, v, "stream") for k, seq, op, v in log if seq > captured(k)]
+    for k in {*base, *(r[0] for r in log)}:
+        before = [r for r in log if r[0] == k and r[1] <= captured(k)]
+        if before[-1][2] != "delete" if before else k in base:
+            want.append((k, captured(k), "snapshot", before[-1][3] if before else base[k], "snapshot"))
+    assert sorted(map(tuple, received)) == sorted(want)
+
+
 def test_page_and_key_choice(spark):
     df = spark.createDataFrame([(a, b) for a in range(4) for b in range(4)], "a int, b int")
     page = snapshot.keyset_page(df, ["a", "b"], [1, 2], 5).collect()
