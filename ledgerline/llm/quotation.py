@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import bind, discard, stored
+from ledgerline.llm.common import SPACES, bind, discard, number_in_order, stored
 
 #: Turns of a conversation that are searched together for the last message with a passage.
 SPAN = 1024
-_MARK = r"^(?:[ \t]*>)+"
+#: Classes of characters only, so that no depth of marks and no run of empty lines makes the matcher recurse.
+_MARK = r"^[ \t>]*>"
+_EMPTY_LINES = r"\n[ \t\r\n]*\n[ \t]*"
 
 
 def _level(line: Column) -> Column:
@@ -41,12 +43,12 @@ def normalised(text: Column) -> Column:
 def own_text(parts: Column) -> Column:
     """The lines without a quote mark, as they are, trimmed at both ends."""
     own = F.flatten(F.transform(F.filter(parts, lambda p: p["level"] == 0), lambda p: p["raw"]))
-    return F.regexp_replace(F.array_join(own, "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    return F.trim(F.array_join(own, "\n"), F.lit(SPACES))
 
 
 def _pieces(whole: Column, lines: Column) -> Column:
     """What a passage is known by: its whole text, its paragraphs and its lines, once each, normalised and not empty."""
-    paragraphs = F.transform(F.split(whole, r"\n[ \t]*(?:\r?\n[ \t]*)+"), normalised)
+    paragraphs = F.transform(F.split(whole, _EMPTY_LINES), normalised)
     return F.filter(F.array_distinct(F.concat(F.array(normalised(whole)), paragraphs, F.transform(lines, normalised))), lambda x: F.length(x) > 0)
 
 
@@ -101,28 +103,14 @@ def _threads(parents: DataFrame) -> DataFrame:
             return now.withColumnRenamed("up", "thread_turn")
 
 
-def number_in_order(df: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Adds position, from 0 without gaps in each group, in the given order.
-
-    Rows are dealt by ranges of (group, order), so a group of any size is spread; only counts a range and group are summed.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stored(df.repartitionByRange(n, group, *order).withColumn("_range", F.spark_partition_id()), "quote-ranges")
-    counts = dealt.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col(group).alias("_group"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    local = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order)) - 1
-    placed = dealt.withColumn("_local", local)
-    return placed.join(starts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_at"))).withColumn("position", (F.col("_start") + F.col("_local")).cast("bigint")).drop("_range", "_local", "_group", "_at", "_start")
-
-
 def link_quotes(messages: DataFrame) -> DataFrame:
     """One row per message, without its quotes: conv_id, turn, role, parent_turn, thread_turn, depth, position, n_quotes, text.
 
     parent_turn is the message that the shallowest linked quote level comes from, null where no quote is found in an
     earlier message; such a message begins a thread. position orders a conversation by thread, then depth, then turn, so
     that a reply comes after what it replies to. Null texts give empty texts; rows with a null conv_id or turn link with
-    nothing; repeated rows all come back, next to each other. An empty table gives an empty result.
+    nothing; repeated rows all come back, next to each other. Quotes may be nested to any depth. An empty table gives an
+    empty result.
     """
     links = quote_links(messages)
     first = links.groupBy("conv_id", "turn").agg(F.min(F.struct("level", "origin_turn")).alias("_best"))
