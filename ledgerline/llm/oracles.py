@@ -11,15 +11,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 DECONTAMINATE = f"""
 WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '{ITEM_WORD}') AS w FROM documents),
-iw AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER}, '{ITEM_WORD}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER}, '{ITEM_WORD}') AS w FROM benchmark),
 wins AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS k
          FROM iw, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(p) WHERE len(w) > 0),
 grams AS (SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS k FROM dw, (SELECT DISTINCT n FROM wins) AS l, unnest(range(1, len(w) - n + 2)) AS u(p)),
 found AS (SELECT r, p, grams.n AS n, item FROM grams JOIN wins ON grams.n = wins.n AND grams.k = wins.k),
-hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM found, unnest(range(p, p + n)) AS u(q) GROUP BY r),
-items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+hits AS (SELECT DISTINCT r, q FROM found, unnest(range(p, p + n)) AS u(q)),
+hit AS (SELECT r, count(*) AS n_hit, sum(length(w[q])) AS hit_chars FROM hits JOIN dw USING (r) GROUP BY r),
+items AS (SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(hit_chars, 0)::BIGINT AS hit_chars
 FROM dw LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 

@@ -29,7 +29,7 @@ def op2_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_chars")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
