@@ -17,8 +17,8 @@ from ledgerline.llm.labelled import labelled_sample
 
 #: Buckets of the hashed embeddings, their size, the filter widths, and filters of each width.
 BUCKETS, SIZE, WIDTHS, FILTERS = 1 << 18, 16, (1, 2, 3), 8
-#: At most so many labels of each class are learnt from, and of those no text over so many characters.
-MOST_LABELS, MOST_CHARS = 1500, 200_000
+#: At most so many labels of each class are learnt from.
+MOST_LABELS = 1500
 #: The score from which a text counts as toxic.
 LEVEL = 0.7
 #: A bucket is trained if so many texts hold it.
@@ -219,7 +219,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
 
     A sample whose rest holds under 20 texts of a class is calibrated as a whole.
     """
-    rows = labelled_sample(docs.select("doc_id", "text"), labels, label, most).where(F.length("text") <= MOST_CHARS).select("doc_id", "text", "_label").collect()
+    rows = labelled_sample(docs.select("doc_id", "text"), labels, label, most).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_label").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     y = np.array([r._label for r in rows], dtype=float)
     if len(set(y.tolist())) < 2:
