@@ -11,55 +11,86 @@ from pyspark.sql import DataFrame
 
 from ledgerline.llm.common import arrow_map, schema_with
 
-#: Elements that are never text of the article, names of parts that aren't, and how elements flow.
+#: Elements that are never text of the article, names of parts that aren't, words that may stand beside such
+#: a name, names of parts that readers write, roles of parts, and how elements flow.
 DROPPED = frozenset("script style noscript template head title nav footer header aside form button select textarea input iframe svg canvas object dialog menu".split())
-JUNK_NAMES = frozenset("ad ads advert advertisement adverts banner sponsor sponsored promo comment comments disqus replies sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead notice notices cookie cookies consent alert popup modal overlay share social related recommended newsletter subscribe signup login search widget pagination".split())
+JUNK_NAMES = frozenset("ad ads advert advertisement adverts banner sponsor sponsored promo sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead notice notices cookie cookies consent alert popup modal overlay share sharing social related recommended newsletter subscribe signup login search widget pagination".split())
+READER_NAMES = frozenset("comment comments disqus replies".split())
+BESIDE = frozenset("area bar block box button buttons column container form group holder icons inner item items left link links list outer panel right section site slot top bottom unit wrap wrapper".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+ARTICLES = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 PARAGRAPHS = frozenset("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcaption caption".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLING_CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
+#: A part with a junk name stays if it holds so much of the page's points, and so many paragraphs of so many characters.
+MOST_POINTS, LONG_PARAGRAPHS, LONG = 0.95, 3, 80
+
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
-_NAME = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[a-z]+|[0-9]+")
+_ENDS = ".!?…。:;"
+
 
+def _named(value: str) -> str:
+    """What a class or id says of its element: `readers`, `junk` or nothing.
 
-def _is_junk(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    A name counts if one of its words is such a name and every other word is one too, a number, or one that says nothing of
+    what it holds: `ad-box` and `comment-list` do, `with-sidebar` and `share-price` don't.
+    """
+    out = ""
+    for name in value.lower().split():
+        words = _NAME.findall(name)
+        if words and all(w in JUNK_NAMES or w in READER_NAMES or w in BESIDE or w.isdigit() for w in words):
+            if not READER_NAMES.isdisjoint(words):
+                return "readers"
+            if not JUNK_NAMES.isdisjoint(words):
+                out = "junk"
+    return out
+
+
+def _is_cut(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Elements that are cut whatever they score: by tag, by role or because they are hidden."""
     if tag in DROPPED:
         return True
     for name, value in attrs:
         value = (value or "").lower()
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            if any(not JUNK_NAMES.isdisjoint(_NAME.findall(v)) for v in value.split()):
-                return True
-        elif name == "role" and value in JUNK_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "role" and value in JUNK_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        elif name == "style" and "display:none" in value.replace(" ", ""):
+        if name == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
 
 class _Tree(HTMLParser):
-    """Elements in page order as parallel lists; `flow` has (element, text) with a blank where a block begins or ends."""
+    """Elements in page order as parallel lists; `flow` has (element, text) with a blank where a block begins or ends.
+
+    Closing looks up where the last open element of a tag stands, so the work is linear however deep elements nest.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.junk, self.flow = ["#root"], [-1], [False], []
+        self.tag, self.parent, self.cut, self.names, self.flow = ["#root"], [-1], [False], [""], []
         self.open = [0]
+        self.at: dict[str, list[int]] = {}
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CLOSES_P:
             self._close("p", stop=("table", "td", "th", "div", "article", "section", "body", "button"))
         for other in SIBLING_CLOSES.get(tag, ()):
             self._close(other, stop=("ul", "ol", "dl", "table", "select"))
-        at = self.open[-1]
+        above = self.open[-1]
         self.tag.append(tag)
-        self.parent.append(at)
-        self.junk.append(self.junk[at] or _is_junk(tag, attrs))
+        self.parent.append(above)
+        self.cut.append(self.cut[above] or _is_cut(tag, attrs))
+        said = "" if tag in ("body", "html", *ARTICLES) else _named(" ".join(v or "" for k, v in attrs if k in ("class", "id")))
+        self.names.append(said)
         if tag not in INLINE:
             self.flow.append((len(self.tag) - 1, " "))
         if tag not in VOID:
+            self.at.setdefault(tag, []).append(len(self.open))
             self.open.append(len(self.tag) - 1)
 
     def handle_endtag(self, tag: str) -> None:
@@ -68,17 +99,16 @@ class _Tree(HTMLParser):
             self.flow.append((self.open[-1], " "))
 
     def handle_data(self, data: str) -> None:
-        if not self.junk[self.open[-1]]:
+        if not self.cut[self.open[-1]]:
             self.flow.append((self.open[-1], data))
 
     def _close(self, tag: str, stop: tuple[str, ...] = ()) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[k]]
-            if name == tag:
-                del self.open[k:]
-                return
-            if name in stop:
-                return
+        places = self.at.get(tag)
+        if not places or any(self.at[s][-1] > places[-1] for s in stop if self.at.get(s)):
+            return
+        depth = places[-1]
+        while len(self.open) > depth:
+            self.at[self.tag[self.open.pop()]].pop()
 
 
 def _squeezed(parts: list[str]) -> str:
@@ -89,8 +119,12 @@ def main_text(html: str | None) -> str:
     """The text of the best container and its accepted siblings: blocks in page order, joined by one blank.
 
     Each block passes 1 point, 1 for each comma and 1 for each 100 characters up to 3 to its container, half to the
-    container above and a sixth to the next; a block and a container count less by their share of link text. Siblings of
-    the best stay if they score a fifth of it, or are a paragraph that ends a sentence and holds few links. Null is empty.
+    container above and a sixth to the next; a block and a container count less by their share of link text. A part with a
+    junk name is cut unless it holds all articles of the page or, where there is none, nearly all its points in long
+    paragraphs; one that readers wrote always is. The best container gives way to the outermost article around it, else to
+    the outermost main. Siblings of the best stay if they score a fifth of it, or are a paragraph or section that ends a
+    sentence and holds few links; so does a heading right before what stays. Beside an article only articles and sections
+    stay. Null is empty.
     """
     if not html:
         return ""
@@ -103,37 +137,61 @@ def main_text(html: str | None) -> str:
         p = parent[i]
         block[i] = block[p] if tag[i] in INLINE else i
         linked[i] = linked[p] or tag[i] == "a"
-    size, links, commas = [0] * n, [0] * n, [0] * n
+    own, own_links, commas = [0] * n, [0] * n, [0] * n
     last: dict[int, str] = {}
     for i, text in tree.flow:
         if length := len(text.strip()):
             b = block[i]
-            size[b] += length
-            links[b] += length * linked[i]
+            own[b] += length
+            own_links[b] += length * linked[i]
             commas[b] += text.count(",") + text.count("、") + text.count("،")
             last[b] = text
-    points, ends = [0.0] * n, {}
+    worth = [(1 + commas[b] + min(own[b] / 100, 3)) * (1 - own_links[b] / own[b]) if own[b] else 0.0 for b in range(n)]
+    kind = "article" if any(t == "article" and not c for t, c in zip(tag, tree.cut)) else "main"
+    held = [int(tag[i] == kind and not tree.cut[i]) for i in range(n)]
+    total, long = list(worth), [int(own[b] >= LONG and tag[b] in PARAGRAPHS and own_links[b] < own[b] / 4) for b in range(n)]
+    for i in range(n - 1, 0, -1):
+        held[parent[i]] += held[i]
+        total[parent[i]] += total[i]
+        long[parent[i]] += long[i]
+    gone = [False] * n
+    for i in range(1, n):
+        whole = held[i] == held[0] if held[0] else total[i] >= MOST_POINTS * total[0] and long[i] >= LONG_PARAGRAPHS
+        gone[i] = gone[parent[i]] or tree.cut[i] or tree.names[i] == "readers" or tree.names[i] == "junk" and not whole
+    points, ends = [0.0] * n, [False] * n
+    size, links = [0] * n, [0] * n
     for b in range(n):
-        if size[b]:
-            worth = (1 + commas[b] + min(size[b] / 100, 3)) * (1 - links[b] / size[b])
+        if own[b] and not gone[b]:
+            size[b], links[b] = own[b], own_links[b]
             at = parent[b] if tag[b] in PARAGRAPHS else b
             for part in (1, 2, 6):
                 if at < 0:
                     break
-                points[at] += worth / part
+                points[at] += worth[b] / part
                 at = parent[at]
-            ends[b] = last[b].rstrip()[-1:] in ".!?…。"
+            ends[b] = last[b].rstrip()[-1:] in _ENDS and own_links[b] < 0.25 * own[b]
     for i in range(n - 1, 0, -1):
         size[parent[i]] += size[i]
         links[parent[i]] += links[i]
+        ends[parent[i]] |= ends[i]
     score = [p * (1 - links[i] / size[i]) if size[i] else 0.0 for i, p in enumerate(points)]
     best = max(range(n), key=lambda i: (score[i], -i))
-    chosen = [False] * n
-    for i in range(n):
-        if i == best or (i and chosen[parent[i]]):
-            chosen[i] = True
-        elif i and parent[i] == parent[best] and not tree.junk[i] and size[i]:
-            chosen[i] = score[i] >= 0.2 * score[best] or tag[i] in PARAGRAPHS and ends.get(i, False) and links[i] < 0.25 * size[i]
+    above, at = {}, best
+    while at > 0:
+        above[tag[at]] = at
+        at = parent[at]
+    best = above.get("article", above.get("main", best))
+    chosen, follows = [False] * n, False
+    for i in range(n - 1, 0, -1):
+        if parent[i] == parent[best] and i != best and size[i] and not gone[i]:
+            scores = score[i] >= 0.2 * score[best] > 0 and (tag[best] not in ARTICLES or tag[i] in (*ARTICLES, "section"))
+            says = ends[i] and links[i] < 0.25 * size[i] and tag[best] not in ARTICLES and (tag[i] in PARAGRAPHS or tag[i] == "section")
+            chosen[i] = scores or says or tag[i] in HEADINGS and follows and tag[best] not in ARTICLES
+        if parent[i] == parent[best] and size[i]:
+            follows = chosen[i] or i == best
+    chosen[best] = True
+    for i in range(1, n):
+        chosen[i] = (chosen[i] or chosen[parent[i]]) and not gone[i]
     return _squeezed([text for i, text in tree.flow if chosen[i] or text == " "])
 
 
