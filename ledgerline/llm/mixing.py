@@ -2,17 +2,21 @@
 
 The words of each source, laid end to end, are cut into blocks of fixed length. Each output shard draws how many blocks of
 each source it takes; the k-th block drawn from a source over all shards is block permutation(k) of that source, so that
-no block comes twice before every block came once.
+no block comes twice before every block came once. Sources are rows of a table, so there may be any number of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import GAP, stored
+from ledgerline.functions.ordered import running_total
+from ledgerline.llm.common import SPACES, arrow_map, discard, number_copies, number_in_order, stored
 
 #: Weights in the order of the sources, repeating; the mix's share of all words; most uses of a word.
 WEIGHTS = (5, 2, 1)
@@ -20,10 +24,8 @@ SHARE = 1.5
 MOST_USES = 2
 BLOCK_WORDS = 128
 OUTPUT_SHARDS = 64
-#: One row a source goes to the driver; more sources than this are refused.
-MOST_SOURCES = 10_000
-#: Rows of a source are dealt to so many buckets to lay them end to end.
-BUCKETS = 2048
+#: Rows are laid end to end in buckets of about so many; slots are numbered in runs of so many.
+BUCKET_ROWS, RUN = 1 << 14, 8192
 #: An index outside the domain goes through the permutation again: a quarter of them at most, so this often never.
 MOST_WALKS = 32
 
@@ -37,42 +39,59 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
 
 
-def source_targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most_uses: int = MOST_USES) -> list[float]:
-    """Words to take of each source: `share` of all words by weight, no source above `most_uses` times its size.
+def water_level(sources: DataFrame, share: float = SHARE, most_uses: int = MOST_USES) -> float:
+    """Words to take for each unit of weight, of sources (size, weight): `share` of all words in all.
 
-    What a capped source can't take goes to the others by weight, again and again until none is above its cap.
+    A source stops at `most_uses` times its size, and what it can't take raises the level for the others, until no more
+    sources stop. Each round sums over the table; only sums reach the driver.
     """
-    weight = [weights[i % len(weights)] for i in range(len(sizes))]
-    target, open_, left = [0.0] * len(sizes), set(range(len(sizes))), share * sum(sizes)
-    while open_:
-        total = sum(weight[i] for i in open_)
-        over = {i for i in open_ if left * weight[i] / total > most_uses * sizes[i]}
-        if not over:
-            for i in open_:
-                target[i] = left * weight[i] / total
-            break
-        for i in over:
-            target[i] = float(most_uses * sizes[i])
-        left -= sum(target[i] for i in over)
-        open_ -= over
-    return target
-
-
-def draw_counts(quotas: list[int], shards: int, seed: int) -> np.ndarray:
-    """Blocks of each source (columns) in each shard (rows): multinomial draws that add up to the quotas.
-
-    Each shard draws from what the shards before it left; a draw beyond what a source has left is drawn again.
+    cap = F.col("size") * most_uses
+    total = sources.agg(F.sum("size")).first()[0] or 0
+    level, stopped = 0.0, -1
+    while True:
+        over = cap < F.col("weight") * F.lit(level)
+        row = sources.agg(F.sum(F.when(over, cap).otherwise(0)), F.sum(F.when(over, 0).otherwise(F.col("weight"))), F.count(F.when(over, 1))).first()
+        if row[2] == stopped or not row[1]:
+            return level if row[1] else float("inf")
+        level, stopped = (share * total - row[0]) / row[1], row[2]
+
+
+def source_plan(sized: DataFrame, block_words: int) -> DataFrame:
+    """A stored row a source, by code point with null last: src, source, source_size, target, blocks, quota, and the domain
+    high x low of its permutation."""
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("size")).withColumns({"_all": F.lit(0), "_late": F.col("source").isNull()})
+    numbered = number_in_order(sizes, "_all", ["_late", "source"])
+    weights = F.array(*[F.lit(w) for w in WEIGHTS])
+    sources = stored(numbered.select(F.col("position").alias("src"), "source", "size", F.get(weights, (F.col("position") % len(WEIGHTS)).cast("int")).alias("weight")), "mix-sources")
+    level = water_level(sources)
+    target = F.least((F.col("size") * MOST_USES).cast("double"), F.col("weight") * F.lit(level))
+    blocks = F.ceil(F.col("size") / block_words).cast("bigint")
+    planned = sources.select("src", "source", F.col("size").alias("source_size"), target.alias("target"), blocks.alias("blocks"))
+    high = F.greatest(F.ceil(F.sqrt("blocks")).cast("bigint"), F.lit(1))
+    quota = F.when(F.col("blocks") > 0, F.least(F.rint(F.col("target") * F.col("blocks") / F.col("source_size")).cast("bigint"), F.col("blocks") * MOST_USES)).otherwise(0)
+    domain = planned.withColumns({"high": high, "quota": quota}).withColumn("low", F.greatest(F.ceil(F.col("blocks") / F.col("high")).cast("bigint"), F.lit(1)))
+    plan = stored(domain, "mix-plan")
+    discard(sources)
+    return plan
+
+
+def draw_counts(plan: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(shard, src, n, first, blocks, high, low): how many blocks of a source each shard draws, in one multinomial draw a source.
+
+    A source's quota falls to the shards alike, so the counts of a shard, given their sum, are a multinomial draw of sources
+    by quota, and all shards together take the quota. `first` counts the source's blocks in the shards before.
     """
-    rng, left = np.random.default_rng(seed), np.array(quotas, dtype=np.int64)
-    out = np.zeros((shards, len(quotas)), dtype=np.int64)
-    for s in range(shards):
-        want = int(left.sum()) // (shards - s)
-        while want:
-            drawn = np.minimum(rng.multinomial(want, left / left.sum()), left)
-            out[s] += drawn
-            left -= drawn
-            want -= int(drawn.sum())
-    return out
+    names = ("shard", "src", "n", "first", "blocks", "high", "low")
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for src, quota, *domain in zip(*[batch.column(c).to_pylist() for c in ("src", "quota", "blocks", "high", "low")]):
+                n = np.random.default_rng((seed, src)).multinomial(quota, np.full(shards, 1 / shards))
+                on = np.flatnonzero(n)
+                columns = [on, np.full(len(on), src), n[on], (np.cumsum(n) - n)[on], *[np.full(len(on), d) for d in domain]]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=list(names))
+
+    return arrow_map(plan, drawn, ", ".join(f"{c} bigint" for c in names))
 
 
 def permuted(index: Column, high: Column, low: Column, n: Column, key: Column, rounds: int = 4) -> Column:
@@ -98,58 +117,45 @@ def permuted(index: Column, high: Column, low: Column, n: Column, key: Column, r
     return F.transform(F.array(walked), lambda s: F.when(s["done"], s["i"]).otherwise(F.raise_error(F.lit("permutation did not settle")).cast("bigint")))[0]
 
 
-def _source_plan(sized: DataFrame, block_words: int) -> list[dict]:
-    """One entry a source, by code point with null last: its size, target, blocks, quota and permutation domain."""
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size")).orderBy(F.col("source").asc_nulls_last()).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    targets, plan = source_targets([r["size"] for r in rows]), []
-    for k, (r, target) in enumerate(zip(rows, targets)):
-        n = -(-r["size"] // block_words)
-        high = int(np.ceil(np.sqrt(n))) if n else 1
-        plan.append({"src": k, "source": r.source, "source_size": r["size"], "target": target, "blocks": n, "high": max(high, 1), "low": max(-(-n // max(high, 1)), 1), "quota": min(round(target * n / r["size"]) if n else 0, MOST_USES * n)})
-    return plan
-
-
-def lay_out(rows: DataFrame, sized: DataFrame, plan: list[dict]) -> DataFrame:
+def lay_out(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Adds src, the source's number, and offset, where the row's words begin among those of its source.
 
-    rows has source, doc_id, hash and size; sized the same four columns of the same rows. The order is that of a bucket
-    (a hash of the row) and then doc_id and text hash. Only bucket totals, at most BUCKETS a source, are summed in order,
-    and a bucket holds a BUCKETS-th of a source.
+    sized has rid, source, doc_id, hash and size. The order is that of a bucket (a hash of the row and of which of its copies
+    it is), then doc_id, hash and copy, so that it is the same for the same rows. Only bucket totals are summed in order.
     """
-    names = F.broadcast(rows.sparkSession.createDataFrame([(p["src"], p["source"]) for p in plan], "src int, _name string"))  # at most MOST_SOURCES rows
-
-    def placed(df: DataFrame) -> DataFrame:
-        known = df.join(names, F.col("source").cast("string").eqNullSafe(F.col("_name"))).drop("_name")
-        return known.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(BUCKETS)).cast("int"))
+    buckets = max(1, sized.count() // BUCKET_ROWS)
+    known = sized.join(plan.select("src", F.col("source").alias("_name")), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
+    rows = number_copies(known, ["src", "doc_id", "hash"], "rid", "_copy").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "hash", "_copy"), F.lit(buckets)))
+    totals = rows.groupBy("src", "_bucket").agg(F.sum("size").alias("_n"))
+    starts = running_total(totals, ["src"], "_bucket", F.col("_n"), "_upto").select("src", "_bucket", (F.col("_upto") - F.col("_n")).alias("_start"))
+    within = Window.partitionBy("src", "_bucket").orderBy("doc_id", "hash", "_copy").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = rows.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    return ordered.join(starts, ["src", "_bucket"]).withColumn("offset", (F.col("_start") + F.col("_within")).cast("bigint")).drop("_bucket", "_start", "_within", "_copy")
 
-    before = Window.partitionBy("src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed(sized).groupBy("src", "_bucket").agg(F.sum("size").alias("_n")).select("src", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("src", "_bucket").orderBy("doc_id", "hash").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = placed(rows).withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return ordered.join(starts, ["src", "_bucket"]).withColumn("offset", F.col("_start") + F.col("_within")).drop("_bucket", "_start", "_within")
 
-
-def drawn_blocks(spark, plan: list[dict], shards: int, seed: int) -> DataFrame:
+def drawn_blocks(plan: DataFrame, shards: int, seed: int) -> DataFrame:
     """(shard, slot, src, block): every block drawn, in slots that number the blocks of a shard from 0."""
-    counts = draw_counts([p["quota"] for p in plan], shards, seed)
-    firsts = np.cumsum(counts, axis=0) - counts
-    slots = np.cumsum(counts, axis=1) - counts
-    rows = [(s, p["src"], int(firsts[s, k]), int(slots[s, k]), int(counts[s, k]), p["blocks"], p["high"], p["low"]) for s in range(shards) for k, p in enumerate(plan) if counts[s, k]]
-    draws = spark.createDataFrame(rows, "shard int, src int, first bigint, slot0 bigint, n bigint, blocks bigint, high bigint, low bigint")
+    counts = stored(draw_counts(plan, shards, seed), "mix-draws")
+    draws = running_total(counts, ["shard"], "src", F.col("n"), "_upto").withColumn("slot0", F.col("_upto") - F.col("n")).drop("_upto")
     # In two steps, of runs and then of the slots in a run, so that no row holds all slots of a large source.
-    run = 8192
-    runs = draws.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(run).cast("bigint")))).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "src", "at")
-    each = runs.withColumn("i", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + run, F.col("n")) - 1)))
+    runs = draws.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(RUN).cast("bigint")))).repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "src", "at")
+    each = runs.withColumn("i", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + RUN, F.col("n")) - 1)))
     k = F.col("first") + F.col("i")
     key = F.xxhash64(F.lit(seed), F.col("src"), F.floor(k / F.col("blocks")).cast("bigint"))
     numbered = each.select("shard", (F.col("slot0") + F.col("i")).alias("slot"), "src", "blocks", "high", "low", (k % F.col("blocks")).alias("i"), key.alias("key"))
     return numbered.select("shard", "slot", "src", permuted(F.col("i"), F.col("high"), F.col("low"), F.col("blocks"), F.col("key")).alias("block"))
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with rid, which no two rows share, the source as text, the size and a hash of the text."""
+    return docs.withColumns({"rid": F.monotonically_increasing_id(), "source": F.col("source").cast("string"), "size": word_count(F.col("text")), "hash": F.xxhash64("text")})
+
+
+def _blocks_of(laid: DataFrame, block_words: int) -> DataFrame:
+    """A row for each block that a row's words lie in, with `words`, how many of them; rows without words have none."""
+    first, last = F.floor(F.col("offset") / block_words).cast("bigint"), F.floor((F.col("offset") + F.col("size") - 1) / block_words).cast("bigint")
+    spread = laid.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
+    return spread.withColumn("words", F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("offset"), F.col("block") * block_words))
 
 
 def mix_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SHARDS, seed: int = 11) -> DataFrame:
@@ -158,54 +164,37 @@ def mix_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OU
     A null or empty text has size 0 and gives nothing, as does a source without words; a null source is a source, the
     last. Rows that repeat are rows of their own. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    sized = stored(_sized(docs), "mix-sizes")
-    plan = _source_plan(sized, block_words)
-    if not plan:
-        return sized.select("doc_id", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"), F.col("size").alias("taken"), "source")
-    laid = lay_out(sized, sized, plan)
-    first, last = F.floor(F.col("offset") / block_words).cast("bigint"), F.floor((F.col("offset") + F.col("size") - 1) / block_words).cast("bigint")
-    spread = laid.withColumn("block", F.explode(F.when(F.col("size") > 0, F.sequence(first, last)).otherwise(F.array(F.lit(-1).cast("bigint")))))
-    inside = F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("offset"), F.col("block") * block_words)
-    parts = spread.withColumn("words", F.when(F.col("block") >= 0, inside).otherwise(F.lit(0)))
-    uses = drawn_blocks(spark, plan, shards, seed).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
-    taken = (
-        parts.join(uses.hint("merge"), ["src", "block"], "left")  # made from a few rows, so Spark takes it for small
-        .groupBy("src", "doc_id", "hash", "offset", "size")
-        .agg(F.sum(F.col("words") * F.coalesce(F.col("uses"), F.lit(0))).cast("bigint").alias("taken"), F.count(F.when(F.col("block") < 0, 1)).alias("_empty"))
-    )
-    # Rows without words share an offset: those alike were counted together, and come apart again here.
-    apart = taken.withColumn("_row", F.explode(F.when(F.col("_empty") > 1, F.sequence(F.lit(1).cast("bigint"), F.col("_empty"))).otherwise(F.array(F.lit(1).cast("bigint")))))
-    facts = F.broadcast(spark.createDataFrame([(p["src"], p["source"], p["source_size"], p["target"]) for p in plan], "src int, source string, source_size bigint, target double"))
-    return apart.join(facts, "src").select("doc_id", "size", "source_size", "target", "taken", "source")
+    sized = stored(_numbered(docs).select("rid", "doc_id", "source", "size", "hash"), "mix-sizes")
+    plan = source_plan(sized, block_words)
+    laid = stored(lay_out(sized, plan), "mix-laid")
+    uses = drawn_blocks(plan, shards, seed).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
+    # Made from a few rows, so Spark takes the uses for small.
+    taken = _blocks_of(laid, block_words).join(uses.hint("merge"), ["src", "block"]).groupBy("rid").agg(F.sum(F.col("words") * F.col("uses")).cast("bigint").alias("taken"))
+    facts = plan.select("src", "source_size", "target")
+    return laid.join(taken, "rid", "left").join(facts, "src").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"), "source")
 
 
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SHARDS, seed: int = 11) -> DataFrame:
     """The mixed texts: the columns of docs, with a row for each part of a document in each block drawn, and shard and slot.
 
     text holds the part's words with the white space between them, n_chars (if docs has it) its length. A row without
-    words gives nothing. Columns named shard, slot, hash, size, src, block or offset are
-    dropped.
+    words gives nothing. Columns named shard, slot, rid, size, hash, or _drawn are dropped. Rows are placed and met with the
+    draws by their numbers alone; each text moves once, to the list of its own parts.
     """
-    spark = docs.sparkSession
-    base = docs.drop("shard", "slot", "hash", "size", "src", "block", "offset")
-    sized = stored(_sized(base), "mix-sizes")
-    plan = _source_plan(sized, block_words)
-    if not plan or not sum(p["quota"] for p in plan):
-        return base.where(F.lit(False)).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("bigint")})
-    rows = base.withColumns({"hash": F.xxhash64("text"), "size": word_count(F.col("text"))})
-    laid = lay_out(rows, sized, plan).where(F.col("size") > 0)
-    at = F.col("offset")
-
-    def part(block: Column) -> Column:
-        begin = F.greatest(block * block_words - at, F.lit(0)).cast("int")
-        end = F.least((block + 1) * block_words - at, F.col("size")).cast("int")
-        text = F.regexp_replace(F.array_join(F.slice("_tokens", begin + 1, end - begin), ""), rf"{GAP}$", "")
-        return F.struct(block.alias("block"), text.alias("text"))
-
-    blocks = F.sequence(F.floor(at / block_words).cast("bigint"), F.floor((at + F.col("size") - 1) / block_words).cast("bigint"))
-    cut = laid.withColumn("_tokens", tokens(F.col("text"))).withColumn("_parts", F.transform(blocks, part)).drop("text", "_tokens")
-    parts = cut.withColumn("_part", F.explode("_parts")).withColumns({"text": F.col("_part.text"), "block": F.col("_part.block")})
+    base = docs.drop("shard", "slot", "rid", "size", "hash", "_drawn")
+    whole = stored(_numbered(base), "mix-rows")
+    plan = source_plan(whole, block_words)
+    laid = lay_out(whole.select("rid", "doc_id", "source", "size", "hash"), plan)
+    drawn = _blocks_of(laid, block_words).join(drawn_blocks(plan, shards, seed).hint("merge"), ["src", "block"])
+    begin = F.greatest(F.col("block") * block_words - F.col("offset"), F.lit(0)).cast("int").alias("begin")
+    lists = drawn.groupBy("rid").agg(F.collect_list(F.struct(begin, F.col("words").cast("int").alias("words"), "shard", "slot")).alias("_drawn"))
+    met = whole.join(lists.hint("merge"), "rid").withColumn("_tokens", tokens(F.col("text")))
+
+    def part(d: Column) -> Column:
+        text = F.rtrim(F.array_join(F.slice("_tokens", d["begin"] + 1, d["words"]), ""), F.lit(SPACES))
+        return F.struct(text.alias("text"), d["shard"].cast("int").alias("shard"), d["slot"].alias("slot"))
+
+    parts = met.withColumn("_part", F.explode(F.transform("_drawn", part))).drop("text").withColumns({c: F.col(f"_part.{c}") for c in ("text", "shard", "slot")})
     if "n_chars" in base.columns:
         parts = parts.withColumn("n_chars", F.length("text").cast("bigint"))
-    return parts.select(*base.columns, "src", "block").join(drawn_blocks(spark, plan, shards, seed).hint("merge"), ["src", "block"]).select(*base.columns, "shard", "slot")
+    return parts.select(*base.columns, "shard", "slot")
