@@ -8,9 +8,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import held_out, words_of
+from ledgerline.llm.common import held_out
 from ledgerline.llm.labelled import class_shares, labelled_sample
-from ledgerline.llm.text_stats import FEATURES, counts, ratios
+from ledgerline.llm.text_stats import FEATURES, ratios, with_counts
 
 #: At most so many labels of each class are learnt from, in so many preference pairs.
 MOST_LABELS = 4000
@@ -40,7 +40,8 @@ def squeezed(name: str) -> Column:
 
 
 def featured(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.withColumn("_words", words_of(F.col(text))).withColumns(counts(text)).withColumns(ratios())
+    """df without its text, with the statistics of it."""
+    return with_counts(df, text).withColumns(ratios())
 
 
 def fit_pairs(x: np.ndarray, y: np.ndarray, share_bad: float, pairs: int = PAIRS, rounds: int = 400, seed: int = 7) -> tuple[np.ndarray, float, float]:
