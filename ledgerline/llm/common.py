@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ledgerline.sources.scratch import discard, scratch_dir, stored
 
-__all__ = ["GAP", "SPACES", "WORD", "arrow_map", "bind", "discard", "held_out", "number_copies", "number_in_order", "schema_with", "scratch_dir", "stored", "table", "words_of"]
+__all__ = ["GAP", "SPACES", "WORD", "arrow_map", "bind", "discard", "held_out", "keeping_own", "number_copies", "number_in_order", "schema_with", "scratch_dir", "stored", "table", "words_of"]
 
 #: A word for the operators that split on ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,6 +68,13 @@ def schema_with(df: DataFrame, **kinds: str | DataType) -> StructType:
     return out
 
 
+def keeping_own(docs: DataFrame, added: tuple[str, ...], fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """fn(docs), which filters by columns it adds, with the columns that docs had, those of such names as they were."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in added}
+    kept = fn(docs.withColumnsRenamed(own)).drop(*added)
+    return kept.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
+
+
 def number_in_order(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Adds position, from 0 without gaps in each group, in the given order.
 

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType
 
-from ledgerline.llm.common import arrow_map, schema_with, stored
+from ledgerline.llm.common import arrow_map, keeping_own, schema_with, stored
 
 #: Bytes of a word (digits, letters and all of UTF-8 beyond ASCII), A-Z in lower case; others part words.
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+ADDED = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_chars")
 _WORD_BYTES = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -134,15 +135,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_b
     items_sha256. A null text has no words. With no items, or no hit, items_sha256 is that of the empty string. Items over
     most_bytes are done in several passes, each with the automaton of a part, which hand on what they found row by row.
     """
-    added = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_chars"]
     state = ["_first", "_length", "_names"]
-    base = docs.drop(*added, *state)
+    base = docs.drop(*ADDED, *state)
     parts = _parts(benchmark, most_bytes)
     items = next(parts)
     for more in parts:
         base = stored(_found(base, items, width), "contamination-part")
         items = more
-    return _found(base, items, width, last=True).select(*docs.drop(*added, *state).columns, *added)
+    return _found(base, items, width, last=True).select(*docs.drop(*ADDED, *state).columns, *ADDED)
 
 
 def _found(df: DataFrame, items: list[tuple[str | None, str | None]], width: int, last: bool = False) -> DataFrame:
@@ -178,5 +178,5 @@ def _found(df: DataFrame, items: list[tuple[str | None, str | None]], width: int
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any benchmark window."""
-    return contamination(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
+    """The documents without any benchmark window, with their own columns as they were."""
+    return keeping_own(docs, ADDED, lambda d: contamination(d, benchmark).where(~F.col("contaminated")))

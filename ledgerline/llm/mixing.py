@@ -147,8 +147,12 @@ def drawn_blocks(plan: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with rid, which no two rows share, the source as text, the size and a hash of the text."""
-    return docs.withColumns({"rid": F.monotonically_increasing_id(), "source": F.col("source").cast("string"), "size": word_count(F.col("text")), "hash": F.xxhash64("text")})
+    """docs with _mix_rid, which no two rows share, the source as text, the size and a hash of the text."""
+    return docs.withColumns({"_mix_rid": F.monotonically_increasing_id(), "_source": F.col("source").cast("string"), "_size": word_count(F.col("text")), "_hash": F.xxhash64("text")})
+
+
+def _sized(numbered: DataFrame) -> DataFrame:
+    return numbered.select(F.col("_mix_rid").alias("rid"), "doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash"))
 
 
 def _blocks_of(laid: DataFrame, block_words: int) -> DataFrame:
@@ -164,7 +168,7 @@ def mix_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OU
     A null or empty text has size 0 and gives nothing, as does a source without words; a null source is a source, the
     last. Rows that repeat are rows of their own. An empty table gives an empty result.
     """
-    sized = stored(_numbered(docs).select("rid", "doc_id", "source", "size", "hash"), "mix-sizes")
+    sized = stored(_sized(_numbered(docs)), "mix-sizes")
     plan = source_plan(sized, block_words)
     laid = stored(lay_out(sized, plan), "mix-laid")
     uses = drawn_blocks(plan, shards, seed).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
@@ -178,17 +182,18 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     """The mixed texts: the columns of docs, with a row for each part of a document in each block drawn, and shard and slot.
 
     text holds the part's words with the white space between them, n_chars (if docs has it) its length. A row without
-    words gives nothing. Columns named shard, slot, rid, size, hash, or _drawn are dropped. Rows are placed and met with the
-    draws by their numbers alone; each text moves once, to the list of its own parts.
+    words gives nothing. Columns named shard and slot are replaced. Rows are placed and met with the draws by their numbers
+    alone; each text moves once, to the list of its own parts.
     """
-    base = docs.drop("shard", "slot", "rid", "size", "hash", "_drawn")
+    base = docs.drop("shard", "slot")
     whole = stored(_numbered(base), "mix-rows")
-    plan = source_plan(whole, block_words)
-    laid = lay_out(whole.select("rid", "doc_id", "source", "size", "hash"), plan)
+    sized = _sized(whole)
+    plan = source_plan(sized, block_words)
+    laid = lay_out(sized, plan)
     drawn = _blocks_of(laid, block_words).join(drawn_blocks(plan, shards, seed).hint("merge"), ["src", "block"])
     begin = F.greatest(F.col("block") * block_words - F.col("offset"), F.lit(0)).cast("int").alias("begin")
-    lists = drawn.groupBy("rid").agg(F.collect_list(F.struct(begin, F.col("words").cast("int").alias("words"), "shard", "slot")).alias("_drawn"))
-    met = whole.join(lists.hint("merge"), "rid").withColumn("_tokens", tokens(F.col("text")))
+    lists = drawn.groupBy(F.col("rid").alias("_mix_rid")).agg(F.collect_list(F.struct(begin, F.col("words").cast("int").alias("words"), "shard", "slot")).alias("_drawn"))
+    met = whole.join(lists.hint("merge"), "_mix_rid").withColumn("_tokens", tokens(F.col("text")))
 
     def part(d: Column) -> Column:
         text = F.rtrim(F.array_join(F.slice("_tokens", d["begin"] + 1, d["words"]), ""), F.lit(SPACES))

@@ -387,9 +387,9 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs of which one of each component is left: a row with the component's smallest doc_id, any one if it
     comes repeated, and a row without a doc_id only where the component has no other. Rows without shingles all stay.
     """
-    whole = stored(docs.withColumn("_rid", F.monotonically_increasing_id()), "ngram-docs")
-    signed, known = linked(whole.select(F.col("_rid").alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, percent)
-    first = known.groupBy("comp").agg(F.coalesce(F.min_by("first_rid", "first_doc"), F.min("first_rid")).alias("_rid")).select("_rid")
-    kept = stored(first.union(signed.where("n = 0").select(F.col("rid").alias("_rid"))), "ngram-kept")
+    whole = stored(docs.withColumn("_keep_rid", F.monotonically_increasing_id()), "ngram-docs")
+    signed, known = linked(whole.select(F.col("_keep_rid").alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, percent)
+    first = known.groupBy("comp").agg(F.coalesce(F.min_by("first_rid", "first_doc"), F.min("first_rid")).alias("_keep_rid")).select("_keep_rid")
+    kept = stored(first.union(signed.where("n = 0").select(F.col("rid").alias("_keep_rid"))), "ngram-kept")
     discard(signed, known)
-    return whole.join(kept, "_rid", "left_semi").select(*docs.columns)
+    return whole.join(kept, "_keep_rid", "left_semi").select(*docs.columns)

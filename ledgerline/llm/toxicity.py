@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, held_out, schema_with
+from ledgerline.llm.common import arrow_map, held_out, keeping_own, schema_with
 from ledgerline.llm.decontaminate import normal_words
 from ledgerline.llm.labelled import labelled_sample
 
@@ -263,3 +263,8 @@ def score_toxicity(docs: DataFrame, net: Net | None) -> DataFrame:
 
         scored = arrow_map(base, judged, schema_with(base, score="double"))
     return scored.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= LEVEL).cast("int")})
+
+
+def without_toxic(docs: DataFrame, net: Net | None) -> DataFrame:
+    """The documents that the net doesn't call toxic, with their own columns as they were."""
+    return keeping_own(docs, ("held_out", "score", "predicted"), lambda d: score_toxicity(d, net).where("predicted = 0"))
