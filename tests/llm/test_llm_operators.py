@@ -9,8 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontaminate, html_extract, mixing, ngram_join, quality_ranker, quality_rules, quotation, sharding, toxicity, url_filter
-from ledgerline.llm.common import words_of
-from ledgerline.llm.text_stats import counts
+from ledgerline.llm.text_stats import FEATURES, with_counts
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 EXTRA = ", score double, shard int, slot bigint, size bigint, verdict string, held_out int, n_words int, digest string, src int"
@@ -39,7 +38,7 @@ def plain_counts(t):
 
 def test_counts(spark):
     texts = ODD + ["a b c d e f a b c d e g a b c d e", "x x x x x x x", "a b c d e a b c d e f g h i j", "l1\nl2\nl1\n \n \nl1 ", "€uro 😀 #tag|<b>&"]
-    made = docs(spark, texts).withColumn("_words", words_of(F.col("text"))).withColumns(counts())
+    made = with_counts(docs(spark, texts))
     for r in made.collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(texts[r.doc_id]), texts[r.doc_id] and texts[r.doc_id][:40]
 
@@ -77,7 +76,7 @@ def test_quality_on_odd_texts_and_without_labels(spark):
         assert all(r.predicted == 1 and r.score == 0.5 for r in scored)
         assert all(r.kept == (not r.base_failed) and r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) for r in judged)
     rows = docs(spark, ODD)
-    ranker = quality_ranker.Ranker((0.0,) * 11, (1.0,) * 11, (-1.0,) * 11, 0.0, 1.0)
+    ranker = quality_ranker.Ranker((0.0,) * len(FEATURES), (1.0,) * len(FEATURES), (-1.0,) * len(FEATURES), 0.0, 1.0)
     assert all(0 <= r.score <= 1 for r in quality_ranker.score_quality(rows, ranker).collect())
 
 
@@ -117,6 +116,84 @@ def test_long_reply_chain_and_common_passage(spark):
     assert sorted(r.position for r in got.where("conv_id = 2").collect()) == list(range(3000))
 
 
+def plain_threads(rows):
+    """conv, turn -> (parent, thread, depth, own text) by searching every earlier message for every passage."""
+    space, norm = " \t\n\x0b\x0c\r", lambda x: " ".join(re.findall(r"[^\W_]+", x.lower()))
+
+    def parse(text):
+        runs = []
+        for line in re.split(r"\r?\n", text or ""):
+            mark = re.match(r"[ \t>]*>", line)
+            level = mark[0].count(">") if mark else 0
+            if not runs or runs[-1][0] != level:
+                runs.append((level, [], []))
+            runs[-1][1].append(line[mark.end() :].strip(" ") if mark else line.strip(" "))
+            runs[-1][2].append(line)
+        return runs if text is not None else []
+
+    def keys(whole, lines):
+        return {x for x in (norm(whole), *map(norm, re.split(r"\n[ \t\r\n]*\n[ \t]*", whole)), *map(norm, lines)) if x}
+
+    own, out = defaultdict(set), {}
+    parsed = [(c, t, parse(x)) for c, t, _, x in rows]
+    texts = {}
+    for c, t, runs in parsed:
+        mine = "\n".join(x for level, _, raw in runs if level == 0 for x in raw).strip(space)
+        texts[c, t] = mine
+        if c is not None and t is not None:
+            own[c, t] |= keys(mine, re.split(r"\r?\n", mine))
+    for c, t in {(c, t) for c, t, _ in parsed if c is not None and t is not None}:
+        chars = Counter()
+        for _, _, runs in (p for p in parsed if p[:2] == (c, t)):
+            for level, lines, _ in runs:
+                for k in keys("\n".join(lines), lines) if level else ():
+                    held = [u for d, u in own if d == c and u < t and k in own[d, u]]
+                    if held:
+                        chars[level, max(held)] += len(k)
+        level = min((x for x, _ in chars), default=None)
+        out[c, t] = max(((n, u) for (x, u), n in chars.items() if x == level), default=(0, None))[1]
+    found = {}
+    for c, t in out:
+        depth, up = 0, t
+        while out[c, up] is not None:
+            depth, up = depth + 1, out[c, up]
+        found[c, t] = (out[c, t], up, depth)
+    return found, texts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quotes_against_plain_search(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    said = [f"Line {w}, of {i % 4} words." for i, w in enumerate("alpha beta gamma delta epsilon zeta".split())]
+    rows = []
+    for c in range(4):
+        for t in rng.sample(range(3000), 12):
+            lines = [("> " * rng.choice([0, 0, 0, 1, 1, 2, 3])).replace("> ", rng.choice([">", "> ", " >\t"])) + rng.choice([*said, ""]) for _ in range(rng.randrange(7))]
+            rows.append((c, t, rng.choice("ua"), rng.choice(["\n", "\r\n"]).join(lines)))
+    rows += [rows[3], (0, None, "u", said[0]), (None, 5, "u", "> " + said[0]), (1, 9999, None, None)]
+    got = quotation.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()
+    want, texts = plain_threads(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.text == texts[r.conv_id, r.turn]
+        if r.conv_id is not None and r.turn is not None:
+            assert (r.parent_turn, r.thread_turn, r.depth) == want[r.conv_id, r.turn], (r, seed)
+    for c in range(4):
+        mine = sorted((r for r in got if r.conv_id == c and r.turn is not None), key=lambda r: r.position)
+        order = [(r.thread_turn, r.depth, r.turn) for r in mine]
+        assert order == sorted(order)
+
+
+def test_deep_marks_and_many_empty_lines(spark):
+    deep = ">" * 100_000
+    rows = [(1, 0, "u", "Hello there"), (1, 1, "a", deep + " Hello there\n> Hello there\nHi"), (1, 2, "u", "> Hi\n" + "\n" * 50_000 + "Bye" + " " * 100_000), (1, 3, "a", "> " * 50_000)]
+    got = {r.turn: r for r in quotation.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert {t: r.parent_turn for t, r in got.items()} == {0: None, 1: 0, 2: 1, 3: None}
+    assert got[2].text.endswith("Bye") and got[1].n_quotes == 2
+
+
 def test_no_messages(spark):
     assert quotation.link_quotes(spark.createDataFrame([], MESSAGES)).count() == 0
 
@@ -134,26 +211,38 @@ def test_contamination_against_plain_search(spark):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     texts = ODD + [item.upper() + "!", "x " + item[:30], "Short-ITEM short, item", item + " thirteen fourteen a b c d e f", "shortitem", "one two three four five six seven eight nine", "éshort item", "zzz"]
     got = {r.doc_id: r for r in decontaminate.contamination(docs(spark, texts, extra=True), bench).collect()}
+    parts = {r.doc_id: r for r in decontaminate.contamination(docs(spark, texts, extra=True), bench, most_bytes=60).collect()}
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
         w, hit, names = plain_words(t), set(), set()
         for name, text in items:
             v = plain_words(text)
             n = min(10, len(v))
-            for window in {tuple(v[k : k + n]) for k in range(max(1, len(v) - n + 1))} if v and name else ():
+            for window in {tuple(v[k : k + n]) for k in range(max(1, len(v) - n + 1))} if v else ():
                 for p in range(len(w) - n + 1):
                     if tuple(w[p : p + n]) == window:
                         hit |= set(range(p, p + n))
-                        names.add(str(name))
-        want = (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit))
-        r = got[i]
-        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == want, t and t[:40]
+                        names |= {str(name)} - {"None"}
+        want = (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit), sum(len(w[q]) for q in hit))
+        for r in (got[i], parts[i]):
+            assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated, r.hit_chars) == want, t and t[:40]
     spans = decontaminate.contamination_spans(docs(spark, ["é Short--ITEM."]), bench).collect()
     assert [(r.item_id, r.start, r.end) for r in spans] == [("2", 2, 13)]
     empty = spark.createDataFrame([], "item_id bigint, text string")
     assert {r.contaminated for r in decontaminate.contamination(docs(spark, ODD), empty).collect()} == {False}
-    with pytest.raises(ValueError, match="most_bytes"):
-        decontaminate.contamination(docs(spark, ODD), bench, most_bytes=10)
+    cut = decontaminate.contamination_spans(docs(spark, ["é Short--ITEM."]), bench, most_bytes=60).collect()
+    assert [tuple(r) for r in cut] == [tuple(r) for r in spans]
+
+
+def test_windows_of_many_lengths_are_counted_once():
+    import random
+
+    rng = random.Random(4)
+    words = [rng.choice("abc") for _ in range(400)]
+    items = [(str(n), " ".join(rng.choice("abc") for _ in range(n))) for n in (1, 2, 3, 4, 5, 6, 7, 12)]
+    _, found = decontaminate.scan(decontaminate.build_automaton(items, 10), " ".join(words))
+    want = {(p, len(w), name) for name, text in items for w in decontaminate.item_windows(text.encode().split(), 10) for p in range(len(words)) if [x.encode() for x in words[p : p + len(w)]] == list(w)}
+    assert {(p, n, name) for p, n, names in found for name in names} == want and len(want) > 150
 
 
 # --- 4: url rules ---------------------------------------------------------------------------------------------------
@@ -225,6 +314,39 @@ def test_pages(spark):
     assert texts == {0: want, 1: "", 2: "", 3: "First paragraph, with commas, and words. Second, one.", 4: "only", 5: "plain", 6: "", 7: "deep"}
 
 
+LONG = "<p>A first paragraph, with commas, and words enough to be told from menus, goes on here.</p>"
+TEXT = "A first paragraph, with commas, and words enough to be told from menus, goes on here."
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f"<div class='layout with-sidebar'><article>{LONG}</article><div class=sidebar>Side, words.</div></div>", TEXT),
+        (f"<div class='sidebar'><article>{LONG}</article></div>", TEXT),
+        (f"<div id='search-results-article'>{LONG}</div>", TEXT),
+        (f"<div><p class='share-price'>The price, of a share.</p>{LONG}</div>", "The price, of a share. " + TEXT),
+        (f"<div><section><p>Short.</p></section><section>{LONG * 6}</section><section><h2>On</h2><p>Later.</p></section></div>", "Short. " + " ".join([TEXT] * 6) + " On Later."),
+        (f"<article><section><p>Short</p></section><section>{LONG * 6}</section><section><p>Later</p></section><div class='comment-list'>{LONG * 9}</div></article>", "Short " + " ".join([TEXT] * 6) + " Later"),
+        (f"<article>{LONG}</article><div class='related-items'><article>{LONG}</article></div>", TEXT),
+        (f"<div class=widget>{LONG * 3}</div>", " ".join([TEXT] * 3)),
+        (f"<div class='comments'>{LONG * 3}</div>", ""),
+        ("<div class='cookie-notice'>We use, cookies, here.</div>", ""),
+        (f"<h1>Title</h1><div>{LONG}</div><div class='ad-box'>Buy, now.</div>", "Title " + TEXT),
+    ],
+)
+def test_names_weigh_but_do_not_cut_the_article(page, want):
+    assert html_extract.main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ["<b>" * 20_000 + "</i>" * 20_000, "<p><table>" + "<b>" * 20_000 + "<div>" * 20_000, "<li>" * 30_000, "<p>" * 50_000])
+def test_parsing_is_linear(page):
+    import time
+
+    began = time.process_time()
+    assert html_extract.main_text(page) == ""
+    assert time.process_time() - began < 20
+
+
 def test_pages_of_the_tables_keep_their_article(spark, sf_dir):
     import html as h
 
@@ -237,11 +359,24 @@ def test_pages_of_the_tables_keep_their_article(spark, sf_dir):
 # --- 8: mixing ------------------------------------------------------------------------------------------------------
 
 
-def test_targets():
-    assert mixing.source_targets([]) == [] and mixing.source_targets([0, 0]) == [0.0, 0.0]
-    assert mixing.source_targets([100, 100, 100]) == pytest.approx([200, 500 / 3, 250 / 3])
-    got = mixing.source_targets([10, 1000, 1000])
-    assert got[0] == 20 and got[1] == pytest.approx(2 * got[2]) and sum(got) == pytest.approx(3015)
+def plain_targets(sizes):
+    weight, target, open_, left = [(5, 2, 1)[i % 3] for i in range(len(sizes))], [0.0] * len(sizes), set(range(len(sizes))), 1.5 * sum(sizes)
+    while open_:
+        total = sum(weight[i] for i in open_)
+        over = {i for i in open_ if left * weight[i] / total > 2 * sizes[i]}
+        for i in over or open_:
+            target[i] = 2.0 * sizes[i] if over else left * weight[i] / total
+        left -= sum(target[i] for i in over)
+        open_ = open_ - over if over else set()
+    return target
+
+
+@pytest.mark.parametrize("sizes", [[], [0, 0], [100, 100, 100], [10, 1000, 1000], [3, 0, 50, 7, 900, 20, 1, 1, 40]])
+def test_targets(spark, sizes):
+    names = [f"s{i:02}" for i in range(len(sizes))]
+    plan = mixing.source_plan(spark.createDataFrame([*zip(names, sizes)], "source string, size bigint"), 4).orderBy("src").collect()
+    assert [(r.src, r.source, r.source_size) for r in plan] == [(i, names[i], n) for i, n in enumerate(sizes)]
+    assert [r.target for r in plan] == pytest.approx(plain_targets(sizes))
 
 
 def test_mix(spark):
@@ -255,14 +390,14 @@ def test_mix(spark):
         by[r.source] += r.taken
         size[r.source] += r.size
     names = sorted((s for s in size if s is not None)) + [None]
-    targets = dict(zip(names, mixing.source_targets([size[s] for s in names])))
+    targets = dict(zip(names, plain_targets([size[s] for s in names])))
     for r in got:
         assert r.source_size == size[r.source] and r.target == pytest.approx(targets[r.source])
         assert abs(by[r.source] - r.target) <= 16
     again = {(r.doc_id, r.taken) for r in mixing.mix_counts(rows.repartition(3), block_words=16, shards=4).collect()}
     assert again == {(r.doc_id, r.taken) for r in got}
     parts = mixing.mix_documents(rows, block_words=16, shards=4)
-    words = {r.doc_id: r.n for r in parts.groupBy("doc_id").agg(F.sum(F.size(words_of(F.col("text")))).alias("n")).collect()}
+    words = {r.doc_id: r.n for r in parts.groupBy("doc_id").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
     assert {r.doc_id: r.taken for r in got if r.taken} == words
     for r in parts.where("doc_id >= 10").collect():
         assert r.text in texts[r.doc_id] and r.n_chars == len(r.text) and r.lang == "en"
@@ -276,6 +411,15 @@ def test_repeated_rows_are_mixed_apart(spark):
     rows = docs(spark, ["a b c d e f g h"] * 1).union(docs(spark, ["a b c d e f g h"] * 1)).union(docs(spark, [None])).union(docs(spark, [None]))
     got = mixing.mix_counts(rows, block_words=4, shards=2).collect()
     assert sorted(r.size for r in got) == [0, 0, 8, 8] and sum(r.taken for r in got) == 24
+    many = spark.range(500).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit("a b c d e f g h").alias("text"), F.lit("s").alias("source"))
+    assert mixing.mix_counts(many, block_words=8, shards=2).agg(F.sum("taken")).first()[0] == 6000
+    assert {r.n: r["count"] for r in mixing.mix_counts(many, block_words=8, shards=2).groupBy(F.col("taken").alias("n")).count().collect()} == {8: 250, 16: 250}
+
+
+def test_as_many_sources_as_rows(spark):
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.concat(F.lit("s"), "id").alias("source"))
+    got = mixing.mix_counts(many, block_words=4, shards=3)
+    assert got.agg(F.sum("taken"), F.max("taken")).first()[:] == (got.select(F.sum(F.rint(F.col("target") / 4) * 4)).first()[0], 8)
 
 
 # --- 9: sharding ----------------------------------------------------------------------------------------------------
@@ -338,10 +482,11 @@ def plain_components(rows, width, percent):
     return sorted(((d, len(sets[i]), least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("width,percent,seed", [(4, 85, 1), (5, 80, 2)])
-def test_near_duplicates_against_all_pairs(spark, width, percent, seed):
+@pytest.mark.parametrize("width,percent,seed,piece", [(4, 85, 1, 4096), (5, 80, 2, 4)])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, width, percent, seed, piece):
     import random
 
+    monkeypatch.setattr(ngram_join, "pieces_of", lambda h, levels: [max(1, 7 - piece)] * len(h) if len(h) and piece < 9 else None)
     rng = random.Random(seed)
     passage = [f"p{i}" for i in range(40)]
     rows = list(enumerate(ODD))
@@ -374,7 +519,37 @@ def test_every_member_of_a_group_meets_other_groups(spark):
     assert {(d, c) for d, _, c in got} >= {(0, 0), (1, 1), (2, 1)}
 
 
+def test_frequent_footers_lose_no_link(spark):
+    """Twenty corpora in one table, each with its own words: bodies that differ in few words, under footers that many share."""
+    import random
+
+    rows = []
+    for seed in range(20):
+        rng = random.Random(seed)
+        feet = [[f"f{seed}_{k}_{i}" for i in range(rng.choice([12, 30, 60]))] for k in range(3)]
+        for g in range(4):
+            base = [f"b{seed}_{g}_{i}" for i in range(rng.choice([40, 120, 200]))]
+            for _ in range(5):
+                text = list(base)
+                for _ in range(rng.randrange(4)):
+                    text[rng.randrange(len(text))] = f"n{rng.randrange(10**6)}"
+                rows.append((len(rows), " ".join(text + rng.choice([*feet, []]))))
+    # The same body under two footers, and a copy of the second with a few words changed.
+    body, one, two = [f"w{i}" for i in range(200)], [f"x{i}" for i in range(12)], [f"y{i}" for i in range(12)]
+    third = list(body)
+    for k in (20, 70, 120, 170):
+        third[k] = f"z{k}"
+    rows += [(len(rows) + k, " ".join(x)) for k, x in enumerate((body + one, body + two, third + two))]
+    rows += [(len(rows) + k, " ".join([f"o{k}_{i}" for i in range(30)] + f)) for k, f in enumerate([one, two] * 10)]
+    got = sorted((tuple(r) for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 85).collect()), key=str)
+    assert got == plain_components(rows, 4, 85)
+
+
 def test_keep_one_and_empty(spark):
     rows = docs(spark, ["a b c d e f g h"] * 3 + [None, "", "other words are here now"])
     assert sorted(r.doc_id for r in ngram_join.keep_one(rows).collect()) == [0, 3, 4, 5]
+    copy, other = "a b c d e f g h", "other words are here now"
+    odd = spark.createDataFrame([(None, copy, 1), (None, copy, 2), (7, copy, 3), (7, copy, 4), (7, other, 5), (3, other, 6), (None, "x y", 7), (None, "x y", 8), (9, None, 9), (9, "", 9)], "doc_id bigint, text string, node int")
+    kept = sorted((tuple(r) for r in ngram_join.keep_one(odd).collect()), key=str)
+    assert [r[:2] for r in kept] == sorted([(7, copy), (3, other), (None, "x y"), (9, None), (9, "")], key=str) and {r[2] for r in kept} > {6, 9}
     assert ngram_join.near_duplicates(docs(spark, [])).count() == 0
