@@ -9,7 +9,7 @@ from ledgerline.llm.decontaminate import clean_documents
 from ledgerline.llm.mixing import mix_documents
 from ledgerline.llm.ngram_join import keep_one
 from ledgerline.llm.sharding import assign_shards
-from ledgerline.llm.toxicity import score_toxicity, train_toxicity
+from ledgerline.llm.toxicity import train_toxicity, without_toxic
 
 SHARDS = 8
 BLOCK_WORDS = 1024
@@ -18,17 +18,17 @@ BLOCK_WORDS = 1024
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic."""
     net = train_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, net).where("predicted = 0").select(*docs.columns)
+    return without_toxic(docs, net)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares five-word shingles at a similarity of 0.8: that with the smallest doc_id."""
-    return keep_one(docs, width=5, percent=80).select(*docs.columns)
+    """One document of each group that shares five-word shingles at a similarity of 0.8: one with the smallest doc_id."""
+    return keep_one(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window of ten words."""
-    return clean_documents(spark, docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return clean_documents(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
