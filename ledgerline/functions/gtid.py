@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions.ordered import asof_backward
+from ledgerline.sources.scratch import stored
 
 KEYS = ("source_uuid",)
 #: Numbers are first merged in spans of this many, so that a source with most of the rows is spread over many tasks.
 SPAN = 1 << 16
+#: A set of at most so many intervals is broadcast to find its members.
+FEW = 512
 #: The grammar of an entry. Numbers have no sign and no leading zero.
 UUID = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 NUMBER = "[1-9][0-9]*"
@@ -22,19 +25,27 @@ ENTRY = f"^(?i){UUID}(:{NUMBER}(-{NUMBER})?)+$"
 
 
 def normalize(df: DataFrame, keys: tuple[str, ...] = KEYS, span: int = SPAN) -> DataFrame:
-    """Joins intervals that overlap or touch: within spans of numbers first, then over the islands that remain."""
-
-    def merged(rows: DataFrame, part: list[str]) -> DataFrame:
-        in_order = Window.partitionBy(*part).orderBy("lo", "hi")
-        reach = F.max("hi").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-        begins = F.when(reach.isNull() | (F.col("lo") > reach + 1), 1).otherwise(0)
-        island = F.sum("_begins").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-        numbered = rows.withColumn("_begins", begins).withColumn("_island", island)
-        return numbered.groupBy(*part, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-
-    rows = df.select(*keys, F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi"))
-    near = merged(rows.withColumn("_span", F.floor(F.col("lo") / span)), [*keys, "_span"])
-    return merged(near.select(*keys, "lo", "hi"), [*keys]).select(*keys, "lo", "hi")
+    """Joins intervals that overlap or touch: within spans of numbers first, then the islands that remain.
+
+    Islands that an interval of an earlier span reaches are told by one row a span, which carries how far those reach, and
+    numbered by counts a span, so that no source is ordered as a whole.
+    """
+    part = [*keys, "_span"]
+    rows = df.select(*keys, F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi")).withColumn("_span", F.floor(F.col("lo") / span))
+    in_order = Window.partitionBy(*part).orderBy("lo", "hi")
+    upto, earlier = in_order.rowsBetween(Window.unboundedPreceding, 0), in_order.rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max("hi").over(earlier)
+    begins = F.when(reach.isNull() | (F.col("lo") > reach + 1), 1).otherwise(0)
+    near = rows.withColumn("_begins", begins).withColumn("_island", F.sum("_begins").over(upto)).groupBy(*part, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    near = stored(near.select(*part, "lo", "hi"), "interval-islands")  # looked at more than once below
+
+    over_spans = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    reached = near.groupBy(*part).agg(F.max("hi").alias("_hi")).select(*part, F.max("_hi").over(over_spans).alias("_reach"))
+    # The islands of a span lie apart, so only what earlier spans reach can join one to what comes before it.
+    told = near.join(reached, part).withColumn("_begins", F.when(F.col("_reach").isNull() | (F.col("lo") > F.col("_reach") + 1), 1).otherwise(0))
+    starts = told.groupBy(*part).agg(F.sum("_begins").alias("_n")).select(*part, F.coalesce(F.sum("_n").over(over_spans), F.lit(0)).alias("_start"))
+    numbered = told.join(starts, part).withColumn("_island", F.col("_start") + F.sum("_begins").over(upto))
+    return numbered.groupBy(*keys, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(*keys, "lo", "hi")
 
 
 def from_points(df: DataFrame, number: str = "gno", keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -51,10 +62,16 @@ def _sweep(a: DataFrame, b: DataFrame, keys: tuple[str, ...], keep: Column) -> D
             point = F.col("lo") if at == "lo" else F.col("hi") + 1
             rows = side.select(*keys, point.cast("bigint").alias("point"), (da * sign).alias("da"), (db * sign).alias("db"))
             marks = rows if marks is None else marks.unionByName(rows)
-    marks = marks.groupBy(*keys, "point").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
-    in_order = Window.partitionBy(*keys).orderBy("point")
+    marks = marks.groupBy(*keys, "point").agg(F.sum("da").alias("da"), F.sum("db").alias("db")).withColumn("_span", F.floor(F.col("point") / SPAN))
+    marks = stored(marks, "interval-marks")
+    spans = marks.groupBy(*keys, "_span").agg(F.sum("da").alias("_da"), F.sum("db").alias("_db"), F.min("point").alias("_first"))
+    over_spans = Window.partitionBy(*keys).orderBy("_span")
+    before = over_spans.rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.select(*keys, "_span", F.coalesce(F.sum("_da").over(before), F.lit(0)).alias("_a"), F.coalesce(F.sum("_db").over(before), F.lit(0)).alias("_b"), F.lead("_first").over(over_spans).alias("_after"))
+    in_order = Window.partitionBy(*keys, "_span").orderBy("point")
     open_ = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    swept = marks.select(*keys, "point", F.sum("da").over(open_).alias("in_a"), F.sum("db").over(open_).alias("in_b"), F.lead("point").over(in_order).alias("_next"))
+    local = marks.withColumns({"_ina": F.sum("da").over(open_), "_inb": F.sum("db").over(open_), "_then": F.lead("point").over(in_order)})
+    swept = local.join(carried, [*keys, "_span"]).select(*keys, "point", (F.col("_ina") + F.col("_a")).alias("in_a"), (F.col("_inb") + F.col("_b")).alias("in_b"), F.coalesce("_then", "_after").alias("_next"))
     return normalize(swept.where(keep & F.col("_next").isNotNull()).select(*keys, F.col("point").alias("lo"), (F.col("_next") - 1).alias("hi")), keys)
 
 
@@ -92,23 +109,38 @@ def is_equal(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFr
 def _holding(rows: DataFrame, intervals: DataFrame, number: str, keys: tuple[str, ...]) -> DataFrame:
     """Adds _hi, the end of the last interval that begins at or before the row's number."""
     lowered = rows.withColumn("_uuid", F.lower(F.col(keys[0])))
-    sets = normalize(intervals, keys).select(F.lower(F.col(keys[0])).alias("_uuid"), *keys[1:], F.col("lo").alias("_at"), F.col("hi").alias("_hi"))
+    sets = intervals.select(F.lower(F.col(keys[0])).alias("_uuid"), *keys[1:], F.col("lo").alias("_at"), F.col("hi").alias("_hi"))
     return asof_backward(lowered, sets, by=["_uuid", *keys[1:]], left_at=number, right_at="_at", take=["_hi"], span=SPAN).drop("_uuid")
 
 
+def _semi(rows: DataFrame, intervals: DataFrame, number: str, keys: tuple[str, ...], inside: bool) -> DataFrame:
+    """The rows in the set, or those that aren't. A set of FEW intervals, as most are, is broadcast: its size is checked
+    first. Beyond that each row looks up the last interval before it."""
+    sets = stored(normalize(intervals, keys), "interval-set")
+    if sets.count() <= FEW:
+        held = F.broadcast(sets.select(*[F.lower(F.col(k)).alias(f"_{k}") if k == keys[0] else F.col(k).alias(f"_{k}") for k in keys], F.col("lo").alias("_lo"), F.col("hi").alias("_hi")))
+        same = (F.lower(F.col(keys[0])) == F.col(f"_{keys[0]}")) & F.col(number).between(F.col("_lo"), F.col("_hi"))
+        for k in keys[1:]:
+            same = same & (F.col(k) == F.col(f"_{k}"))
+        return rows.join(held, same, "left_semi" if inside else "left_anti")
+    found = _holding(rows, sets, number, keys)
+    holds = F.coalesce(F.col("_hi") >= F.col(number), F.lit(False))
+    return found.where(holds if inside else ~holds).drop("_hi")
+
+
 def members(rows: DataFrame, intervals: DataFrame, number: str = "gno", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The rows whose transaction id is in the set; the uuid in any case, both ends included."""
-    return _holding(rows, intervals, number, keys).where(F.col("_hi") >= F.col(number)).drop("_hi")
+    return _semi(rows, intervals, number, keys, inside=True)
 
 
 def non_members(rows: DataFrame, intervals: DataFrame, number: str = "gno", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The rows whose transaction id isn't in the set."""
-    return _holding(rows, intervals, number, keys).where(F.coalesce(F.col("_hi") < F.col(number), F.lit(True))).drop("_hi")
+    return _semi(rows, intervals, number, keys, inside=False)
 
 
 def uncovered(ranges: DataFrame, intervals: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The ranges (lo, hi) that the set doesn't hold whole: as its intervals never touch, one of them must hold a range."""
-    return _holding(ranges, intervals, "lo", keys).where(F.coalesce(F.col("_hi") < F.col("hi"), F.lit(True))).drop("_hi")
+    return _holding(ranges, normalize(intervals, keys), "lo", keys).where(F.coalesce(F.col("_hi") < F.col("hi"), F.lit(True))).drop("_hi")
 
 
 def entry_fault(entry: Column) -> Column:

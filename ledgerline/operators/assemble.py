@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.ordered import running_total
+from ledgerline.functions.ordered import DENSE, running_total
 
 #: Event kinds that begin, fill and end a transaction.
-BEGIN, ROWS, TERMINATORS = "gtid", ("rows",), ("xid", "commit", "ddl")
+BEGIN, ROWS, TERMINATORS = "gtid", ("rows",), ("xid", "commit", "ddl", "xa_prepare", "xa_resolve")
 
 
 def query_kind(sql: Column, begun: Column) -> Column:
@@ -19,7 +19,7 @@ def query_kind(sql: Column, begun: Column) -> Column:
 
 def number_transactions(events: DataFrame, by: str = "source_uuid", at: str = "seq", kind: str = "kind") -> DataFrame:
     """Adds txn_ix, the running count of transaction ids of the source; 0 before its first."""
-    return running_total(events, [by], at, F.when(F.col(kind) == BEGIN, 1).otherwise(0), "txn_ix")
+    return running_total(events, [by], at, F.when(F.col(kind) == BEGIN, 1).otherwise(0), "txn_ix", DENSE)
 
 
 def assemble(changes: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -2,58 +2,128 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.functions.ordered import running_total
 from ledgerline.operators.assemble import classify_ddl, order_faults
+from ledgerline.operators.delivery import xid_digest
 from ledgerline.sources import binlog
+from ledgerline.sources.scratch import discard, stored
 
 ORDER = "_order"
-#: Events of one payload follow each other within the place of the payload's own event.
-WITHIN = 1_000_000
 
 
 def captured_events(files: DataFrame) -> DataFrame:
     """The events of files (path, content), payloads expanded, with their kind, transaction number and order in the file.
 
-    A statement before its transaction began commits itself: its kind is ddl.
+    A statement before its transaction began commits itself: its kind is ddl. The events are stored, so that what reads them
+    doesn't split and inflate the files again; discard() deletes them.
     """
     events = binlog.expand_payloads(binlog.parse_headers(binlog.split_events(files)))
     said = F.when(F.col("type") == binlog.QUERY, binlog.statement_of(F.col("body")))
-    told = events.withColumn("_said", said).withColumn("kind", binlog.kind_of(F.col("type"), F.col("_said.sql"))).withColumn(ORDER, F.col("seq") * WITHIN + F.col("inner"))
-    numbered = running_total(told, ["file"], ORDER, F.when(F.col("kind") == "gtid", 1).otherwise(0), "txn_ix", span=1 << 34)
+    told = events.withColumn("_said", said).withColumn("kind", binlog.kind_of(F.col("type"), F.col("_said.sql"), F.col("body"))).withColumn(ORDER, binlog.place())
+    told = stored(told, "captured-kinds")
+    numbered = running_total(told, ["file"], ORDER, F.when(F.col("kind") == "gtid", 1).otherwise(0), "txn_ix", span=binlog.ORDER_SPAN)
     begun = numbered.where("kind = 'begin'").groupBy("file", "txn_ix").agg(F.min(ORDER).alias("_begun"))
     placed = numbered.join(begun, ["file", "txn_ix"], "left")
     own = F.coalesce(F.col(ORDER) < F.col("_begun"), F.lit(True))
-    return placed.withColumn("kind", F.when(F.col("kind") == "statement", F.when(own, "ddl").otherwise("marker")).otherwise(F.col("kind"))).drop("_begun")
+    whole = stored(placed.withColumn("kind", F.when(F.col("kind") == "statement", F.when(own, "ddl").otherwise("marker")).otherwise(F.col("kind"))).drop("_begun"), "captured-events")
+    discard(told)
+    return whole
 
 
-def capture_faults(events: DataFrame) -> DataFrame:
-    """(file, seq, reason) of each damaged event and each break of order; must be empty before anything is delivered."""
+def capture_faults(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
+    """(file, seq, reason) of each damaged or unknown event, each break of order and each two-phase end that nothing
+    explains; must be empty before anything is delivered."""
     damaged = events.where("fault is not null").select("file", F.col("seq"), F.col("fault").alias("reason"))
-    order = order_faults(events.where("fault is null"), by="file", at=ORDER).select("file", F.floor(F.col(ORDER) / WITHIN).cast("bigint").alias("seq"), "reason")
-    return damaged.union(order)
+    sound = events.where("fault is null")
+    strange = sound.where("kind in ('unknown', 'malformed')").select("file", "seq", F.when(F.col("kind") == "unknown", "unknown_event_type").otherwise("xa_prepare_malformed"))
+    order = order_faults(sound, by="file", at=ORDER).select("file", F.shiftright(ORDER, binlog.INNER_BITS).cast("bigint"), "reason")
+    two_phase = prepared_outcomes(events, recovered).where("outcome in ('xa_prepared_gtid_mismatch', 'xa_commit_without_prepare', 'xa_rollback_without_prepare')")
+    return damaged.union(strange).union(order).union(two_phase.select("file", F.shiftright("at", binlog.INNER_BITS).cast("bigint"), "outcome"))
 
 
-def committed(events: DataFrame) -> DataFrame:
-    """(file, txn_ix, source_uuid, gno, commit_ts) of each transaction that reached its end; one still open isn't there yet."""
-    ids = events.where("kind = 'gtid'").select("file", "txn_ix", binlog.gtid_of(F.col("body")).alias("_gtid"))
+def _ids(events: DataFrame) -> DataFrame:
+    return events.where("kind = 'gtid'").select("file", "txn_ix", binlog.gtid_of(F.col("body")).alias("gtid"))
+
+
+def prepared_outcomes(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
+    """(digest, file, at, txn_ix, gtid, prepare_file, prepare_ix, prepare_gtid, ts, outcome) of each step of a two-phase
+    transaction, by its digest, as resolve_steps() has it. Files follow each other by name.
+    """
+    ended = events.where("fault is null and kind in ('xa_prepare', 'xa_resolve')")
+    prepare, end = binlog.prepare_of(F.col("body")), binlog.resolution_of(F.col("_said.sql"))
+    xid = F.when(F.col("kind") == "xa_prepare", F.struct(*[prepare[c].alias(c) for c in ("format_id", "gtrid", "bqual")])).otherwise(F.struct(*[end[c].alias(c) for c in ("format_id", "gtrid", "bqual")]))
+    steps = ended.withColumn("_xid", xid).select(
+        xid_digest(F.col("_xid.format_id"), F.col("_xid.gtrid"), F.col("_xid.bqual")).alias("digest"),
+        F.when(F.col("kind") == "xa_prepare", "prepare").otherwise(end["verb"]).alias("verb"), "file", F.col(ORDER).alias("at"), "txn_ix", F.timestamp_seconds("timestamp").alias("ts"),
+    )
+    return resolve_steps(steps.join(_ids(events), ["file", "txn_ix"]), recovered)
+
+
+def resolve_steps(steps: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
+    """What each step (digest, verb, file, at, txn_ix, gtid, ts) of two-phase transactions comes to, in the order (file, at).
+
+    A prepare is held until the next step of its digest: a commit or rollback resolves it; the same prepare again is
+    repeated; one of another transaction is a fault. A commit or rollback without a prepare is advanced if its digest was
+    found prepared at start (recovered: digest), once; else it is a fault named for the verb. Rows of a resolved prepare
+    keep the prepare's id, and both ids count as processed from the resolution on.
+    """
+    found = (recovered if recovered is not None else steps.sparkSession.createDataFrame([], "digest string")).select("digest").distinct().withColumn("_found", F.lit(True))
+    ordered = Window.partitionBy("digest").orderBy("file", "at")
+    last = F.lag(F.struct("verb", "file", "txn_ix", "gtid")).over(ordered)
+    # A repeated prepare counts as the first of its run.
+    told = steps.withColumn("_last", last).withColumn("_again", F.coalesce((F.col("verb") == "prepare") & (F.col("_last.verb") == "prepare") & (F.col("gtid") == F.col("_last.gtid")), F.lit(False)))
+    first = F.last(F.when(~F.col("_again"), F.struct("file", "txn_ix", "gtid")), ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    following = F.first(F.when(~F.col("_again"), F.col("verb")), ignorenulls=True).over(ordered.rowsBetween(1, Window.unboundedFollowing))
+    named = told.withColumns({"_first": first, "_next": following, "_alone": (F.col("verb") != "prepare") & ~F.coalesce(F.col("_last.verb") == "prepare", F.lit(False))})
+    numbered = named.withColumn("_nth", F.sum(F.col("_alone").cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))).join(found, "digest", "left")
+    outcome = (
+        F.when(F.col("_again"), "repeated").when((F.col("verb") == "prepare") & (F.col("_last.verb") == "prepare"), "xa_prepared_gtid_mismatch")
+        .when(F.col("verb") == "prepare", F.when(F.col("_next").isNull() | (F.col("_next") == "prepare"), "held").otherwise("resolved"))
+        .when(~F.col("_alone"), F.when(F.col("verb") == "commit", "committed").otherwise("rolled_back"))
+        .when(F.col("_found") & (F.col("_nth") == 1), "advanced").otherwise(F.concat(F.lit("xa_"), F.col("verb"), F.lit("_without_prepare")))
+    )
+    mine = F.col("outcome").isin("committed", "rolled_back")
+    return numbered.withColumn("outcome", outcome).select(
+        "digest", "file", "at", "txn_ix", "gtid", *[F.when(mine, F.col(f"_first.{c}")).alias(n) for c, n in (("file", "prepare_file"), ("txn_ix", "prepare_ix"), ("gtid", "prepare_gtid"))], "ts", "outcome"
+    )
+
+
+def committed(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
+    """(file, txn_ix, source_uuid, gno, commit_ts) of each transaction that reached its end; one still open isn't there yet.
+
+    A two-phase transaction is there once its commit was read, with its prepare's id and the commit's time.
+    """
     ends = events.where(F.col("kind").isin("xid", "commit", "ddl")).groupBy("file", "txn_ix").agg(F.min_by(F.timestamp_seconds("timestamp"), F.col(ORDER)).alias("commit_ts"))
-    parts = F.split("_gtid", ":")
-    return ids.join(ends, ["file", "txn_ix"]).select("file", "txn_ix", parts[0].alias("source_uuid"), parts[1].cast("bigint").alias("gno"), "commit_ts")
+    plain = _ids(events).join(ends, ["file", "txn_ix"]).select("file", "txn_ix", "gtid", "commit_ts")
+    two = prepared_outcomes(events, recovered).where("outcome = 'committed'").select(F.col("prepare_file").alias("file"), F.col("prepare_ix").alias("txn_ix"), F.col("prepare_gtid").alias("gtid"), F.col("ts").alias("commit_ts"))
+    return plain.union(two).select("file", "txn_ix", *_parts("gtid"), "commit_ts")
+
+
+def _parts(gtid: str) -> list[Column]:
+    parts = F.split(gtid, ":")
+    return [parts[0].alias("source_uuid"), parts[1].cast("bigint").alias("gno")]
+
+
+def processed_points(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
+    """(source_uuid, gno) of all transactions that are done: a two-phase one's two ids from its resolution on, none before."""
+    plain = committed(events, recovered).select("source_uuid", "gno")
+    done = prepared_outcomes(events, recovered).where("outcome in ('committed', 'rolled_back', 'advanced')")
+    return plain.union(done.select(*_parts("gtid"))).union(done.where("prepare_gtid is not null").select(*_parts("prepare_gtid"))).distinct()
 
 
-def committed_changes(events: DataFrame, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+def committed_changes(events: DataFrame, tables: list[tuple[str, str]] | None = None, recovered: DataFrame | None = None) -> DataFrame:
     """(source_uuid, gno, change_ix, commit_ts, schema, table, op, before, after) of all committed changes of the tables.
 
-    change_ix orders the changes of a transaction.
+    change_ix, a struct of places, orders the changes of a transaction.
     """
     changes = binlog.decode_changes(events.drop("_said", "kind", ORDER, "txn_ix"), tables)
     where = events.where("kind = 'rows'").select("file", "seq", "inner", "txn_ix")
-    joined = changes.join(where, ["file", "seq", "inner"]).join(committed(events), ["file", "txn_ix"])
-    order = ((F.col("seq") * WITHIN + F.col("inner")) * WITHIN + F.col("change_ix")).alias("change_ix")
-    return joined.select("source_uuid", "gno", order, "commit_ts", "schema", "table", "op", "before", "after")
+    joined = changes.join(where, ["file", "seq", "inner"]).join(committed(events, recovered), ["file", "txn_ix"])
+    return joined.select("source_uuid", "gno", F.struct("seq", "inner", "change_ix").alias("change_ix"), "commit_ts", "schema", "table", "op", "before", "after")
 
 
 def schema_changes(events: DataFrame) -> DataFrame:

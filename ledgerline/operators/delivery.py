@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions import gtid
-from ledgerline.functions.ordered import asof_backward, number_rows
+from ledgerline.functions.ordered import DENSE, asof_backward, number_rows
 from ledgerline.sources.scratch import discard, stored
 
 
@@ -39,11 +39,11 @@ def deadline_batches(rows: DataFrame, by: str, at: str, most: int, flush: int) -
     a number that rises strictly. Where a batch would end is found for every possible start, by lookups ahead in the
     order; which entries really start one follows from the first by doubling steps, so no source is walked in one task.
     """
-    placed = number_rows(rows.select(by, F.col(at).cast("bigint").alias("at")), [by], "at", "i")
+    placed = stored(number_rows(rows.select(by, F.col(at).cast("bigint").alias("at")), [by], "at", "i"), "batch-order")
     placed = placed.withColumn("_back", -F.col("i"))
     nexts = placed.select(by, (F.col("i") - 1).alias("i"), F.col("at").alias("_next_at"))
     gaps = placed.join(nexts, [by, "i"], "left").where(F.col("_next_at").isNull() | (F.col("_next_at") - F.col("at") >= flush)).select(by, F.col("_back").alias("_gap_back"), F.col("i").alias("gap_i"))
-    ahead = asof_backward(placed, gaps, [by], "_back", "_gap_back", ["gap_i"])
+    ahead = asof_backward(placed, gaps, [by], "_back", "_gap_back", ["gap_i"], DENSE)
     due = ahead.withColumn("_due", -(F.col("at") + flush))
     late = placed.select(by, (-F.col("at")).alias("_late"), F.col("i").alias("late_i"))
     ends = asof_backward(due, late, [by], "_due", "_late", ["late_i"]).withColumn("end_i", F.least(F.col("i") + most - 1, F.col("gap_i"), F.coalesce("late_i", F.col("gap_i"))))
@@ -69,8 +69,9 @@ def latest_state(changes: DataFrame, key: list[str], order: str, columns: list[s
 
 
 def receipts(changes: DataFrame) -> DataFrame:
-    """A ledger of what was delivered, without any value: (gtid, op, commit_ts)."""
-    return changes.select(F.concat_ws(":", "source_uuid", F.col("gno").cast("string")).alias("gtid"), "op", "commit_ts")
+    """A ledger of what was delivered, without any value: (gtid, schema, table, op, commit_ts), as far as changes have them."""
+    named = [c for c in ("schema", "table") if c in changes.columns]
+    return changes.select(F.concat_ws(":", "source_uuid", F.col("gno").cast("string")).alias("gtid"), *named, "op", "commit_ts")
 
 
 def xid_digest(format_id: Column, gtrid: Column, bqual: Column, namespace: str = "xa.v1") -> Column:
@@ -87,15 +88,18 @@ def xid_digest(format_id: Column, gtrid: Column, bqual: Column, namespace: str =
 
 
 def resolve_prepared(prepared: DataFrame, resolutions: DataFrame, recovered: DataFrame) -> DataFrame:
-    """(digest, outcome) of every digest seen, each resolved once.
+    """(digest, outcome) of every digest seen; each side may name a digest again, which counts once.
 
     Prepared and resolved: committed or rolled_back. Prepared only: held. Resolved only: advanced if it was found prepared
-    at start (`recovered`), else a fault named for the verb.
+    at start (`recovered`), else a fault named for the verb. Resolved both ways: conflicting_resolutions. The steps of a
+    digest that is used again, in order, are capture.resolve_steps().
     """
-    both = prepared.select("digest", F.lit(True).alias("_prepared")).join(resolutions.select("digest", "verb"), "digest", "full")
-    known = both.join(recovered.select("digest", F.lit(True).alias("_found")), "digest", "left")
+    ends = resolutions.groupBy("digest").agg(F.min("verb").alias("verb"), F.max("verb").alias("_other"))
+    both = prepared.select("digest").distinct().withColumn("_prepared", F.lit(True)).join(ends, "digest", "full")
+    known = both.join(recovered.select("digest").distinct().withColumn("_found", F.lit(True)), "digest", "left")
     outcome = (
         F.when(F.col("verb").isNull(), "held")
+        .when(F.col("verb") != F.col("_other"), "conflicting_resolutions")
         .when(F.col("_prepared"), F.when(F.col("verb") == "commit", "committed").otherwise("rolled_back"))
         .when(F.col("_found"), "advanced")
         .otherwise(F.concat(F.lit("xa_"), F.col("verb"), F.lit("_without_prepare")))

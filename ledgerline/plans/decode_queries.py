@@ -1,11 +1,13 @@
-"""Queries over captured binary events, made from the test tables and read back."""
+"""Queries over captured binary events, laid out byte by byte from the test tables and read back."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources import binlog, binlog_writer
+from ledgerline.operators import capture
+from ledgerline.operators.delivery import xid_digest
+from ledgerline.sources import binlog
 from ledgerline.sources.changelog import table
 
 
@@ -14,6 +16,17 @@ def _bytes(n: Column, size: int) -> Column:
     return F.unhex(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))]))
 
 
+def _raw(hexed: str) -> Column:
+    return F.unhex(F.lit(hexed.replace(" ", "")))
+
+
+def _event(kind: int, body: Column, sealed: bool = True, at: Column | None = None) -> Column:
+    """A header of 19 bytes (time, type, server, size, position, flags) and a body, with a checksum if sealed."""
+    size = F.octet_length(body) + (23 if sealed else 19)
+    head = F.concat(_bytes(at if at is not None else F.lit(0), 4), _bytes(F.lit(kind), 1), _bytes(F.lit(1), 4), _bytes(size, 4), _raw("00000000 0000"), body)
+    return F.concat(head, _bytes(F.crc32(head), 4)) if sealed else head
+
+
 def q42_crc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit events with their checksums, of which every 50th is damaged and every 70th cut."""
     key = F.col("event_id")
@@ -27,22 +40,110 @@ def q42_crc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q43_zstd_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = binlog_writer.payload_events(table(spark, sf_dir, "events"), "event_id", 3)
-    inner = binlog.expand_payloads(binlog.parse_headers(made))
-    return inner.select("seq", "inner", binlog.little(F.col("body"), 1, 7).alias("xid"))
+    """Three commits an event within a compressed payload: a frame of one raw block, written out byte by byte."""
+    key = F.col("event_id")
+    inner = F.concat(*[_event(16, _bytes(key * 3 + i, 8), sealed=False) for i in range(3)])
+    n = F.octet_length(inner)
+    # The frame: magic, a descriptor for one segment with its size in one byte, and a last raw block, its size above 3 bits.
+    frame = F.concat(_raw("28B52FFD 20"), _bytes(n, 1), _bytes(n * 8 + 1, 3), inner)
+    fields = F.concat(_raw("02 01 00 03 01"), _bytes(n, 1), _raw("01 01"), _bytes(F.octet_length(frame), 1), _raw("00"))
+    made = table(spark, sf_dir, "events").select(F.lit("f").alias("file"), key.alias("seq"), _event(40, F.concat(fields, frame)).alias("raw"))
+    expanded = binlog.expand_payloads(binlog.parse_headers(made))
+    return expanded.select("seq", "inner", binlog.little(F.col("body"), 1, 7).alias("xid"))
+
+
+#: A table map of shop.orders (id and cents BIGINT, status CHAR, day DATE): table 9, flags, names, types, metadata, null bits,
+#: then the optional parts: signs of the two numbers, and the column names.
+ORDERS_MAP = "090000000000 0000 04 73686F70 00 06 6F7264657273 00 04 08FE080A 02 FE04 00 01 01 00 04 14 02 6964 06 737461747573 05 63656E7473 03 646179"
+
+
+def _order_row() -> Column:
+    """The row image of an order: no null, id, status with its length, cents, and the day as year, month and day bits."""
+    day = F.year("day") * 512 + F.month("day") * 32 + F.dayofmonth("day")
+    return F.concat(_raw("00"), _bytes(F.col("o_orderkey"), 8), _bytes(F.octet_length("o_orderstatus"), 1), F.col("o_orderstatus").cast("binary"), _bytes(F.col("cents"), 8), _bytes(day, 3))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"), F.to_date("o_orderdate").alias("day"))
+
+
+def _rows_event() -> Column:
+    return _event(30, F.concat(_raw("090000000000 0000 0200 04 0F"), _order_row()))
 
 
 def q44_binary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"), F.to_date("o_orderdate").alias("day"))
-    events = binlog.parse_headers(binlog_writer.order_events(orders)).withColumn("inner", F.lit(0).cast("bigint"))
+    pair = F.array(_event(19, _raw(ORDERS_MAP)), _rows_event())
+    made = _orders(spark, sf_dir).select(F.col("o_orderkey").cast("string").alias("file"), F.posexplode(pair).alias("seq", "raw")).withColumn("seq", F.col("seq").cast("bigint"))
+    events = binlog.parse_headers(made).withColumn("inner", F.lit(0).cast("bigint"))
     image = F.from_json("after", "id bigint, status string, cents bigint, day string")
     changes = binlog.decode_changes(events, [("shop", "orders")]).select("op", image.alias("r"))
     return changes.select("op", F.col("r.id").alias("o_orderkey"), F.col("r.status").alias("o_orderstatus"), F.col("r.cents").alias("cents"), F.col("r.day").alias("day"))
 
 
-QUERIES = {f.__name__: f for f in (q42_crc_filter, q43_zstd_roundtrip, q44_binary_decode)}
+SID = "00112233445566778899AABBCCDDEEFF"
+UUID = "00112233-4455-6677-8899-aabbccddeeff"
+
+
+def _gtid(n: Column) -> Column:
+    return _event(33, F.concat(_raw("01" + SID), _bytes(n, 8), _raw("00" * 17)))
+
+
+def _statement(sql: Column, at: Column) -> Column:
+    return _event(2, F.concat(_raw("01000000 00000000 04 0000 0000"), F.lit("shop").cast("binary"), _raw("00"), sql.cast("binary")), at=at)
+
+
+def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured events of an order in two phases, a file an order: prepared as 2k unless its key ends in 9, ended as 2k + 1
+    by a commit (status F) or a rollback (O); of those that end in 4 the prepare comes twice, and of those that end in 5 it
+    is in one phase, so that it commits at once. Keys of 19, 39 and so on were found prepared at start."""
+    key = F.col("o_orderkey")
+    gtrid, digit = F.concat(F.lit("order-"), key.cast("string")), key % 10
+    xid = F.concat(F.lit("X'"), F.lower(F.hex(gtrid.cast("binary"))), F.lit("',X'62',7"))
+    begin = [_gtid(key * 2), _statement(F.concat(F.lit("XA START "), xid), F.lit(50)), _event(19, _raw(ORDERS_MAP)), _rows_event()]
+    body = F.concat(_bytes(F.when(digit == 5, 1).otherwise(0), 1), _bytes(F.lit(7), 4), _bytes(F.octet_length(gtrid), 4), _bytes(F.lit(1), 4), gtrid.cast("binary"), _raw("62"))
+    prepare = F.array(*begin, _event(38, body, at=F.lit(100)))
+    verb = F.when(F.col("o_orderstatus") == "F", "XA COMMIT ").otherwise("XA ROLLBACK ")
+    end = F.array(_gtid(key * 2 + 1), _statement(F.concat(verb, xid), F.lit(1000) + digit))
+    none = F.array().cast("array<binary>")
+    first = F.when(digit == 9, none).when(digit == 4, F.concat(prepare, prepare)).otherwise(prepare)
+    events = F.concat(first, F.when((F.col("o_orderstatus") == "P") | (digit == 5), none).otherwise(end))
+    content = F.unhex(F.concat(F.lit("FE62696E"), F.array_join(F.transform(events, lambda e: F.hex(e)), "")))
+    return capture.captured_events(_orders(spark, sf_dir).select(key.cast("string").alias("path"), content.alias("content")))
+
+
+def recovered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gtrid = F.concat(F.lit("order-"), F.col("o_orderkey").cast("string"))
+    return table(spark, sf_dir, "orders").where("o_orderkey % 20 = 19").select(xid_digest(F.lit(7), gtrid, F.lit("b")).alias("digest"))
+
+
+def q45_xa_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = capture.committed_changes(prepared_orders(spark, sf_dir), [("shop", "orders")], recovered_orders(spark, sf_dir))
+    image = F.from_json("after", "id bigint, cents bigint")
+    return changes.select("source_uuid", "gno", F.unix_seconds("commit_ts").alias("committed_at"), image["id"].alias("o_orderkey"), image["cents"].alias("cents"))
+
+
+def q46_xa_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each step of a two-phase transaction and what it came to, with how many ids are done in all."""
+    events, recovered = prepared_orders(spark, sf_dir), recovered_orders(spark, sf_dir)
+    steps = capture.prepared_outcomes(events, recovered).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum(F.split("gtid", ":")[1].cast("bigint")).alias("ids"))
+    done = capture.processed_points(events, recovered).agg(F.lit("done").alias("outcome"), F.count(F.lit(1)).alias("n"), F.sum("gno").alias("ids"))
+    return steps.union(done)
+
+
+QUERIES = {f.__name__: f for f in (q42_crc_filter, q43_zstd_roundtrip, q44_binary_decode, q45_xa_committed, q46_xa_outcomes)}
 ORACLES = {
     "q42_crc_filter": "SELECT CASE WHEN event_id % 70 = 69 THEN 'truncated' WHEN event_id % 50 = 49 THEN 'crc_mismatch' ELSE 'ok' END AS verdict, count(*)::BIGINT AS n, sum(CASE WHEN event_id % 70 = 69 OR event_id % 50 = 49 THEN 0 ELSE event_id END)::BIGINT AS ids FROM events GROUP BY 1",
     "q43_zstd_roundtrip": "SELECT event_id AS seq, i::BIGINT AS inner, event_id * 3 + i AS xid FROM events, range(3) AS r(i)",
     "q44_binary_decode": "SELECT 'insert' AS op, o_orderkey, o_orderstatus, round(o_totalprice * 100)::BIGINT AS cents, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders",
+    "q45_xa_committed": """SELECT '00112233-4455-6677-8899-aabbccddeeff' AS source_uuid, o_orderkey * 2 AS gno, CASE WHEN o_orderkey % 10 = 5 THEN 100 ELSE 1000 + o_orderkey % 10 END AS committed_at,
+        o_orderkey, round(o_totalprice * 100)::BIGINT AS cents
+      FROM orders WHERE o_orderkey % 10 = 5 OR (o_orderkey % 10 <> 9 AND o_orderstatus = 'F')""",
+    "q46_xa_outcomes": """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 10 AS d, o_orderstatus AS s, o_orderkey % 20 = 19 AS found FROM orders),
+      steps AS (
+        SELECT 'repeated' AS outcome, k * 2 AS id, false AS done FROM o WHERE d = 4
+        UNION ALL SELECT CASE WHEN s = 'P' THEN 'held' ELSE 'resolved' END, k * 2, false FROM o WHERE d NOT IN (5, 9)
+        UNION ALL SELECT CASE s WHEN 'F' THEN 'committed' ELSE 'rolled_back' END, k * 2 + 1, true FROM o WHERE d NOT IN (5, 9) AND s <> 'P'
+        UNION ALL SELECT CASE WHEN found THEN 'advanced' WHEN s = 'F' THEN 'xa_commit_without_prepare' ELSE 'xa_rollback_without_prepare' END, k * 2 + 1, found FROM o WHERE d = 9 AND s <> 'P'),
+      ids AS (SELECT id FROM steps WHERE done UNION SELECT id - 1 FROM steps WHERE outcome IN ('committed', 'rolled_back') UNION SELECT k * 2 FROM o WHERE d = 5)
+      SELECT outcome, count(*)::BIGINT AS n, sum(id)::BIGINT AS ids FROM steps GROUP BY 1 UNION ALL SELECT 'done', count(*)::BIGINT, sum(id)::BIGINT FROM ids""",
 }

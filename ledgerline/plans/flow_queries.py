@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import gtid
-from ledgerline.functions.ordered import asof_backward, fill_forward, number_rows
+from ledgerline.functions.ordered import DENSE, asof_backward, fill_forward, number_rows
 from ledgerline.operators import assemble as asm
 from ledgerline.operators import delivery
 from ledgerline.plans.gtid_queries import CL, RENDER, islands
@@ -15,16 +15,26 @@ from ledgerline.sources.changelog import change_log, table, transactions
 #: How an event of the test table stands for an event of a stream, with 1 of 5 left out as in a damaged stream.
 KINDS = "CASE WHEN event_type IN ('signup', 'click') THEN 'gtid' WHEN event_type = 'purchase' THEN 'rows' WHEN event_type = 'view' THEN 'xid' ELSE 'marker' END"
 
-STATEMENTS = (
-    "CREATE TABLE foo (id INT)", "create table if not exists foo(id INT)", "CREATE TEMPORARY TABLE bar (id INT)", "CREATE TEMPORARY TABLE IF NOT EXISTS bar (id INT)",
-    "DROP TABLE foo;", "DROP TABLE IF EXISTS foo, baz", "DROP TEMPORARY TABLE IF EXISTS s1.t1", "TRUNCATE TABLE baz", "TRUNCATE baz",
-    "ALTER TABLE `mydb`.`widgets_ddl` ADD COLUMN x INT", "  ALTER   TABLE t2 DROP COLUMN y", "ANALYZE TABLE foo", "RENAME TABLE a TO b", "DROP TABLE",
-)
-CLASSES = (
-    ("create_table", "probe_db", "foo"), ("create_table", "probe_db", "foo"), ("create_table", "probe_db", "bar"), ("create_table", "probe_db", "bar"),
-    ("drop_table", "probe_db", "foo"), ("drop_table", "probe_db", "foo"), ("drop_table", "s1", "t1"), ("truncate", "probe_db", "baz"), ("truncate", "probe_db", "baz"),
-    ("alter_table", "mydb", "widgets_ddl"), ("alter_table", "probe_db", "t2"), ("other", None, None), ("other", None, None), ("drop_table", "probe_db", None),
+#: What a statement about a table may begin with, and its class; how its name may be written, with the schema and table that
+#: this names; and what may follow. Every beginning meets every name, and what follows in turn.
+OPENINGS = (
+    ("CREATE TABLE", "create_table"), ("create  table if not exists", "create_table"), ("Create Temporary Table", "create_table"), ("CREATE TEMPORARY TABLE IF NOT EXISTS", "create_table"),
+    ("DROP TABLE", "drop_table"), ("drop table if exists", "drop_table"), ("DROP TEMPORARY TABLE IF EXISTS", "drop_table"), ("TRUNCATE", "truncate"), ("truncate\ttable", "truncate"), (" ALTER TABLE", "alter_table"),
 )
+NAMES = (("stock", None, "stock"), ("`stock`", None, "stock"), ("depot.stock", "depot", "stock"), ("`depot`.`Stock 2`".replace(" ", "_"), "depot", "Stock_2"), ('"depot"."stock"', "depot", "stock"))
+ENDINGS = {"create_table": ("(k INT)", " (k INT, PRIMARY KEY (k))"), "drop_table": ("", ";", ", crates"), "truncate": ("", ";"), "alter_table": (" ADD COLUMN w INT", "\n DROP COLUMN w")}
+OTHERS = ("OPTIMIZE TABLE stock", "GRANT SELECT ON depot.stock TO u", "CREATE INDEX i ON stock (k)", "SET @a = 'DROP TABLE stock'")
+
+
+def statements() -> list[tuple[str, str, str | None, str | None]]:
+    """(sql, kind, schema, table) of every statement that the lists make; without a schema of its own it is in `home`."""
+    out = []
+    for opening, kind in OPENINGS:
+        for k, (name, schema, table_name) in enumerate(NAMES):
+            out.append((f"{opening} {name}{ENDINGS[kind][k % len(ENDINGS[kind])]}", kind, schema or "home", table_name))
+    return out + [(sql, "other", None, None) for sql in OTHERS] + [("DROP TABLE", "drop_table", "home", None)]
+
+
 SETTINGS = (
     (0, "ROW", "FULL", "FULL", "", "ON", "1"), (1, "MIXED", "FULL", "FULL", "", "ON", "1"), (2, "ROW", "MINIMAL", "FULL", "", "ON", "1"), (3, "ROW", "FULL", "MINIMAL", "", "ON", "1"),
     (4, "ROW", "FULL", "FULL", "PARTIAL_JSON", "ON", "1"), (5, "ROW", "FULL", "FULL", "", "OFF", "1"), (6, "ROW", "FULL", "FULL", "", "ON", "0"), (7, "ROW", "MINIMAL", "FULL", "", "ON", "0"),
@@ -57,14 +67,14 @@ def q12_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q13_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = change_log(spark, sf_dir).withColumn("gtid", F.when(F.col("gno") % 4 == 1, F.concat_ws(":", "source_uuid", F.col("gno").cast("string"))))
-    return fill_forward(log.select("source_uuid", "seq", "gtid"), ["source_uuid"], "seq", "gtid", "filled").select("seq", "filled")
+    return fill_forward(log.select("source_uuid", "seq", "gtid"), ["source_uuid"], "seq", "gtid", "filled", DENSE).select("seq", "filled")
 
 
 def q14_schema_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     epoch = (F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1_000_000).cast("bigint")
     versions = table(spark, sf_dir, "orders").groupBy("o_custkey", epoch.alias("valid_from")).agg(F.max("o_orderkey").alias("version"))
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("o_custkey"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("bigint").alias("at"))
-    return asof_backward(events, versions, ["o_custkey"], "at", "valid_from", ["version"], span=86_400 * 365).select("event_id", "version")
+    return asof_backward(events, versions, ["o_custkey"], "at", "valid_from", ["version"]).select("event_id", "version")
 
 
 def q15_desync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +83,8 @@ def q15_desync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q16_ddl_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(list(enumerate(STATEMENTS)), "id int, sql string")
-    return rows.select("id", asm.classify_ddl(F.col("sql"), F.lit("probe_db")).alias("c")).select("id", "c.kind", "c.schema", F.col("c.table").alias("table_name"))
+    rows = spark.createDataFrame([(i, sql) for i, (sql, *_) in enumerate(statements())], "id int, sql string")
+    return rows.select("id", asm.classify_ddl(F.col("sql"), F.lit("home")).alias("c")).select("id", "c.kind", "c.schema", F.col("c.table").alias("table_name"))
 
 
 def _xid(key: str):
@@ -152,7 +162,7 @@ ORACLES = {
             UNION ALL SELECT e.source_uuid, e.seq, 'gtid_within_open_transaction' FROM e WHERE kind = 'gtid' AND ix > 1
               AND NOT EXISTS (SELECT 1 FROM e AS p WHERE p.source_uuid = e.source_uuid AND p.ix = e.ix - 1 AND p.kind = 'xid'))
       SELECT source_uuid, reason, count(*)::BIGINT AS n, min(seq) AS first_seq FROM f GROUP BY 1, 2""",
-    "q16_ddl_classify": f"SELECT id::INTEGER AS id, kind, schema, table_name FROM {values(tuple((i, *c) for i, c in enumerate(CLASSES)), 'id, kind, schema, table_name')}",
+    "q16_ddl_classify": f"SELECT id::INTEGER AS id, kind, schema, table_name FROM {values(tuple((i, *c) for i, (_, *c) in enumerate(statements())), 'id, kind, schema, table_name')}",
     "q17_xa_resolve": """WITH o AS (SELECT o_orderkey, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n,
         CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 10 <> 9 THEN 'held' END
              WHEN o_orderkey % 10 <> 9 THEN CASE o_orderstatus WHEN 'F' THEN 'committed' ELSE 'rolled_back' END

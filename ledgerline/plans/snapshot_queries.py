@@ -10,7 +10,9 @@ from ledgerline.plans.flow_queries import values
 from ledgerline.plans.gtid_queries import CL
 from ledgerline.sources.changelog import change_log, table
 
-COLUMNS = (("widgets", 1, "id", "int"), ("widgets", 2, "name", "varchar(50)"), ("widgets", 3, "qty", "int"), ("t", 1, "id", "int"), ("t", 10, "v", "int"), ("t", 2, "w", "text"))
+#: Tables of 1 to 12 columns, listed backwards, so that both the order and its being numeric count.
+KINDS = ("bigint", "varchar(20)", "decimal(8,3)", "date")
+COLUMNS = tuple((f"t{n:02}", k, f"c{(k * 7) % 13}", KINDS[(n + k) % 4]) for n in range(1, 13) for k in range(n, 0, -1))
 NULLABLE = (("a", "id", False), ("a", "x", True), ("b", "k1", False), ("b", "k2", False), ("b", "u", False), ("c", "n", True), ("d", "p", False), ("d", "q", False))
 INDEXES = (
     ("a", "PRIMARY", 1, "id", True), ("a", "aaa", 1, "id", True), ("b", "uniq_b", 2, "k1", True), ("b", "uniq_b", 1, "k2", True), ("b", "zzz", 1, "u", True),

@@ -17,16 +17,23 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.ordered import asof_backward, running_total
+from ledgerline.functions.ordered import DENSE, asof_backward, running_total
 
 #: The file's magic, event types, and header and checksum sizes.
 MAGIC = b"\xfebin"
 QUERY, ROTATE, FORMAT, XID, TABLE_MAP, ROWS_QUERY, GTID, XA_PREPARE, PAYLOAD = 2, 4, 15, 16, 19, 29, 33, 38, 40
 ROW_EVENTS = {30: "insert", 31: "update", 32: "delete"}
+#: Events that are passed over (stop, heartbeat, statement texts, earlier ids); all others are refused.
+PASSED = (3, 27, ROWS_QUERY, 35)
+KNOWN = (QUERY, ROTATE, FORMAT, XID, TABLE_MAP, GTID, XA_PREPARE, PAYLOAD, *ROW_EVENTS, *PASSED)
 HEADER, CHECKSUM = 19, 4
 #: A payload may inflate to so many bytes.
 MOST_INFLATED = 1 << 30
 
+#: An event's place in its file: its own, or that of its payload, above its place in the payload.
+INNER_BITS = 31
+ORDER_SPAN = DENSE << INNER_BITS
+
 EVENT_SCHEMA = "file string, seq bigint, raw binary"
 
 
@@ -88,13 +95,41 @@ def statement_of(body: Column) -> Column:
     )
 
 
-def kind_of(type_: Column, sql: Column) -> Column:
-    """The event's part in a transaction."""
+def place() -> Column:
+    """Where an event stands in its file, as one number; a file or a payload of 2^31 events or more is refused."""
+    fits = (F.col("seq") < 1 << INNER_BITS) & (F.col("inner") < 1 << INNER_BITS)
+    return F.when(fits, F.shiftleft(F.col("seq"), INNER_BITS) + F.col("inner")).otherwise(F.raise_error(F.lit("too_many_events")).cast("bigint"))
+
+
+def prepare_of(body: Column) -> Column:
+    """struct(one_phase, format_id, gtrid, bqual) of a prepare event; null if its lengths don't add up."""
+    lengths = [little(body, at, 4) for at in (2, 6, 10)]
+    whole = F.length(body) == 13 + lengths[1] + lengths[2]
+    return F.when(
+        whole,
+        F.struct(
+            (little(body, 1, 1) == 1).alias("one_phase"), lengths[0].alias("format_id"), F.substring(body, F.lit(14), lengths[1].cast("int")).alias("gtrid"),
+            F.substring(body, (lengths[1] + 14).cast("int"), lengths[2].cast("int")).alias("bqual"),
+        ),
+    )
+
+
+def resolution_of(sql: Column) -> Column:
+    """struct(verb, format_id, gtrid, bqual) of the statement that ends a prepared transaction; null for any other text."""
+    text = F.trim(sql)
+    pattern = r"^XA (COMMIT|ROLLBACK) +X'((?:[0-9a-fA-F]{2})*+)' *, *X'((?:[0-9a-fA-F]{2})*+)' *, *([0-9]{1,10})(?: +ONE PHASE)?$"
+    part = [F.regexp_extract(text, pattern, k) for k in (1, 2, 3, 4)]
+    return F.when(part[0] != "", F.struct(F.lower(part[0]).alias("verb"), part[3].cast("bigint").alias("format_id"), F.unhex(part[1]).alias("gtrid"), F.unhex(part[2]).alias("bqual")))
+
+
+def kind_of(type_: Column, sql: Column, body: Column) -> Column:
+    """The event's part in a transaction. A prepare in one phase commits; a statement that ends a prepared one resolves it."""
     text = F.upper(F.trim(sql))
     return (
         F.when(type_ == GTID, "gtid").when(type_ == XID, "xid").when(type_.isin(*ROW_EVENTS), "rows").when(type_ == TABLE_MAP, "table_map")
-        .when(type_ == QUERY, F.when(text == "COMMIT", "commit").when((text == "BEGIN") | text.startswith("XA "), "begin").otherwise("statement"))
-        .when(type_ == XA_PREPARE, "xa_prepare").otherwise("other")
+        .when(type_ == QUERY, F.when(text == "COMMIT", "commit").when(resolution_of(sql).isNotNull(), "xa_resolve").when((text == "BEGIN") | text.startswith("XA "), "begin").otherwise("statement"))
+        .when(type_ == XA_PREPARE, F.when(prepare_of(body).isNull(), "malformed").when(little(body, 1, 1) == 1, "commit").otherwise("xa_prepare"))
+        .when(type_.isin(*KNOWN), "other").otherwise("unknown")
     )
 
 
@@ -129,30 +164,33 @@ def inflate(payload: bytes) -> bytes:
 
 
 def expand_payloads(events: DataFrame) -> DataFrame:
-    """Replaces each compressed-payload event by the events in it, with its own place and log position."""
+    """Replaces each compressed-payload event by the events in it, with its own place and log position.
 
+    Only the payloads go through Arrow; all other events stay as they are.
+    """
     names = events.columns
+    packed = (F.col("type") == PAYLOAD) & F.col("fault").isNull()
 
     def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             for r in batch.to_pylist():
-                if r["type"] != PAYLOAD or r["fault"]:
-                    rows.append((*(r[c] for c in names), 0))
-                    continue
-                inner, at, ix = inflate(r["body"]), 0, 0
+                inner, at, rows = inflate(r["body"]), 0, []
                 while at < len(inner):
+                    if at + HEADER > len(inner):
+                        raise ValueError("inner_event_truncated")
                     ts, kind, server, size, _, flags = struct.unpack_from("<IBIIIH", inner, at)
                     if size < HEADER or at + size > len(inner):
                         raise ValueError("inner_event_malformed" if size < HEADER else "inner_event_truncated")
                     if kind == PAYLOAD:
                         raise ValueError("nested_payload_unsupported")
                     new = r | {"type": kind, "timestamp": ts, "server_id": server, "flags": flags, "body": inner[at + HEADER : at + size]}
-                    rows.append((*(new[c] for c in names), ix))
-                    at, ix = at + size, ix + 1
-            yield _batch(rows, *[(n, batch.schema.field(n).type) for n in names], ("inner", pa.int64()))
+                    rows.append((*(new[c] for c in names), len(rows)))
+                    at += size
+                yield _batch(rows, *[(n, batch.schema.field(n).type) for n in names], ("inner", pa.int64()))
 
-    return events.mapInArrow(expanded, ", ".join(f"{n} {t}" for n, t in events.dtypes) + ", inner bigint")
+    schema = ", ".join(f"{n} {t}" for n, t in events.dtypes) + ", inner bigint"
+    plain = events.where(F.coalesce(~packed, F.lit(True))).withColumn("inner", F.lit(0).cast("bigint"))
+    return plain.union(events.where(packed).mapInArrow(expanded, schema))
 
 
 def _packed(b: bytes, at: int) -> tuple[int, int]:
@@ -327,11 +365,16 @@ def decode_changes(events: DataFrame, tables: list[tuple[str, str]] | None = Non
     tables, if given, is applied to the table maps, so that the rows of other tables are never decoded. A row event
     without a table map fails the query.
     """
-    numbered = events.withColumn("_order", F.col("seq") * 1_000_000 + F.col("inner"))
-    numbered = running_total(numbered, ["file"], "_order", F.when(F.col("type").isin(ROTATE, FORMAT), 1).otherwise(0), "epoch", span=1 << 34)
-    ids = numbered.where(F.col("type").isin(TABLE_MAP, *ROW_EVENTS)).withColumn("table_id", little(F.col("body"), 1, 6))
-    maps = ids.where(F.col("type") == TABLE_MAP).select("file", "epoch", "table_id", F.col("_order").alias("_map_order"), F.col("body").alias("map_body"))
-    rows = asof_backward(ids.where(F.col("type") != TABLE_MAP), maps, ["file", "epoch", "table_id"], "_order", "_map_order", ["map_body"], span=1 << 34)
+    marked = events.withColumn("_order", place())
+    # Which map a row event reads is found on places alone; bodies are joined to it once.
+    table_id = F.when(F.col("type").isin(TABLE_MAP, *ROW_EVENTS), little(F.col("body"), 1, 6))
+    narrow = marked.where(F.col("type").isin(ROTATE, FORMAT, TABLE_MAP, *ROW_EVENTS)).select("file", "_order", "type", table_id.alias("table_id"))
+    numbered = running_total(narrow, ["file"], "_order", F.when(F.col("type").isin(ROTATE, FORMAT), 1).otherwise(0), "epoch", ORDER_SPAN)
+    maps = numbered.where(F.col("type") == TABLE_MAP).select("file", "epoch", "table_id", F.col("_order").alias("_map"))
+    placed = asof_backward(numbered.where(F.col("type").isin(*ROW_EVENTS)), maps.withColumn("_map_at", F.col("_map")), ["file", "epoch", "table_id"], "_order", "_map", ["_map_at"], ORDER_SPAN).select("file", "_order", "_map_at")
+    bodies = marked.where(F.col("type").isin(*ROW_EVENTS)).select("file", "seq", "inner", "type", "body", "_order")
+    map_bodies = marked.where(F.col("type") == TABLE_MAP).select("file", F.col("_order").alias("_map_at"), F.col("body").alias("map_body"))
+    rows = bodies.join(placed, ["file", "_order"], "left").join(map_bodies, ["file", "_map_at"], "left")
     name_len = little(F.col("map_body"), 9, 1).cast("int")
     schema = F.decode(F.substring("map_body", F.lit(10), name_len), "UTF-8")
     table = F.decode(F.substring("map_body", F.lit(12) + name_len, little(F.col("map_body"), F.lit(11) + name_len, 1).cast("int")), "UTF-8")

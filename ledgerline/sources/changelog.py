@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.ordered import number_rows
+from ledgerline.functions.ordered import DENSE, number_rows
 
 #: The sources' uuid without its last digit, and how many sources there are.
 UUID_HEAD, SOURCES = "00000000-0000-0000-0000-00000000000", 3
@@ -24,7 +24,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete").otherwise("update").alias("op"),
         F.col("ts").alias("commit_ts"), "value", "event_type",
     )
-    return number_rows(rows, ["source_uuid"], "seq", "gno")
+    return number_rows(rows, ["source_uuid"], "seq", "gno", DENSE)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

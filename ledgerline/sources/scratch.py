@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a session without one, as in tests, gets a local folder."""
+    """The shared folder of the session. Without one, a session in one process, as in tests, gets a local folder; a
+    cluster must name it, as its executors share no local folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         shared = "/tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")

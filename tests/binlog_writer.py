@@ -5,13 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import struct
 import zlib
-from collections.abc import Iterator
 
-import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
 
-from ledgerline.sources.binlog import HEADER, CHECKSUM, PAYLOAD, TABLE_MAP, XID
+from ledgerline.sources.binlog import CHECKSUM, HEADER
 
 
 def event(kind: int, body: bytes, timestamp: int = 0, server_id: int = 1, log_pos: int = 0, checksum: bool = True) -> bytes:
@@ -55,32 +52,3 @@ def rows_body(table_id: int, columns: int, images: list[bytes], update: bool = F
 
 def date_bytes(d: dt.date) -> bytes:
     return (d.year << 9 | d.month << 5 | d.day).to_bytes(3, "little")
-
-
-def payload_events(df: DataFrame, key: str, each: int) -> DataFrame:
-    """For each row, a compressed-payload event of `each` commits numbered from key * each."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_pylist()
-            raws = [event(PAYLOAD, payload(b"".join(event(XID, (k * each + i).to_bytes(8, "little"), checksum=False) for i in range(each)))) for k in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(["f"] * len(keys)), pa.array(keys, pa.int64()), pa.array(raws, pa.binary())], names=["file", "seq", "raw"])
-
-    return df.select(key).mapInArrow(made, "file string, seq bigint, raw binary")
-
-
-def order_events(orders: DataFrame) -> DataFrame:
-    """For each order (o_orderkey, o_orderstatus, cents, day), a file of a table map and the insert of its row."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = event(TABLE_MAP, table_map_body(9, "shop", "orders", [8, 254, 8, 10], b"\xfe\x04", ["id", "status", "cents", "day"], b"\0"))
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                key, status = r["o_orderkey"], r["o_orderstatus"].encode()
-                image = b"\0" + key.to_bytes(8, "little", signed=True) + bytes([len(status)]) + status + r["cents"].to_bytes(8, "little", signed=True) + date_bytes(r["day"])
-                rows += [(str(key), 0, head), (str(key), 1, event(30, rows_body(9, 4, [image])))]
-            columns = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()))], names=["file", "seq", "raw"])
-
-    return orders.mapInArrow(made, "file string, seq bigint, raw binary")

@@ -10,12 +10,12 @@ os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     found = (
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '4')}]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g")
-        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
     found.sparkContext.setLogLevel("ERROR")
     yield found

@@ -5,7 +5,7 @@ import struct
 import pytest
 
 from ledgerline.sources import binlog
-from ledgerline.sources import binlog_writer as w
+import binlog_writer as w
 
 GTID_BODY = b"\1" + bytes(range(16)) + (42).to_bytes(8, "little") + b"\0" * 17
 

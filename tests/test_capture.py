@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import capture
-from ledgerline.sources import binlog_writer as w
+import binlog_writer as w
 from ledgerline.streaming.delivery import Halt, Pipeline, Progress
 
 SID = bytes(range(16))
@@ -65,6 +65,40 @@ def test_faults_are_found(spark):
     assert {(r.file, r.reason) for r in capture.capture_faults(events).collect()} == {("f0", "crc_mismatch"), ("f1", "rows_without_transaction"), ("f1", "gtid_within_open_transaction")}
 
 
+def xa(n, fmt=7):
+    return f"X'{n.encode().hex()}',X'',{fmt}"
+
+
+def prepared(n, one_phase=False):
+    return 38, struct.pack("<BIII", one_phase, 7, len(n), 0) + n.encode()
+
+
+def test_two_phase_transactions_over_files(spark):
+    def rows_of(n, name, *ids):
+        return [gtid(n), query(f"XA START {xa(name)}"), table(1, "a"), rows(1, *ids), query(f"XA END {xa(name)}"), prepared(name)]
+
+    one = [*rows_of(1, "x", 10), *rows_of(2, "y", 20), gtid(3), query("BEGIN"), table(1, "a"), rows(1, 30), XID, *rows_of(4, "z", 40)]
+    two = [gtid(5), query(f"XA COMMIT {xa('x')}"), gtid(6), query(f"XA ROLLBACK {xa('y')}"), gtid(7), query("XA COMMIT " + xa("old"))]
+    late = [gtid(8), query(f"XA START {xa('w')}"), table(1, "a"), rows(1, 80), prepared("w", True)]
+    events = captured(spark, file(one), file(two, late))
+    known = events.where("kind = 'xa_resolve'").select(capture.xid_digest(F.lit(7), F.lit("old"), F.lit("")).alias("digest")).limit(1)
+    got = {r.gno: (json.loads(r.after)["id"], r.commit_ts.second) for r in capture.committed_changes(events, recovered=known).collect()}
+    assert {n: i for n, (i, _) in got.items()} == {1: 10, 3: 30, 8: 80}
+    assert got[1][1] == 1001 % 60  # the time of its commit, not of its prepare
+    assert sorted(r.gno for r in capture.processed_points(events, known).collect()) == [1, 2, 3, 5, 6, 7, 8]
+    assert capture.capture_faults(events, known).isEmpty()
+    assert [(r.file, r.reason) for r in capture.capture_faults(events).collect()] == [("f1", "xa_commit_without_prepare")]
+    assert {r.outcome for r in capture.prepared_outcomes(events, known).collect()} == {"resolved", "held", "committed", "rolled_back", "advanced"}
+
+
+def test_unknown_and_malformed_events_are_faults(spark):
+    events = captured(spark, file([gtid(1), query("BEGIN"), (99, b"?"), XID, gtid(2), query("BEGIN"), (38, b"\0\0"), (29, b"text"), XID]))
+    assert {r.reason for r in capture.capture_faults(events).collect()} == {"unknown_event_type", "xa_prepare_malformed"}
+    texts = ["XA COMMIT X'61',X'',1", "XA ROLLBACK X'6',X'',1", "XA COMMIT X'61',X''", " XA ROLLBACK X'aB', X'00' , 4294967295 ", "XA COMMIT X'61',X'',1 ONE PHASE", "xa start X'61',X'',1"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", capture.binlog.resolution_of(F.col("t")).alias("r")).orderBy("i").collect()
+    assert [r.r and (r.r.verb, r.r.format_id, bytes(r.r.gtrid)) for r in got] == [("commit", 1, b"a"), None, None, ("rollback", 4294967295, b"\xab"), ("commit", 1, b"a"), None]
+
+
 def test_a_folder_of_files_is_delivered_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "f0").write_bytes(file(STREAM))
@@ -78,6 +112,7 @@ def test_a_folder_of_files_is_delivered_once(spark, tmp_path):
         pipeline.deliver(capture.committed_changes(events), batch_id)
 
     for _ in range(2):
+        pipeline.run = f"run{_}"
         stream = capture.stream_files(spark, f"{tmp_path}/in")
         q = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", f"{tmp_path}/c{_}").trigger(availableNow=True).start()
         q.awaitTermination()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ordered import asof_backward, fill_forward, number_rows, running_total
-from ledgerline.operators import assemble, delivery, snapshot
+from ledgerline.operators import assemble, capture, checks, delivery, snapshot
 
 
 @pytest.mark.parametrize("span", [1, 7, 1000])
@@ -23,6 +23,9 @@ def test_ordered_helpers(spark, span):
         for i, (_, at, v) in enumerate(mine, 1):
             total, last = total + (v or 0), last if v is None else v
             assert (numbered[k, at], totals[k, at], filled[k, at]) == (i, total, last)
+    # Without a span given, it is told from the rows: sparse keys and microseconds alike.
+    wide = df.withColumn("at", F.col("at") * 1_000_000_007)
+    assert {(r.k, r.at // 1_000_000_007): r.n for r in number_rows(wide, ["k"], "at", "n").collect()} == numbered
     right = spark.createDataFrame([("a", 10, "x"), ("a", 100, "y")], "k string, from_ bigint, name string")
     got = {(r.k, r.at): r.name for r in asof_backward(df, right, ["k"], "at", "from_", ["name"], span).collect()}
     assert got == {(k, at): None if k == "b" or at < 10 else "x" if at < 100 else "y" for k, at, _ in rows}
@@ -136,3 +139,29 @@ def test_prepared_transactions(spark):
     d = lambda rows, kind: spark.createDataFrame(rows, kind)
     got = delivery.resolve_prepared(d([("a",), ("b",), ("c",)], "digest string"), d([("a", "commit"), ("b", "rollback"), ("x", "commit"), ("y", "rollback"), ("z", "commit")], "digest string, verb string"), d([("x",)], "digest string"))
     assert {r.digest: r.outcome for r in got.collect()} == {"a": "committed", "b": "rolled_back", "c": "held", "x": "advanced", "y": "xa_rollback_without_prepare", "z": "xa_commit_without_prepare"}
+    twice = delivery.resolve_prepared(d([("a",), ("a",)], "digest string"), d([("a", "commit"), ("a", "commit"), ("b", "commit"), ("b", "rollback")], "digest string, verb string"), d([("b",)] * 2, "digest string"))
+    assert sorted(tuple(r) for r in twice.collect()) == [("a", "committed"), ("b", "conflicting_resolutions")]
+
+
+def test_steps_of_a_digest_in_order(spark):
+    log = [("p", 1), ("p", 1), ("c", 2), ("c", 3), ("c", 4), ("p", 5), ("p", 6), ("r", 7)]
+    rows = [("d", {"p": "prepare", "c": "commit", "r": "rollback"}[v], "f", at, at, f"u:{n}", None) for at, (v, n) in enumerate(log)]
+    steps = spark.createDataFrame(rows, "digest string, verb string, file string, at bigint, txn_ix bigint, gtid string, ts timestamp")
+    got = [(r.outcome, r.prepare_gtid) for r in capture.resolve_steps(steps, spark.createDataFrame([("d",)], "digest string")).orderBy("at").collect()]
+    assert got == [
+        ("resolved", None), ("repeated", None), ("committed", "u:1"), ("advanced", None), ("xa_commit_without_prepare", None), ("held", None), ("xa_prepared_gtid_mismatch", None), ("rolled_back", "u:6"),
+    ]
+
+
+def test_checks_before_a_start(spark):
+    d = lambda *rows: spark.createDataFrame(list(rows), "schema string, table string")
+    catalog = spark.createDataFrame([("b", "y", "BASE TABLE"), ("a", "z", "BASE TABLE"), ("a", "v", "VIEW"), ("sys", "x", "BASE TABLE")], "schema string, table string, kind string")
+    assert [tuple(r) for r in checks.base_tables(catalog).collect()] == [("a", "z"), ("b", "y")]
+    assert [tuple(r) for r in checks.not_captured(d(("a", "z"), ("a", "q")), d(("a", "z"))).collect()] == [("a", "q")] and checks.not_captured(d(("a", "z")), None).isEmpty()
+    assert sorted(tuple(r) for r in checks.drifted(d(("a", "z"), ("n", "n")), d(("a", "z"), ("o", "o"))).collect()) == [("n", "n", "configured"), ("o", "o", "stored")]
+    assert checks.drifted(None, d(("a", "z"))).isEmpty()
+    changes = spark.createDataFrame([(1, 2), (None, 2), (3, None)], "a int, b int")
+    assert sorted(r.k for r in checks.distinct_keys(changes, "a", "b").collect()) == [1, 2, 3]
+    assert checks.known_options({"a": 1}, ["a", "b"]) == {"a": 1}
+    with pytest.raises(ValueError, match="^unknown_option$"):
+        checks.known_options({"secret": 1}, ["a"])
