@@ -19,6 +19,8 @@ from ledgerline.llm.labelled import labelled_sample
 BUCKETS, SIZE, WIDTHS, FILTERS = 1 << 18, 16, (1, 2, 3), 8
 #: At most so many labels of each class are learnt from.
 MOST_LABELS = 1500
+#: Words that training works on at once.
+SEGMENT = 1 << 15
 #: The score from which a text counts as toxic.
 LEVEL = 0.7
 #: A bucket is trained if so many texts hold it.
@@ -112,22 +114,57 @@ def pooled_over(encoder: Encoder, words: list[bytes], chunk: int = 20_000) -> np
     return best
 
 
-def train_net(texts: list[list[bytes]], y: np.ndarray, epochs: int = 6, batch: int = 48, seed: int = 5) -> Net:
-    """Adam (plain descent for the embeddings) on the logistic loss, both classes weighing alike.
+def bucket_ids(words: list[bytes], cache: dict[bytes, tuple[int, int, int]]) -> np.ndarray:
+    """The buckets of each word, and of the padding after the last."""
+    for w in set(words):
+        if w not in cache:
+            cache[w] = _buckets(w)
+    ids = np.array([cache[w] for w in words], dtype=np.int32).reshape(-1, 3)
+    return np.concatenate([ids, np.full((max(WIDTHS), 3), _PAD, dtype=np.int32)])
+
+
+def pool_ids(net: Net, docs: list[np.ndarray], most: int = SEGMENT) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The largest answer of each filter over all windows of each text, and where: [text, filter] first words.
+
+    Texts are worked on in segments, and as many segments at once as hold `most` words or so, so that memory doesn't follow
+    the longest text.
+    """
+    longest = max(WIDTHS)
+    best = np.full((len(docs), len(WIDTHS) * FILTERS), -np.inf)
+    places = [np.zeros((len(docs), FILTERS), dtype=np.int64) for _ in WIDTHS]
+    segments = [(i, at, min(at + most, max(len(d) - longest + 1, 1))) for i, d in enumerate(docs) for at in range(0, max(len(d) - longest + 1, 1), most)]
+    while segments:
+        taken, n = 0, 0
+        while taken < len(segments) and (not taken or n + segments[taken][2] - segments[taken][1] <= most):
+            n += segments[taken][2] - segments[taken][1] + longest - 1
+            taken += 1
+        now, segments = segments[:taken], segments[taken:]
+        ids = np.concatenate([docs[i][at : end + longest - 1] for i, at, end in now])
+        x = net.table[ids[:, 0]]
+        x += net.table[ids[:, 1]]
+        x += net.table[ids[:, 2]]
+        for k, w in enumerate(net.filters):
+            answer = sum(x[j : len(x) - longest + 1 + j] @ w[j] for j in range(len(w)))
+            part, start = slice(k * FILTERS, (k + 1) * FILTERS), 0
+            for i, at, end in now:
+                mine = answer[start : start + end - at]
+                place = mine.argmax(axis=0)
+                value = mine[place, np.arange(FILTERS)]
+                better = value > best[i, part]
+                places[k][i] = np.where(better, at + place, places[k][i])
+                best[i, part] = np.where(better, value, best[i, part])
+                start += end - at + longest - 1
+    return best, places
+
+
+def train_net(docs: list[np.ndarray], y: np.ndarray, epochs: int = 6, batch: int = 48, seed: int = 5) -> Net:
+    """Adam (plain descent for the embeddings) on the logistic loss, both classes weighing alike, over texts as bucket_ids().
 
     Only a bucket that LEAST texts hold is ever trained.
 
     Buckets of unseen words stay zero, so they add nothing to a window.
     """
     rng = np.random.default_rng(seed)
-    cache: dict[bytes, tuple[int, int, int]] = {}
-    docs = []
-    for words in texts:
-        for w in set(words):
-            if w not in cache:
-                cache[w] = _buckets(w)
-        ids = np.array([cache[w] for w in words], dtype=np.int32).reshape(-1, 3)
-        docs.append(np.concatenate([ids, np.zeros((max(WIDTHS), 3), dtype=np.int32)]))
     held = np.zeros((2, BUCKETS))
     for ids, label in zip(docs, y):
         held[int(label), np.unique(ids)] += 1
@@ -153,33 +190,24 @@ def train_net(texts: list[list[bytes]], y: np.ndarray, epochs: int = 6, batch: i
         order = rng.permutation(len(docs))
         for at in range(0, len(order), batch):
             mine = order[at : at + batch]
-            ids = np.concatenate([docs[i] for i in mine])
-            ends = np.cumsum([len(docs[i]) for i in mine])
-            starts = ends - [len(docs[i]) for i in mine]
-            x = net.table[ids[:, 0]] + net.table[ids[:, 1]] + net.table[ids[:, 2]]
-            pooled, places = [], []
-            for w in net.filters:
-                width = len(w)
-                answer = sum(x[j : len(x) - max(WIDTHS) + 1 + j] @ w[j] for j in range(width))
-                place = np.stack([s + answer[s : e - max(WIDTHS) + 1].argmax(axis=0) for s, e in zip(starts, ends)])
-                places.append(place)
-                pooled.append(answer[place, np.arange(FILTERS)])
-            hidden = np.concatenate(pooled, axis=1) + net.bias
+            pooled, places = pool_ids(net, [docs[i] for i in mine])
+            hidden = pooled + net.bias
             active = np.maximum(hidden, 0)
             p = 1 / (1 + np.exp(-np.clip(active @ net.out + out_bias, -30, 30)))
             g = (p - y[mine]) * np.where(y[mine] == 1, 0.5 / share, 0.5 / (1 - share)) / len(mine)
             back = np.outer(g, net.out) * (hidden > 0)
+            hits = [[np.stack([docs[i][at + j] for i, at in zip(mine, places[k])]) for j in range(len(w))] for k, w in enumerate(net.filters)]  # [text, filter, 3] buckets
+            rows = [[net.table[hit].sum(axis=2) for hit in each] for each in hits]  # as they were before this step
             grads = []
             for k, w in enumerate(net.filters):
                 part = back[:, k * FILTERS : (k + 1) * FILTERS]
                 grads.append(np.zeros_like(w))
                 for j in range(len(w)):
-                    at_j = places[k] + j
-                    grads[-1][j] = np.einsum("bfd,bf->df", x[at_j], part)
+                    hit = hits[k][j]
+                    grads[-1][j] = np.einsum("bfd,bf->df", rows[k][j], part)
                     into = part[:, :, None] * w[j].T[None]
                     for b in range(3):  # plain steps: scaled ones would let words of a single text grow like those of many
-                        mine_b = ids[at_j, b]
-                        np.add.at(net.table, mine_b, -0.05 * into * trained[mine_b][:, :, None])
+                        np.add.at(net.table, hit[:, :, b], -0.05 * into * trained[hit[:, :, b]][:, :, None])
             grads += [back.sum(axis=0), active.T @ g + 1e-4 * net.out]
             step += 1
             out_bias -= 0.01 * g.sum()
@@ -224,16 +252,20 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
     y = np.array([r._label for r in rows], dtype=float)
     if len(set(y.tolist())) < 2:
         return None
-    texts = [normal_words(r.text) for r in rows]
-    learn = np.arange(len(rows)) % 4 != 0
+    cache: dict[bytes, tuple[int, int, int]] = {}
+    texts, langs = [], []
+    while rows:  # a text is let go once its buckets are known
+        words = normal_words(rows.pop(0).text)
+        texts.append(bucket_ids(words, cache))
+        langs.append(language_of(words))
+    learn = np.arange(len(texts)) % 4 != 0
     if len(set(y[learn].tolist())) < 2:
         learn[:] = True
     net = train_net([t for t, on in zip(texts, learn) if on], y[learn])
-    encoder = Encoder(net.projections())
-    pooled = np.stack([pooled_over(encoder, t) for t in texts])
+    pooled = np.concatenate([pool_ids(net, texts[i : i + 48])[0] for i in range(0, len(texts), 48)])
     z = np.maximum(pooled + net.bias, 0) @ net.out + net.out_bias
     fresh = ~learn if min(y[~learn].sum(), (1 - y[~learn]).sum()) >= 20 else np.ones(len(y), dtype=bool)
-    calibrate(net, z[fresh], y[fresh], np.array([language_of(t) for t in texts])[fresh])
+    calibrate(net, z[fresh], y[fresh], np.array(langs)[fresh])
     return net
 
 
