@@ -5,8 +5,7 @@ enter the prefix join. A shingle's place in the order that prefixes follow comes
 before frequent: any order gives the same links, this one keeps frequent passages out of the prefixes.
 
 The join runs twice. First each entry meets the leader of its shingle's list, a number of pairs linear in the entries;
-these links give first components. The list of a shingle that very many documents hold, as the sketch tells, is cut into
-pieces with a leader each, which meet the first of them. Then only pairs from different components are left to look at, and of those only what
+these links give first components. Then only pairs from different components are left to look at, and of those only what
 the bounds allow: size and place hold for a group, as its members share them; bitmaps are compared member by member.
 Every surviving pair is verified on whole shingle sets.
 """
@@ -28,8 +27,6 @@ from ledgerline.llm.common import arrow_map, discard, stored
 #: Counters of the sketch (64 MB, whatever the input), in blocks that are summed apart; least bits of a set's bitmap.
 COUNTERS, BLOCK = 1 << 24, 1 << 16
 BITS = 1024
-#: The list of a shingle that about so many documents or more hold is cut into pieces of about so many entries.
-PIECE = 4096
 #: Words whose hashes a task remembers at once.
 REMEMBERED = 1 << 16
 _SEED, _FACTOR = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
@@ -141,12 +138,6 @@ def frequency_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
     return at, np.clip(8 * np.log2(np.maximum(n, 1)), 1, 255).astype(np.uint8)
 
 
-def pieces_of(h: np.ndarray, levels: np.ndarray) -> list[int] | None:
-    """Into how many pieces the list of each shingle is cut, by the count that its level stands for; None if all are whole."""
-    n = np.ceil(2.0 ** (levels[(h & np.uint64(COUNTERS - 1)).astype(np.int64)] / 8) / PIECE).astype(np.int64)
-    return n.tolist() if len(n) and n.max() > 1 else None
-
-
 def in_order(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The shingles of a set, rare before frequent by the levels of all counters, then by hash."""
     level = levels[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
@@ -168,8 +159,7 @@ def bitmap(h: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, percent: int, sketch: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """A stored row per document (rid, doc_id, text): rid, doc_id, n, digests of its set and of its prefix and size, prefix,
-    the pieces of its shingles' lists, bitmap."""
+    """A stored row per document (rid, doc_id, text): rid, doc_id, n, digests of its set and of its prefix and size, prefix, bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,15 +171,15 @@ def signatures(docs: DataFrame, width: int, percent: int, sketch: tuple[np.ndarr
             for text in batch.column("text"):
                 h = shingler(text.as_py())
                 if not len(h):
-                    rows.append((0, None, None, None, None, None))
+                    rows.append((0, None, None, None, None))
                     continue
                 prefix = in_order(h, levels)[: prefix_length(len(h), percent)].copy()
-                rows.append((len(h), xxhash.xxh3_128_digest(h.tobytes()), xxhash.xxh3_128_digest(prefix.tobytes() + len(h).to_bytes(8, "little")), prefix.view(np.int64), pieces_of(prefix, levels), bitmap(h)))
-            columns = list(zip(*rows)) or [[]] * 6
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]], names=["rid", "doc_id", "n", "digest", "pdigest", "prefix", "pieces", "bits"])
+                rows.append((len(h), xxhash.xxh3_128_digest(h.tobytes()), xxhash.xxh3_128_digest(prefix.tobytes() + len(h).to_bytes(8, "little")), prefix.view(np.int64), bitmap(h)))
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]], names=["rid", "doc_id", "n", "digest", "pdigest", "prefix", "bits"])
 
-    kind = "rid bigint, doc_id bigint, n bigint, digest binary, pdigest binary, prefix array<bigint>, pieces array<bigint>, bits array<bigint>"
+    kind = "rid bigint, doc_id bigint, n bigint, digest binary, pdigest binary, prefix array<bigint>, bits array<bigint>"
     return stored(arrow_map(docs.select("rid", "doc_id", "text"), signed, kind), "ngram-signatures")
 
 
@@ -303,17 +293,13 @@ def linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     leaders = members.where("node = gid").select("gid")
     bitmaps = stored(signed.select(F.col("rid").alias("node"), "n", "bits").join(members.select("node"), "node", "left_semi"), "ngram-bitmaps")
 
-    each = signed.select(F.col("rid").alias("gid"), "n", "prefix", F.col("pieces").alias("cut")).join(leaders, "gid", "left_semi").select("gid", "n", "cut", F.posexplode("prefix").alias("pos", "token"))
-    each = each.withColumn("pieces", F.coalesce(F.get("cut", F.col("pos")), F.lit(1))).withColumn("piece", F.pmod(F.xxhash64("gid"), F.col("pieces")))
-    listed = Window.partitionBy("token", "piece")
-    each = each.withColumns({"lead": F.min(F.struct("pos", "gid", "n")).over(listed), "held": F.count(F.lit(1)).over(listed)}).where("held > 1 or pieces > 1")
-    entries = stored(each.select("token", "piece", "pieces", "pos", "gid", "n", F.col("lead.gid").alias("lead_gid"), F.col("lead.pos").alias("lead_pos"), F.col("lead.n").alias("lead_n")), "ngram-entries")
+    entries = signed.select(F.col("rid").alias("gid"), "n", "prefix").join(leaders, "gid", "left_semi").select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
+    listed = Window.partitionBy("token")
+    entries = entries.withColumns({"lead": F.min(F.struct("pos", "gid", "n")).over(listed), "held": F.count(F.lit(1)).over(listed)}).where("held > 1")
+    entries = stored(entries.select("token", "pos", "gid", "n", F.col("lead.gid").alias("lead_gid"), F.col("lead.pos").alias("lead_pos"), F.col("lead.n").alias("lead_n")), "ngram-entries")
 
     near = may_link(F.col("n"), F.col("pos"), F.col("lead_n"), F.col("lead_pos"), percent)
-    led = entries.select("gid", "pos", "n", "lead_gid", "lead_pos", "lead_n")
-    first_head = F.min(F.struct("pos", "gid", "n")).over(Window.partitionBy("token"))
-    heads = entries.where("pieces > 1 and gid = lead_gid").withColumn("head", first_head).select("gid", "pos", "n", F.col("head.gid").alias("lead_gid"), F.col("head.pos").alias("lead_pos"), F.col("head.n").alias("lead_n"))
-    star = led.union(heads).where((F.col("gid") != F.col("lead_gid")) & near).select(F.col("lead_gid").alias("a"), F.col("gid").alias("b")).distinct()
+    star = entries.where((F.col("gid") != F.col("lead_gid")) & near).select(F.col("lead_gid").alias("a"), F.col("gid").alias("b")).distinct()
     inner = members.where("node <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b"))
     first = stored(_bounded(star, bitmaps, percent).union(inner), "ngram-pairs")
     links = verified(docs, first, members, width, percent)
@@ -345,31 +331,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def _cross_pairs(entries: DataFrame, known: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """Every pair of nodes from different components that the bounds allow and no verified link has joined yet.
 
-    In the list of a shingle, a group is settled if all its nodes are in the one component of the nodes of its piece's leader
-    and of those of the list's first leader. Two nodes
+    In the list of a shingle, a group is settled if all its nodes are in the one component of the leader's nodes. Two nodes
     of different components are not both in settled groups, so it is enough to join the others with the whole list. The
     members of a group have different sets, so pairs of groups become pairs of nodes before any bitmap is looked at.
     """
     comps = known.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     # The leader's components come from its own entry in the list, not from a join on leaders, of which few lead many lists.
-    lead = F.max(F.when(F.col("gid") == F.col("lead_gid"), F.struct("lo", "hi"))).over(Window.partitionBy("token", "piece"))
-
-    def alone_in(other: str) -> Column:
-        return (F.col("lo") == F.col("hi")) & (F.col(f"{other}.lo") == F.col(f"{other}.hi")) & (F.col("lo") == F.col(f"{other}.lo"))
-
-    judged = entries.join(comps, "gid").withColumn("lead", lead)
-    head = F.min(F.struct("pos", "gid", "lo", "hi")).over(Window.partitionBy("token"))
-    heads = judged.where("pieces > 1 and gid = lead_gid").withColumn("head", head).select("token", "piece", alone_in("head").alias("agreed"))
-    settled = alone_in("lead") & F.coalesce("agreed", F.col("pieces") == 1)
-    judged = judged.join(heads, ["token", "piece"], "left").select("token", "piece", "pieces", "pos", "gid", "n", "lo", "hi", settled.alias("settled"))
-    # Of a list in pieces, each entry that isn't settled goes to all of them.
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("piece")
-    one = judged.where("not settled").select("token", every, *[F.col(c).alias(f"{c}1") for c in ("pos", "gid", "n", "lo", "hi")])
-    two = judged.select("token", "piece", "settled", *[F.col(c).alias(f"{c}2") for c in ("pos", "gid", "n", "lo", "hi")])
+    lead = F.max(F.when(F.col("gid") == F.col("lead_gid"), F.struct("lo", "hi"))).over(Window.partitionBy("token"))
+    settled = (F.col("lo") == F.col("hi")) & (F.col("lead.lo") == F.col("lead.hi")) & (F.col("lo") == F.col("lead.lo"))
+    judged = entries.join(comps, "gid").withColumn("lead", lead).select("token", "pos", "gid", "n", "lo", "hi", settled.alias("settled"))
+    one = judged.where("not settled").select("token", *[F.col(c).alias(f"{c}1") for c in ("pos", "gid", "n", "lo", "hi")])
+    two = judged.select("token", "settled", *[F.col(c).alias(f"{c}2") for c in ("pos", "gid", "n", "lo", "hi")])
     same = (F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2"))
     ordered = F.when(F.col("settled"), F.col("gid1") != F.col("gid2")).otherwise(F.col("gid1") < F.col("gid2"))
     near = may_link(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
-    met = one.join(two, (one["token"] == two["token"]) & (one["piece"] == two["piece"]) & ordered & ~same & near).select(F.least("gid1", "gid2").alias("a"), F.greatest("gid1", "gid2").alias("b")).distinct()
+    met = one.join(two, (one["token"] == two["token"]) & ordered & ~same & near).select(F.least("gid1", "gid2").alias("a"), F.greatest("gid1", "gid2").alias("b")).distinct()
     each = known.select("gid", "node", "comp").join(bitmaps, "node")
     left = each.select(F.col("gid").alias("a"), F.col("node").alias("node1"), F.col("comp").alias("comp1"), F.col("bits").alias("x"), F.col("n").alias("n1"))
     right = each.select(F.col("gid").alias("b"), F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("bits").alias("y"), F.col("n").alias("n2"))
