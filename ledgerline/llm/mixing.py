@@ -26,6 +26,8 @@ BLOCK_WORDS = 128
 OUTPUT_SHARDS = 64
 #: Rows are laid end to end in buckets of about so many; slots are numbered in runs of so many.
 BUCKET_ROWS, RUN = 1 << 14, 8192
+#: The draws of so many copies of a row are listed together.
+COPIES = 64
 #: An index outside the domain goes through the permutation again: a quarter of them at most, so this often never.
 MOST_WALKS = 32
 
@@ -130,7 +132,8 @@ def lay_out(sized: DataFrame, plan: DataFrame) -> DataFrame:
     starts = running_total(totals, ["src"], "_bucket", F.col("_n"), "_upto").select("src", "_bucket", (F.col("_upto") - F.col("_n")).alias("_start"))
     within = Window.partitionBy("src", "_bucket").orderBy("doc_id", "hash", "_copy").rowsBetween(Window.unboundedPreceding, -1)
     ordered = rows.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return ordered.join(starts, ["src", "_bucket"]).withColumn("offset", (F.col("_start") + F.col("_within")).cast("bigint")).drop("_bucket", "_start", "_within", "_copy")
+    placed = ordered.join(starts, ["src", "_bucket"]).withColumn("offset", (F.col("_start") + F.col("_within")).cast("bigint"))
+    return placed.withColumnRenamed("_copy", "copy").drop("_bucket", "_start", "_within")
 
 
 def drawn_blocks(plan: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -146,13 +149,16 @@ def drawn_blocks(plan: DataFrame, shards: int, seed: int) -> DataFrame:
     return numbered.select("shard", "slot", "src", permuted(F.col("i"), F.col("high"), F.col("low"), F.col("blocks"), F.col("key")).alias("block"))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with _mix_rid, which no two rows share, the source as text, the size and a hash of the text."""
-    return docs.withColumns({"_mix_rid": F.monotonically_increasing_id(), "_source": F.col("source").cast("string"), "_size": word_count(F.col("text")), "_hash": F.xxhash64("text")})
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with _id and _hash, which only equal rows share, the source as text and the size."""
+    hashed = [c for c, t in docs.dtypes if "map<" not in t and t != "variant"]
+    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)).cast("bigint")), "_source": F.col("source").cast("string"), "_size": word_count(F.col("text")), "_hash": F.xxhash64(*hashed)})
 
 
-def _sized(numbered: DataFrame) -> DataFrame:
-    return numbered.select(F.col("_mix_rid").alias("rid"), "doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash"))
+def _sized(keyed: DataFrame) -> DataFrame:
+    """The stored rows without their texts, with rid, which no two of them share."""
+    named = keyed.select(F.monotonically_increasing_id().alias("rid"), "_id", "doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash"))
+    return stored(named, "mix-sizes")
 
 
 def _blocks_of(laid: DataFrame, block_words: int) -> DataFrame:
@@ -168,7 +174,7 @@ def mix_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OU
     A null or empty text has size 0 and gives nothing, as does a source without words; a null source is a source, the
     last. Rows that repeat are rows of their own. An empty table gives an empty result.
     """
-    sized = stored(_sized(_numbered(docs)), "mix-sizes")
+    sized = _sized(_keyed(docs))
     plan = source_plan(sized, block_words)
     laid = stored(lay_out(sized, plan), "mix-laid")
     uses = drawn_blocks(plan, shards, seed).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
@@ -186,14 +192,17 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     alone; each text moves once, to the list of its own parts.
     """
     base = docs.drop("shard", "slot")
-    whole = stored(_numbered(base), "mix-rows")
-    sized = _sized(whole)
+    keyed = _keyed(base)
+    sized = _sized(keyed)
     plan = source_plan(sized, block_words)
-    laid = lay_out(sized, plan)
+    laid = stored(lay_out(sized, plan), "mix-laid")
+    discard(sized)
     drawn = _blocks_of(laid, block_words).join(drawn_blocks(plan, shards, seed).hint("merge"), ["src", "block"])
     begin = F.greatest(F.col("block") * block_words - F.col("offset"), F.lit(0)).cast("int").alias("begin")
-    lists = drawn.groupBy(F.col("rid").alias("_mix_rid")).agg(F.collect_list(F.struct(begin, F.col("words").cast("int").alias("words"), "shard", "slot")).alias("_drawn"))
-    met = whole.join(lists.hint("merge"), "_mix_rid").withColumn("_tokens", tokens(F.col("text")))
+    # The copies of a row, which are equal, share its text; each list is that of a few copies.
+    lists = drawn.groupBy("_id", F.col("hash").alias("_hash"), F.floor(F.col("copy") / COPIES)).agg(F.collect_list(F.struct(begin, F.col("words").cast("int").alias("words"), "shard", "slot")).alias("_drawn")).select("_id", "_hash", "_drawn")
+    whole = keyed.where("_size > 0").dropDuplicates(["_id", "_hash"])
+    met = whole.join(lists.hint("merge"), ["_id", "_hash"]).withColumn("_tokens", tokens(F.col("text")))
 
     def part(d: Column) -> Column:
         text = F.rtrim(F.array_join(F.slice("_tokens", d["begin"] + 1, d["words"]), ""), F.lit(SPACES))
