@@ -11,9 +11,13 @@ from ledgerline.sources import binlog
 from ledgerline.sources.changelog import table
 
 
+def _once(value: Column, body) -> Column:
+    """body(value) with the value's expression written once, however often body refers to it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _bytes(n: Column, size: int) -> Column:
-    digits = F.lpad(F.hex(n.cast("bigint")), 2 * size, "0")
-    return F.unhex(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))]))
+    return _once(F.lpad(F.hex(n.cast("bigint")), 2 * size, "0"), lambda d: F.unhex(F.concat(*[F.substring(d, 2 * k + 1, 2) for k in reversed(range(size))])))
 
 
 def _raw(hexed: str) -> Column:
@@ -22,9 +26,12 @@ def _raw(hexed: str) -> Column:
 
 def _event(kind: int, body: Column, sealed: bool = True, at: Column | None = None) -> Column:
     """A header of 19 bytes (time, type, server, size, position, flags) and a body, with a checksum if sealed."""
-    size = F.octet_length(body) + (23 if sealed else 19)
-    head = F.concat(_bytes(at if at is not None else F.lit(0), 4), _bytes(F.lit(kind), 1), _bytes(F.lit(1), 4), _bytes(size, 4), _raw("00000000 0000"), body)
-    return F.concat(head, _bytes(F.crc32(head), 4)) if sealed else head
+    def sealing(b: Column) -> Column:
+        size = F.octet_length(b) + (23 if sealed else 19)
+        head = F.concat(_bytes(at if at is not None else F.lit(0), 4), _bytes(F.lit(kind), 1), _bytes(F.lit(1), 4), _bytes(size, 4), _raw("00000000 0000"), b)
+        return _once(head, lambda h: F.concat(h, _bytes(F.crc32(h), 4))) if sealed else head
+
+    return _once(body, sealing)
 
 
 def q42_crc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +50,14 @@ def q43_zstd_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three commits an event within a compressed payload: a frame of one raw block, written out byte by byte."""
     key = F.col("event_id")
     inner = F.concat(*[_event(16, _bytes(key * 3 + i, 8), sealed=False) for i in range(3)])
-    n = F.octet_length(inner)
-    # The frame: magic, a descriptor for one segment with its size in one byte, and a last raw block, its size above 3 bits.
-    frame = F.concat(_raw("28B52FFD 20"), _bytes(n, 1), _bytes(n * 8 + 1, 3), inner)
-    fields = F.concat(_raw("02 01 00 03 01"), _bytes(n, 1), _raw("01 01"), _bytes(F.octet_length(frame), 1), _raw("00"))
-    made = table(spark, sf_dir, "events").select(F.lit("f").alias("file"), key.alias("seq"), _event(40, F.concat(fields, frame)).alias("raw"))
+
+    def packed(block: Column) -> Column:
+        # The frame: magic, a descriptor for one segment with its size in one byte, and a last raw block, its size above 3 bits.
+        n = F.octet_length(block)
+        frame = F.concat(_raw("28B52FFD 20"), _bytes(n, 1), _bytes(n * 8 + 1, 3), block)
+        return _once(frame, lambda f: F.concat(_raw("02 01 00 03 01"), _bytes(n, 1), _raw("01 01"), _bytes(F.octet_length(f), 1), _raw("00"), f))
+
+    made = table(spark, sf_dir, "events").select(F.lit("f").alias("file"), key.alias("seq"), _event(40, _once(inner, packed)).alias("raw"))
     expanded = binlog.expand_payloads(binlog.parse_headers(made))
     return expanded.select("seq", "inner", binlog.little(F.col("body"), 1, 7).alias("xid"))
 
@@ -105,7 +115,7 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     verb = F.when(F.col("o_orderstatus") == "F", "XA COMMIT ").otherwise("XA ROLLBACK ")
     end = F.array(_gtid(key * 2 + 1), _statement(F.concat(verb, xid), F.lit(1000) + digit))
     none = F.array().cast("array<binary>")
-    first = F.when(digit == 9, none).when(digit == 4, F.concat(prepare, prepare)).otherwise(prepare)
+    first = F.when(digit == 9, none).otherwise(_once(prepare, lambda p: F.when(digit == 4, F.concat(p, p)).otherwise(p)))
     events = F.concat(first, F.when((F.col("o_orderstatus") == "P") | (digit == 5), none).otherwise(end))
     content = F.unhex(F.concat(F.lit("FE62696E"), F.array_join(F.transform(events, lambda e: F.hex(e)), "")))
     return capture.captured_events(_orders(spark, sf_dir).select(key.cast("string").alias("path"), content.alias("content")))
