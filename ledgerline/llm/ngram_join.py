@@ -29,6 +29,8 @@ COUNTERS, BLOCK = 1 << 24, 1 << 16
 BITS = 1024
 #: Words whose hashes a task remembers at once.
 REMEMBERED = 1 << 16
+#: Most rows, of 64 bits each, in the table that tells which keys are surely not among those to go.
+WORDS = 1 << 18
 _SEED, _FACTOR = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -207,6 +209,21 @@ def bitmaps_allow(x: Column, y: Column, n1: Column, n2: Column, percent: int) ->
     return apart <= n1 + n2 - 2 * needed_overlap(n1, n2, percent)
 
 
+def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key isn't in gone, a table of that one column.
+
+    The bits that the keys of gone fall to make at most WORDS rows, whatever their number. A row whose bit isn't set stays
+    where it is; the others, those to go and a share as large as that of the bits set, are joined with gone.
+    """
+    hashed = F.shiftrightunsigned(F.xxhash64(key), 40)
+    word, bit = F.shiftrightunsigned(hashed, 6) % WORDS, (hashed % 64).cast("int")
+    words = gone.groupBy(word.alias("_without_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("_without_bits"))
+    told = rows.withColumn("_without_word", word).join(F.broadcast(words), "_without_word", "left")
+    doubtful = F.getbit(F.coalesce("_without_bits", F.lit(0).cast("bigint")), bit) == 1
+    certain, other = told.where(~doubtful).select(*rows.columns), told.where(doubtful).select(*rows.columns)
+    return certain.union(other.join(gone, key, "left_anti").select(*rows.columns))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node with an edge (a, b): comp is the smallest node of its component.
 
@@ -290,10 +307,12 @@ def linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     classes = stored(classes, "ngram-classes")
     groups = classes.groupBy("pdigest").agg(F.min("node").alias("gid"))
     members = stored(classes.join(groups, "pdigest").select("node", "gid", "n", "digest", "first_doc", "first_rid"), "ngram-members")
-    leaders = members.where("node = gid").select("gid")
-    bitmaps = stored(signed.select(F.col("rid").alias("node"), "n", "bits").join(members.select("node"), "node", "left_semi"), "ngram-bitmaps")
+    some = signed.where("n > 0")
+    followers = stored(some.select("rid").join(members.where("node = gid").select(F.col("gid").alias("rid")), "rid", "left_anti"), "ngram-followers")
+    copies = stored(followers.join(members.select(F.col("node").alias("rid")), "rid", "left_anti"), "ngram-copies")
+    bitmaps = stored(without(some.select("rid", "n", "bits"), "rid", copies).withColumnRenamed("rid", "node"), "ngram-bitmaps")
 
-    entries = signed.select(F.col("rid").alias("gid"), "n", "prefix").join(leaders, "gid", "left_semi").select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
+    entries = without(some.select("rid", "n", "prefix"), "rid", followers).select(F.col("rid").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token"))
     listed = Window.partitionBy("token")
     entries = entries.withColumns({"lead": F.min(F.struct("pos", "gid", "n")).over(listed), "held": F.count(F.lit(1)).over(listed)}).where("held > 1")
     entries = stored(entries.select("token", "pos", "gid", "n", F.col("lead.gid").alias("lead_gid"), F.col("lead.pos").alias("lead_pos"), F.col("lead.n").alias("lead_n")), "ngram-entries")
@@ -310,7 +329,7 @@ def linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
         more = verified(docs, rest, members, width, percent)
         links = known.where("node <> comp").select(F.col("comp").alias("a"), F.col("node").alias("b")).union(more)
         known = stored(members.join(connected(links), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "ngram-known")
-    discard(first, rest, links, entries, classes, members, bitmaps)
+    discard(first, rest, links, entries, classes, members, bitmaps, followers, copies)
     return signed, known
 
 
@@ -366,6 +385,6 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     whole = stored(docs.withColumn("_keep_rid", F.monotonically_increasing_id()), "ngram-docs")
     signed, known = linked(whole.select(F.col("_keep_rid").alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, percent)
     first = known.groupBy("comp").agg(F.coalesce(F.min_by("first_rid", "first_doc"), F.min("first_rid")).alias("_keep_rid")).select("_keep_rid")
-    kept = stored(first.union(signed.where("n = 0").select(F.col("rid").alias("_keep_rid"))), "ngram-kept")
+    gone = stored(signed.where("n > 0").select(F.col("rid").alias("_keep_rid")).join(first, "_keep_rid", "left_anti"), "ngram-gone")
     discard(signed, known)
-    return whole.join(kept, "_keep_rid", "left_semi").select(*docs.columns)
+    return without(whole, "_keep_rid", gone).select(*docs.columns)

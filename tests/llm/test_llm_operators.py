@@ -566,3 +566,13 @@ def test_keep_one_and_empty(spark):
     kept = sorted((tuple(r) for r in ngram_join.keep_one(odd).collect()), key=str)
     assert [r[:2] for r in kept] == sorted([(7, copy), (3, other), (None, "x y"), (9, None), (9, "")], key=str) and {r[2] for r in kept} > {6, 9}
     assert ngram_join.near_duplicates(docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("n, step", [(0, 1), (3_000, 7), (400_000, 1)])
+def test_rows_without_the_gone_keys_are_exact(spark, n, step):
+    gone = spark.range(0, n * step, step).withColumnRenamed("id", "rid")
+    rows = spark.createDataFrame([(k, f"t{k}", None) for k in [*range(-50, 5_000), *range(399_990, 400_060)] for _ in range(1 + k % 2)], "rid bigint, text string, n int")
+    got = sorted(r.rid for r in ngram_join.without(rows, "rid", gone).collect())
+    left = set(range(0, n * step, step))
+    assert got == sorted(k for k in (r.rid for r in rows.collect()) if k not in left)
+    assert ngram_join.without(rows, "rid", gone).columns == rows.columns
