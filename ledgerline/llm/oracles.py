@@ -71,9 +71,24 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM dw UNION SELECT a, y FROM reach J
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE a = dw.doc_id) AS component_id FROM dw LEFT JOIN sizes USING (doc_id)
 """
 
+SEARCH_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LEXICAL_SEARCH = f"""
+WITH dt AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '{SEARCH_TERM}') AS w FROM documents),
+it AS (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct(regexp_extract_all({LOWER}, '{SEARCH_TERM}'))) AS t FROM benchmark),
+facts AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::HUGEINT AS n_terms FROM dt),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM dt) WHERE t IN (SELECT t FROM it) GROUP BY r, t),
+weights AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, facts GROUP BY t, n_docs),
+m AS (SELECT r, doc_id, (10 + (90 * len(w) * n_docs) // n_terms)::BIGINT AS m FROM dt, facts WHERE len(w) > 0),
+scored AS (SELECT i, item_id, r, doc_id, sum(weights.w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM it JOIN tf USING (t) JOIN weights USING (t) JOIN m USING (r) GROUP BY i, item_id, r, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
     "op3_decontaminate": DECONTAMINATE,
     "op4_url_filter": _url_filter(),
     "op9_sharding": SHARDING,
     "op10_ngram_join": NGRAM_JOIN,
+    "op11_lexical_search": LEXICAL_SEARCH,
 }
