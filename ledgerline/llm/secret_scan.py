@@ -32,7 +32,7 @@ LEAST_VALUE = 6
 #: Candidates. Base64 may run over lines, also over those written as `\n`; a URL's alphabet has no breaks.
 _BREAK = r"(?:\r?\n|(?:\\r)?\\n)[ \t]*"
 _BASE64 = re.compile(rf"(?<![A-Za-z0-9+/=])[Mblx][A-Za-z0-9+/]{{15,}}(?:{_BREAK}[A-Za-z0-9+/]+)*={{0,2}}")
-_URL64 = re.compile(r"(?<![A-Za-z0-9_-])[Mblx][A-Za-z0-9_-]{39,}")
+_URL64 = re.compile(r"(?<![A-Za-z0-9_-])[Mblx][A-Za-z0-9_-]{39,}={0,2}")
 _LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[A-Za-z0-9_-]{11,}(?:\.[A-Za-z0-9_-]*){2,4}(?![A-Za-z0-9_.-])")
 _LETTER = re.compile(r"[A-Za-z0-9+/_-]")
