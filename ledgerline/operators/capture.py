@@ -21,28 +21,47 @@ def captured_events(files: DataFrame) -> DataFrame:
     A statement before its transaction began commits itself: its kind is ddl. The events are stored, so that what reads them
     doesn't split and inflate the files again; discard() deletes them.
     """
-    events = binlog.expand_payloads(binlog.parse_headers(binlog.split_events(files)))
+    told = stored(told_events(binlog.split_events(files)), "captured-kinds")
+    whole = placed_events(told)
+    discard(told)
+    return whole
+
+
+def told_events(raw: DataFrame) -> DataFrame:
+    """Raw events (file, seq, raw), payloads expanded, with their kind and their order in the file; not yet by transaction."""
+    events = binlog.expand_payloads(binlog.parse_headers(raw))
     said = F.when(F.col("type") == binlog.QUERY, binlog.statement_of(F.col("body")))
-    told = events.withColumn("_said", said).withColumn("kind", binlog.kind_of(F.col("type"), F.col("_said.sql"), F.col("body"))).withColumn(ORDER, binlog.place())
-    told = stored(told, "captured-kinds")
+    return events.withColumn("_said", said).withColumn("kind", binlog.kind_of(F.col("type"), F.col("_said.sql"), F.col("body"))).withColumn(ORDER, binlog.place())
+
+
+def placed_events(told: DataFrame) -> DataFrame:
+    """Told events with txn_ix, the running number of transactions in their file, as a stored table."""
     numbered = running_total(told, ["file"], ORDER, F.when(F.col("kind") == "gtid", 1).otherwise(0), "txn_ix", span=binlog.ORDER_SPAN)
     begun = numbered.where("kind = 'begin'").groupBy("file", "txn_ix").agg(F.min(ORDER).alias("_begun"))
     placed = numbered.join(begun, ["file", "txn_ix"], "left")
     own = F.coalesce(F.col(ORDER) < F.col("_begun"), F.lit(True))
-    whole = stored(placed.withColumn("kind", F.when(F.col("kind") == "statement", F.when(own, "ddl").otherwise("marker")).otherwise(F.col("kind"))).drop("_begun"), "captured-events")
-    discard(told)
-    return whole
+    return stored(placed.withColumn("kind", F.when(F.col("kind") == "statement", F.when(own, "ddl").otherwise("marker")).otherwise(F.col("kind"))).drop("_begun"), "captured-events")
 
 
 def capture_faults(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
     """(file, seq, reason) of each damaged or unknown event, each break of order and each two-phase end that nothing
     explains; must be empty before anything is delivered."""
+    return event_faults(events).union(outcome_faults(prepared_outcomes(events, recovered)))
+
+
+def event_faults(events: DataFrame) -> DataFrame:
+    """(file, seq, reason) of each damaged or unknown event and each break of order."""
     damaged = events.where("fault is not null").select("file", F.col("seq"), F.col("fault").alias("reason"))
     sound = events.where("fault is null")
     strange = sound.where("kind in ('unknown', 'malformed')").select("file", "seq", F.when(F.col("kind") == "unknown", "unknown_event_type").otherwise("xa_prepare_malformed"))
     order = order_faults(sound, by="file", at=ORDER).select("file", F.shiftright(ORDER, binlog.INNER_BITS).cast("bigint"), "reason")
-    two_phase = prepared_outcomes(events, recovered).where("outcome in ('xa_prepared_gtid_mismatch', 'xa_commit_without_prepare', 'xa_rollback_without_prepare')")
-    return damaged.union(strange).union(order).union(two_phase.select("file", F.shiftright("at", binlog.INNER_BITS).cast("bigint"), "outcome"))
+    return damaged.union(strange).union(order)
+
+
+def outcome_faults(outcomes: DataFrame) -> DataFrame:
+    """(file, seq, reason) of each step of a two-phase transaction that nothing explains."""
+    odd = outcomes.where("outcome in ('xa_prepared_gtid_mismatch', 'xa_commit_without_prepare', 'xa_rollback_without_prepare')")
+    return odd.select("file", F.shiftright("at", binlog.INNER_BITS).cast("bigint").alias("seq"), F.col("outcome").alias("reason"))
 
 
 def _ids(events: DataFrame) -> DataFrame:
@@ -53,6 +72,11 @@ def prepared_outcomes(events: DataFrame, recovered: DataFrame | None = None) ->
     """(digest, file, at, txn_ix, gtid, prepare_file, prepare_ix, prepare_gtid, ts, outcome) of each step of a two-phase
     transaction, by its digest, as resolve_steps() has it. Files follow each other by name.
     """
+    return resolve_steps(two_phase_steps(events), recovered)
+
+
+def two_phase_steps(events: DataFrame) -> DataFrame:
+    """(digest, verb, file, at, txn_ix, gtid, ts) of each prepare, and of each commit or rollback of a prepared transaction."""
     ended = events.where("fault is null and kind in ('xa_prepare', 'xa_resolve')")
     prepare, end = binlog.prepare_of(F.col("body")), binlog.resolution_of(F.col("_said.sql"))
     xid = F.when(F.col("kind") == "xa_prepare", F.struct(*[prepare[c].alias(c) for c in ("format_id", "gtrid", "bqual")])).otherwise(F.struct(*[end[c].alias(c) for c in ("format_id", "gtrid", "bqual")]))
@@ -60,7 +84,7 @@ def prepared_outcomes(events: DataFrame, recovered: DataFrame | None = None) ->
         xid_digest(F.col("_xid.format_id"), F.col("_xid.gtrid"), F.col("_xid.bqual")).alias("digest"),
         F.when(F.col("kind") == "xa_prepare", "prepare").otherwise(end["verb"]).alias("verb"), "file", F.col(ORDER).alias("at"), "txn_ix", F.timestamp_seconds("timestamp").alias("ts"),
     )
-    return resolve_steps(steps.join(_ids(events), ["file", "txn_ix"]), recovered)
+    return steps.join(_ids(events), ["file", "txn_ix"]).select("digest", "verb", "file", "at", "txn_ix", "gtid", "ts")
 
 
 def resolve_steps(steps: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
@@ -97,22 +121,30 @@ def committed(events: DataFrame, recovered: DataFrame | None = None) -> DataFram
 
     A two-phase transaction is there once its commit was read, with its prepare's id and the commit's time.
     """
-    ends = events.where(F.col("kind").isin("xid", "commit", "ddl")).groupBy("file", "txn_ix").agg(F.min_by(F.timestamp_seconds("timestamp"), F.col(ORDER)).alias("commit_ts"))
-    plain = _ids(events).join(ends, ["file", "txn_ix"]).select("file", "txn_ix", "gtid", "commit_ts")
     two = prepared_outcomes(events, recovered).where("outcome = 'committed'").select(F.col("prepare_file").alias("file"), F.col("prepare_ix").alias("txn_ix"), F.col("prepare_gtid").alias("gtid"), F.col("ts").alias("commit_ts"))
-    return plain.union(two).select("file", "txn_ix", *_parts("gtid"), "commit_ts")
+    return committed_at_once(events).union(two.select("file", "txn_ix", *id_parts("gtid"), "commit_ts"))
+
 
+def committed_at_once(events: DataFrame) -> DataFrame:
+    """(file, txn_ix, source_uuid, gno, commit_ts) of the transactions that ended in one phase."""
+    ends = events.where(F.col("kind").isin("xid", "commit", "ddl")).groupBy("file", "txn_ix").agg(F.min_by(F.timestamp_seconds("timestamp"), F.col(ORDER)).alias("commit_ts"))
+    return _ids(events).join(ends, ["file", "txn_ix"]).select("file", "txn_ix", *id_parts("gtid"), "commit_ts")
 
-def _parts(gtid: str) -> list[Column]:
+
+def id_parts(gtid: str) -> list[Column]:
     parts = F.split(gtid, ":")
     return [parts[0].alias("source_uuid"), parts[1].cast("bigint").alias("gno")]
 
 
 def processed_points(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
     """(source_uuid, gno) of all transactions that are done: a two-phase one's two ids from its resolution on, none before."""
-    plain = committed(events, recovered).select("source_uuid", "gno")
-    done = prepared_outcomes(events, recovered).where("outcome in ('committed', 'rolled_back', 'advanced')")
-    return plain.union(done.select(*_parts("gtid"))).union(done.where("prepare_gtid is not null").select(*_parts("prepare_gtid"))).distinct()
+    return committed(events, recovered).select("source_uuid", "gno").union(resolved_points(prepared_outcomes(events, recovered))).distinct()
+
+
+def resolved_points(outcomes: DataFrame) -> DataFrame:
+    """(source_uuid, gno) of both transactions of each resolution: the one that ends it, and the one it was prepared in."""
+    done = outcomes.where("outcome in ('committed', 'rolled_back', 'advanced')")
+    return done.select(*id_parts("gtid")).union(done.where("prepare_gtid is not null").select(*id_parts("prepare_gtid")))
 
 
 def committed_changes(events: DataFrame, tables: list[tuple[str, str]] | None = None, recovered: DataFrame | None = None) -> DataFrame:
@@ -120,10 +152,15 @@ def committed_changes(events: DataFrame, tables: list[tuple[str, str]] | None =
 
     change_ix, a struct of places, orders the changes of a transaction.
     """
+    joined = numbered_changes(events, tables).join(committed(events, recovered), ["file", "txn_ix"])
+    return joined.select("source_uuid", "gno", "change_ix", "commit_ts", "schema", "table", "op", "before", "after")
+
+
+def numbered_changes(events: DataFrame, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(file, txn_ix, change_ix, schema, table, op, before, after) of all changes of the tables, committed or not."""
     changes = binlog.decode_changes(events.drop("_said", "kind", ORDER, "txn_ix"), tables)
     where = events.where("kind = 'rows'").select("file", "seq", "inner", "txn_ix")
-    joined = changes.join(where, ["file", "seq", "inner"]).join(committed(events, recovered), ["file", "txn_ix"])
-    return joined.select("source_uuid", "gno", F.struct("seq", "inner", "change_ix").alias("change_ix"), "commit_ts", "schema", "table", "op", "before", "after")
+    return changes.join(where, ["file", "seq", "inner"]).select("file", "txn_ix", F.struct("seq", "inner", "change_ix").alias("change_ix"), "schema", "table", "op", "before", "after")
 
 
 def schema_changes(events: DataFrame) -> DataFrame:

@@ -102,8 +102,8 @@ def _statement(sql: Column, at: Column) -> Column:
     return _event(2, F.concat(_raw("01000000 00000000 04 0000 0000"), F.lit("shop").cast("binary"), _raw("00"), sql.cast("binary")), at=at)
 
 
-def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured events of an order in two phases, a file an order: prepared as 2k unless its key ends in 9, ended as 2k + 1
+def prepared_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured files (path, events) of an order in two phases, a file an order: prepared as 2k unless its key ends in 9, ended as 2k + 1
     by a commit (status F) or a rollback (O); of those that end in 4 the prepare comes twice, and of those that end in 5 it
     is in one phase, so that it commits at once. Keys of 19, 39 and so on were found prepared at start."""
     key = F.col("o_orderkey")
@@ -117,8 +117,19 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.array().cast("array<binary>")
     first = F.when(digit == 9, none).otherwise(_once(prepare, lambda p: F.when(digit == 4, F.concat(p, p)).otherwise(p)))
     events = F.concat(first, F.when((F.col("o_orderstatus") == "P") | (digit == 5), none).otherwise(end))
-    content = F.unhex(F.concat(F.lit("FE62696E"), F.array_join(F.transform(events, lambda e: F.hex(e)), "")))
-    return capture.captured_events(_orders(spark, sf_dir).select(key.cast("string").alias("path"), content.alias("content")))
+    return _orders(spark, sf_dir).select(key.cast("string").alias("path"), events.alias("events"))
+
+
+def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of prepared_order_files(), read back from the files' bytes."""
+    content = F.unhex(F.concat(F.lit("FE62696E"), F.array_join(F.transform("events", lambda e: F.hex(e)), "")))
+    return capture.captured_events(prepared_order_files(spark, sf_dir).select("path", content.alias("content")))
+
+
+def prepared_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, seq, raw) of each event of prepared_order_files()."""
+    each = prepared_order_files(spark, sf_dir).select(F.col("path").alias("file"), F.posexplode("events").alias("seq", "raw"))
+    return each.withColumn("seq", F.col("seq").cast("bigint"))
 
 
 def recovered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

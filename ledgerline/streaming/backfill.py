@@ -17,7 +17,8 @@ STATE = "schema string, table string, fingerprint string, pk_cursor bigint, deli
 
 @dataclass
 class SnapshotStore:
-    """One row a table: how far its snapshot is. Each state is a version of its own; the last that was written whole counts."""
+    """One row a table: how far its snapshot is. Each state is a version of its own; the last that was written whole counts,
+    and one that was cut off is written over."""
 
     spark: SparkSession
     path: str
@@ -32,7 +33,7 @@ class SnapshotStore:
     def write(self, state: DataFrame) -> None:
         versions = self._versions()
         n = versions[-1] + 1 if versions else 0
-        state.select("schema", "table", "fingerprint", "pk_cursor", "delivered_pk", "chunk_seq", "done").coalesce(1).write.parquet(f"{self.path}/v{n}")
+        state.select("schema", "table", "fingerprint", "pk_cursor", "delivered_pk", "chunk_seq", "done").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/v{n}")
         for old in versions[:-1]:
             fs, place = _folder(self.spark, f"{self.path}/v{old}")
             fs.delete(place, True)

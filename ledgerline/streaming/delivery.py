@@ -138,6 +138,9 @@ class Pipeline:
     batch, the filtered ones too. A sink that fails leaves the progress as it was and ends the query; the batch comes
     again on restart. cursors, if given, tells the snapshot's state, and holds back what a later chunk will bring.
 
+    A micro-batch must hold whole transactions, or `end` must name a column that is true in the last row of each: then a
+    transaction that a micro-batch cuts waits, with nothing of it delivered or recorded, until its end was read.
+
     Rows with op `schema` are schema changes: they go to schema_sink, in order with the data of their source, so what came
     before them is delivered before. faults, if given, finds what is wrong with a batch, and must find nothing.
     """
@@ -150,13 +153,18 @@ class Pipeline:
     faults: Callable[[DataFrame], DataFrame] | None = None
     retries: int = 5
     run: str = "run"
+    end: str | None = None
     seen: list[dict] = field(default_factory=list)
 
-    def deliver(self, batch: DataFrame, batch_id: int) -> None:
-        if self.progress.holds(self.run, batch_id) or batch.isEmpty():
+    def deliver(self, batch: DataFrame, batch_id: int, points: DataFrame | None = None, keep: Callable[[], None] | None = None) -> None:
+        """Delivers a batch of changes. points, if given, are the ids (source_uuid, gno) that are then done, changes or not;
+        keep, if given, stores what must count from the record on."""
+        if self.progress.holds(self.run, batch_id) or (points is None and batch.isEmpty()):
             return
         if self.faults is not None and (found := self.faults(batch).first()) is not None:
             raise Halt(found["reason"])
+        if self.end is not None:
+            batch, points, keep = self._whole(batch, batch_id)
         fresh = deduplicated(batch, self.progress.read()).persist()
         try:
             chosen = allowed(fresh, self.tables)
@@ -169,11 +177,29 @@ class Pipeline:
             except Exception as fault:
                 raise Halt("sink_error") from fault
             took = time.monotonic() - began
-            patiently(lambda: self.progress.record(self.run, batch_id, gtid.from_points(fresh)), "checkpoint_write_failed", self.retries)
+
+            def record() -> None:
+                if keep is not None:
+                    keep()
+                self.progress.record(self.run, batch_id, gtid.from_points(fresh if points is None else points))
+
+            patiently(record, "checkpoint_write_failed", self.retries)
             self.seen.append(measured({"sink_ms": int(took * 1000)}, {"reason": "delivered"}))
         finally:
             fresh.unpersist()
 
+    def _whole(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame, Callable[[], None]]:
+        """The rows of transactions whose end was read, with those that earlier batches left open, their ids, and what stores
+        the rows that stay open. A new run reads from the beginning, so it doesn't take over what another one left."""
+        from ledgerline.streaming.pool import Pool
+
+        pool = Pool(batch.sparkSession, f"{self.progress.path}/open", self.progress, {"open": batch.schema.simpleString()})
+        held, writer = pool.read()
+        rows = batch.union(held["open"].select(*batch.columns)) if writer == self.run else batch
+        ids = rows.where(F.col(self.end)).select("source_uuid", "gno").distinct()
+        left = rows.join(ids, ["source_uuid", "gno"], "left_anti").select(*batch.columns)
+        return rows.join(ids, ["source_uuid", "gno"], "left_semi").select(*batch.columns), ids, lambda: pool.write(self.run, batch_id, {"open": left})
+
     def _in_order(self, chosen: DataFrame, name: str) -> None:
         """Delivers the data between schema changes, and each schema change in its place. Schema changes are few a batch."""
         steps = chosen.where("op = 'schema'").groupBy("source_uuid").count().agg(F.max("count")).first()[0] or 0
@@ -189,13 +215,17 @@ class Pipeline:
         ordered.unpersist()
 
     def start(self, changes: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-        spark = changes.sparkSession
+        return self.run_each(changes, checkpoint, self.deliver, trigger)
+
+    def run_each(self, rows: DataFrame, checkpoint: str, deliver: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
+        """Runs deliver on each micro-batch, under the name of the query that the checkpoint belongs to."""
+        spark = rows.sparkSession
 
         def batch(df: DataFrame, batch_id: int) -> None:
             self.run = run_of(spark, checkpoint)
-            self.deliver(df, batch_id)
+            deliver(df, batch_id)
 
-        return changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "500 milliseconds"})).start()
+        return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "500 milliseconds"})).start()
 
 
 #: What may be told of a run; counts and times, and names that hold no value of a row.
