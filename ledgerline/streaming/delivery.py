@@ -193,7 +193,7 @@ class Pipeline:
         the rows that stay open. A new run reads from the beginning, so it doesn't take over what another one left."""
         from ledgerline.streaming.pool import Pool
 
-        pool = Pool(batch.sparkSession, f"{self.progress.path}/open", self.progress, {"open": batch.schema.simpleString()})
+        pool = Pool(batch.sparkSession, f"{self.progress.path}/open", self.progress, {"open": batch.schema})
         held, writer = pool.read()
         rows = batch.union(held["open"].select(*batch.columns)) if writer == self.run else batch
         ids = rows.where(F.col(self.end)).select("source_uuid", "gno").distinct()

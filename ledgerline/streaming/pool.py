@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgerline.streaming.delivery import Progress, _folder, _names
 
@@ -24,7 +25,7 @@ class Pool:
     spark: SparkSession
     path: str
     progress: Progress
-    schemas: Mapping[str, str]
+    schemas: Mapping[str, str | StructType]
 
     def _versions(self) -> list[tuple[int, str, int]]:
         """(number, run, batch) of the versions whose tables are all there, oldest first."""
