@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,10 +13,10 @@ from ledgerline.llm.common import arrow_map, schema_with
 
 #: Elements that are never text of the article, names of parts that aren't, words that may stand beside such
 #: a name, names of parts that readers write, roles of parts, and how elements flow.
-DROPPED = frozenset("script style noscript template head title nav footer header aside form button select textarea input iframe svg canvas object dialog menu".split())
+DROPPED = frozenset("script style noscript template head title nav footer header aside button select textarea input iframe svg canvas object dialog menu".split())
 JUNK_NAMES = frozenset("ad ads advert advertisement adverts banner sponsor sponsored promo sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead notice notices cookie cookies consent alert popup modal overlay share sharing social related recommended newsletter subscribe signup login search widget pagination".split())
 READER_NAMES = frozenset("comment comments disqus replies".split())
-BESIDE = frozenset("area bar block box button buttons column container form group holder icons inner item items left link links list outer panel right section site slot top bottom unit wrap wrapper".split())
+BESIDE = frozenset("area articles bar block box button buttons column container form group holder icons inner item items left link links list outer news panel post posts reader readers right section site slot stories teaser teasers thread threads top bottom unit user users wrap wrapper".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 ARTICLES = ("article", "main")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -64,18 +64,75 @@ def _is_cut(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     return False
 
 
-class _Tree(HTMLParser):
+#: Elements whose contents hold no tags, of which those of the second kind have character references.
+RAW, PLAIN = ("script", "style", "xmp", "iframe", "noembed", "noframes"), ("textarea", "title")
+_TAG_NAME = re.compile(r"[A-Za-z][^\x20\x09-\x0D/>]*")
+_ATTRIBUTE = re.compile(r"""[\x20\x09-\x0D/]*(?:([^\x20\x09-\x0D/>=][^\x20\x09-\x0D/>=]*|=[^\x20\x09-\x0D/>=]*)(?:[\x20\x09-\x0D]*=[\x20\x09-\x0D]*(?:"([^"]*)"|'([^']*)'|(?!["'])([^\x20\x09-\x0D>]*)))?)?""")
+_COMMENT_END = re.compile(r"--!?>")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\x20\x09-\x0D/>])", re.IGNORECASE) for t in (*RAW, *PLAIN)}
+
+
+class _Tree:
     """Elements in page order as parallel lists; `flow` has (element, text) with a blank where a block begins or ends.
 
-    Closing looks up where the last open element of a tag stands, so the work is linear however deep elements nest.
+    Any text is a page: what is no tag is text, and a tag, comment or raw element that isn't closed goes on to the end. No
+    place is looked at twice, and closing looks up where the last open element of a tag stands, so the work is linear
+    however elements nest.
     """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.cut, self.names, self.flow = ["#root"], [-1], [False], [""], []
         self.open = [0]
         self.at: dict[str, list[int]] = {}
 
+    def feed(self, html: str) -> None:
+        at, n = 0, len(html)
+        while at < n:
+            lt = html.find("<", at)
+            if lt < 0:
+                self.handle_data(unescape(html[at:]))
+                return
+            if lt > at:
+                self.handle_data(unescape(html[at:lt]))
+            at = self._markup(html, lt)
+
+    def _markup(self, html: str, lt: int) -> int:
+        """Handles what begins with the `<` at a place, and returns the place after it."""
+        n = len(html)
+        if html.startswith("<!--", lt):
+            if html.startswith(("<!-->", "<!--->"), lt):
+                return html.index(">", lt) + 1
+            end = _COMMENT_END.search(html, lt + 4)
+            return end.end() if end else n
+        if html.startswith(("<!", "<?"), lt) or html.startswith("</", lt) and lt + 2 < n and not _TAG_NAME.match(html, lt + 2):
+            end = html.find(">", lt + 2)
+            return end + 1 if end >= 0 else n
+        closing = html.startswith("</", lt)
+        name = _TAG_NAME.match(html, lt + 1 + closing)
+        if not name:
+            self.handle_data("<")
+            return lt + 1
+        tag, at, attrs = name.group().lower(), name.end(), []
+        while at < n and html[at] != ">":
+            m = _ATTRIBUTE.match(html, at)
+            if m.group(1):
+                value = m.group(2) or m.group(3) or m.group(4)
+                attrs.append((m.group(1).lower(), unescape(value) if value else value))
+            at = max(m.end(), at + 1)
+        if at >= n:
+            return n
+        at += 1
+        if closing:
+            self.handle_endtag(tag)
+            return at
+        self.handle_starttag(tag, attrs)
+        if tag in _RAW_END:
+            end = _RAW_END[tag].search(html, at)
+            stop = end.start() if end else n
+            self.handle_data(unescape(html[at:stop]) if tag in PLAIN else html[at:stop])
+            return stop
+        return at
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CLOSES_P:
             self._close("p", stop=("table", "td", "th", "div", "article", "section", "body", "button"))
@@ -85,7 +142,7 @@ class _Tree(HTMLParser):
         self.tag.append(tag)
         self.parent.append(above)
         self.cut.append(self.cut[above] or _is_cut(tag, attrs))
-        said = "" if tag in ("body", "html", *ARTICLES) else _named(" ".join(v or "" for k, v in attrs if k in ("class", "id")))
+        said = "" if tag in ("body", "html", *ARTICLES) else "form" if tag == "form" else _named(" ".join(v or "" for k, v in attrs if k in ("class", "id")))
         self.names.append(said)
         if tag not in INLINE:
             self.flow.append((len(self.tag) - 1, " "))
@@ -121,16 +178,15 @@ def main_text(html: str | None) -> str:
     Each block passes 1 point, 1 for each comma and 1 for each 100 characters up to 3 to its container, half to the
     container above and a sixth to the next; a block and a container count less by their share of link text. A part with a
     junk name is cut unless it holds all articles of the page or, where there is none, nearly all its points in long
-    paragraphs; one that readers wrote always is. The best container gives way to the outermost article around it, else to
-    the outermost main. Siblings of the best stay if they score a fifth of it, or are a paragraph or section that ends a
-    sentence and holds few links; so does a heading right before what stays. Beside an article only articles and sections
-    stay. Null is empty.
+    paragraphs, as is a form; one that readers wrote always is. The best container gives way to the outermost article around
+    it, else to the outermost main. Siblings of the best stay if they score a fifth of it, if they end a sentence and hold
+    few links, or if they hold few links and lie between others that stay; so does a heading right before what stays. Beside
+    an article stay further articles with few links, and what scores as high. Null is empty, and no text is refused.
     """
     if not html:
         return ""
     tree = _Tree()
     tree.feed(html)
-    tree.close()
     n, tag, parent = len(tree.tag), tree.tag, tree.parent
     block, linked = list(range(n)), [False] * n
     for i in range(1, n):
@@ -157,7 +213,9 @@ def main_text(html: str | None) -> str:
     gone = [False] * n
     for i in range(1, n):
         whole = held[i] == held[0] if held[0] else total[i] >= MOST_POINTS * total[0] and long[i] >= LONG_PARAGRAPHS
-        gone[i] = gone[parent[i]] or tree.cut[i] or tree.names[i] == "readers" or tree.names[i] == "junk" and not whole
+        # A form around the page holds paragraphs; one to fill in holds none.
+        whole = whole or tree.names[i] == "form" and total[i] >= MOST_POINTS * total[0] and long[i] > 0
+        gone[i] = gone[parent[i]] or tree.cut[i] or tree.names[i] == "readers" or tree.names[i] in ("junk", "form") and not whole
     points, ends = [0.0] * n, [False] * n
     size, links = [0] * n, [0] * n
     for b in range(n):
@@ -182,13 +240,17 @@ def main_text(html: str | None) -> str:
         at = parent[at]
     best = above.get("article", above.get("main", best))
     chosen, follows = [False] * n, False
-    for i in range(n - 1, 0, -1):
-        if parent[i] == parent[best] and i != best and size[i] and not gone[i]:
+    beside = [i for i in range(1, n) if parent[i] == parent[best] and size[i] and (i == best or not gone[i])]
+    for i in reversed(beside):
+        if i != best:
+            calm = links[i] < 0.25 * size[i]
             scores = score[i] >= 0.2 * score[best] > 0 and (tag[best] not in ARTICLES or tag[i] in (*ARTICLES, "section"))
-            says = ends[i] and links[i] < 0.25 * size[i] and tag[best] not in ARTICLES and (tag[i] in PARAGRAPHS or tag[i] == "section")
+            says = calm and (ends[i] and (tag[i] in PARAGRAPHS or tag[i] in ("section", "div")) if tag[best] not in ARTICLES else tag[i] == tag[best])
             chosen[i] = scores or says or tag[i] in HEADINGS and follows and tag[best] not in ARTICLES
-        if parent[i] == parent[best] and size[i]:
-            follows = chosen[i] or i == best
+        follows = chosen[i] or i == best
+    kept = [k for k, i in enumerate(beside) if chosen[i] or i == best]
+    for i in beside[kept[0] : kept[-1]] if kept and tag[best] not in ARTICLES else ():  # what lies between parts that stay
+        chosen[i] = chosen[i] or links[i] < 0.25 * size[i]
     chosen[best] = True
     for i in range(1, n):
         chosen[i] = (chosen[i] or chosen[parent[i]]) and not gone[i]
