@@ -29,7 +29,7 @@ def captured_events(files: DataFrame) -> DataFrame:
 
 def told_events(raw: DataFrame) -> DataFrame:
     """Raw events (file, seq, raw), payloads expanded, with their kind and their order in the file; not yet by transaction."""
-    events = binlog.expand_payloads(binlog.parse_headers(raw))
+    events = binlog.open_events(raw)
     said = F.when(F.col("type") == binlog.QUERY, binlog.statement_of(F.col("body")))
     return events.withColumn("_said", said).withColumn("kind", binlog.kind_of(F.col("type"), F.col("_said.sql"), F.col("body"))).withColumn(ORDER, binlog.place())
 

@@ -9,6 +9,7 @@ from ledgerline.operators import capture
 from ledgerline.operators.delivery import xid_digest
 from ledgerline.sources import binlog
 from ledgerline.sources.changelog import table
+from ledgerline.sources.scratch import stored
 
 
 def _once(value: Column, body) -> Column:
@@ -58,7 +59,7 @@ def q43_zstd_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _once(frame, lambda f: F.concat(_raw("02 01 00 03 01"), _bytes(n, 1), _raw("01 01"), _bytes(F.octet_length(f), 1), _raw("00"), f))
 
     made = table(spark, sf_dir, "events").select(F.lit("f").alias("file"), key.alias("seq"), _event(40, _once(inner, packed)).alias("raw"))
-    expanded = binlog.expand_payloads(binlog.parse_headers(made))
+    expanded = binlog.open_events(made)
     return expanded.select("seq", "inner", binlog.little(F.col("body"), 1, 7).alias("xid"))
 
 
@@ -84,7 +85,7 @@ def _rows_event() -> Column:
 def q44_binary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = F.array(_event(19, _raw(ORDERS_MAP)), _rows_event())
     made = _orders(spark, sf_dir).select(F.col("o_orderkey").cast("string").alias("file"), F.posexplode(pair).alias("seq", "raw")).withColumn("seq", F.col("seq").cast("bigint"))
-    events = binlog.parse_headers(made).withColumn("inner", F.lit(0).cast("bigint"))
+    events = stored(binlog.open_events(made), "decode-events")  # looked at more than once below
     image = F.from_json("after", "id bigint, status string, cents bigint, day string")
     changes = binlog.decode_changes(events, [("shop", "orders")]).select("op", image.alias("r"))
     return changes.select("op", F.col("r.id").alias("o_orderkey"), F.col("r.status").alias("o_orderstatus"), F.col("r.cents").alias("cents"), F.col("r.day").alias("day"))

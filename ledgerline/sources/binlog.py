@@ -1,7 +1,7 @@
 """Captured binary logs as DataFrames: events, checked and decoded; compressed payloads; row images as changes.
 
-Headers, checksums, transaction ids and statements are read by column expressions. Only what has no fixed layout, table
-maps, row images and compressed payloads, goes through an Arrow function, after the table filter.
+Headers and checksums are read in one Arrow pass over the bytes, which opens compressed payloads as well. Transaction ids and
+statements are column expressions; table maps and row images, which have no fixed layout, are read after the table filter.
 """
 
 from __future__ import annotations
@@ -10,8 +10,10 @@ import datetime as dt
 import decimal
 import json
 import struct
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -40,8 +42,8 @@ EVENT_SCHEMA = "file string, seq bigint, raw binary"
 def little(body: Column, at: Column | int, n: int) -> Column:
     """The unsigned number in n bytes, lowest first, from the 1-based place `at`; n up to 7."""
     at = F.lit(at) if isinstance(at, int) else at
-    pairs = [F.hex(F.substring(body, at + k, F.lit(1))) for k in reversed(range(n))]
-    return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
+    digits = F.hex(F.substring(body, at, F.lit(n)))
+    return F.conv(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(n))]), 16, 10).cast("bigint")
 
 
 def split_events(files: DataFrame) -> DataFrame:
@@ -66,16 +68,59 @@ def _batch(rows: list[tuple], *fields: tuple[str, pa.DataType]) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
+HEADERS = "file string, seq bigint, fault string, type int, timestamp bigint, server_id bigint, log_pos bigint, flags int, body binary"
+_HEADER_FIELDS = np.dtype([("timestamp", "<u4"), ("type", "u1"), ("server_id", "<u4"), ("size", "<u4"), ("log_pos", "<u4"), ("flags", "<u2")])
+_HEADER_COLUMNS = (("type", pa.int32()), ("timestamp", pa.int64()), ("server_id", pa.int64()), ("log_pos", pa.int64()), ("flags", pa.int32()))
+
+
+def _headers(raws: pa.Array) -> tuple[list, dict[str, np.ndarray], list]:
+    """Fault, header fields and body of each event of a batch; the fields of an event that is cut within its header are 0."""
+    events = raws.to_pylist()
+    empty = bytes(HEADER)
+    fields = np.frombuffer(b"".join(e[:HEADER] if e is not None and len(e) >= HEADER else empty for e in events), dtype=_HEADER_FIELDS)
+    faults, bodies = [], []
+    for e, size in zip(events, fields["size"].tolist()):
+        n = len(e or b"")
+        whole = n >= HEADER + CHECKSUM and n == size
+        faults.append("truncated" if not whole else None if zlib.crc32(memoryview(e)[:-CHECKSUM]) == int.from_bytes(e[-CHECKSUM:], "little") else "crc_mismatch")
+        bodies.append((e or b"")[HEADER:-CHECKSUM])
+    return faults, {c: fields[c] for c, _ in _HEADER_COLUMNS}, bodies
+
+
 def parse_headers(events: DataFrame) -> DataFrame:
-    """Adds the header's fields, body, and fault: null, truncated or crc_mismatch."""
-    size = F.length("raw")
-    sound = F.crc32(F.substring("raw", F.lit(1), size - CHECKSUM)) == little(F.col("raw"), size - CHECKSUM + 1, 4)
-    fault = F.when(size < HEADER + CHECKSUM, "truncated").when(little(F.col("raw"), 10, 4) != size, "truncated").when(~sound, "crc_mismatch")
-    raw = F.col("raw")
-    return events.select(
-        "file", "seq", fault.alias("fault"), little(raw, 5, 1).cast("int").alias("type"), little(raw, 1, 4).alias("timestamp"), little(raw, 6, 4).alias("server_id"),
-        little(raw, 14, 4).alias("log_pos"), little(raw, 18, 2).cast("int").alias("flags"), F.substring("raw", F.lit(HEADER + 1), size - HEADER - CHECKSUM).alias("body"),
-    )
+    """(file, seq), the header's fields, body, and fault: null, truncated or crc_mismatch."""
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            faults, fields, bodies = _headers(batch.column(2))
+            columns = [*batch.columns[:2], pa.array(faults, pa.string()), *[pa.array(fields[c].astype(np.int64)).cast(t) for c, t in _HEADER_COLUMNS], pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["file", "seq", "fault", *[c for c, _ in _HEADER_COLUMNS], "body"])
+
+    return events.select("file", "seq", "raw").mapInArrow(parsed, HEADERS)
+
+
+def open_events(events: DataFrame) -> DataFrame:
+    """parse_headers() with each compressed payload replaced by the events in it, which have their place in it as `inner`."""
+    names = ["file", "seq", "fault", *[c for c, _ in _HEADER_COLUMNS], "body"]
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            faults, fields, bodies = _headers(batch.column(2))
+            at, added = list(range(len(faults))), {c: [] for c in ("at", "body", "inner", *fields)}
+            for i in np.flatnonzero(fields["type"] == PAYLOAD).tolist():
+                if faults[i] is None:
+                    at[i] = -1
+                    for k, r in enumerate(inner_events(bodies[i])):
+                        for c, v in (("at", i), ("inner", k), ("log_pos", fields["log_pos"][i]), *r.items()):
+                            added[c].append(v)
+            keep = pa.array([i for i in at if i >= 0] + added["at"], pa.int64())
+            plain = [i for i in at if i >= 0]
+            columns = [batch.column(0).take(keep), batch.column(1).take(keep), pa.array([faults[i] for i in plain] + [None] * len(added["at"]), pa.string())]
+            columns += [pa.array(np.concatenate([fields[c][plain].astype(np.int64), np.array(added[c], dtype=np.int64)])).cast(t) for c, t in _HEADER_COLUMNS]
+            columns += [pa.array([bodies[i] for i in plain] + added["body"], pa.binary()), pa.array([0] * len(plain) + added["inner"], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "inner"])
+
+    return events.select("file", "seq", "raw").mapInArrow(opened, f"{HEADERS}, inner bigint")
 
 
 def gtid_of(body: Column) -> Column:
@@ -163,34 +208,19 @@ def inflate(payload: bytes) -> bytes:
     return bytes(out)
 
 
-def expand_payloads(events: DataFrame) -> DataFrame:
-    """Replaces each compressed-payload event by the events in it, with its own place and log position.
-
-    Only the payloads go through Arrow; all other events stay as they are.
-    """
-    names = events.columns
-    packed = (F.col("type") == PAYLOAD) & F.col("fault").isNull()
-
-    def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                inner, at, rows = inflate(r["body"]), 0, []
-                while at < len(inner):
-                    if at + HEADER > len(inner):
-                        raise ValueError("inner_event_truncated")
-                    ts, kind, server, size, _, flags = struct.unpack_from("<IBIIIH", inner, at)
-                    if size < HEADER or at + size > len(inner):
-                        raise ValueError("inner_event_malformed" if size < HEADER else "inner_event_truncated")
-                    if kind == PAYLOAD:
-                        raise ValueError("nested_payload_unsupported")
-                    new = r | {"type": kind, "timestamp": ts, "server_id": server, "flags": flags, "body": inner[at + HEADER : at + size]}
-                    rows.append((*(new[c] for c in names), len(rows)))
-                    at += size
-                yield _batch(rows, *[(n, batch.schema.field(n).type) for n in names], ("inner", pa.int64()))
-
-    schema = ", ".join(f"{n} {t}" for n, t in events.dtypes) + ", inner bigint"
-    plain = events.where(F.coalesce(~packed, F.lit(True))).withColumn("inner", F.lit(0).cast("bigint"))
-    return plain.union(events.where(packed).mapInArrow(expanded, schema))
+def inner_events(body: bytes) -> Iterator[dict]:
+    """The events in a compressed payload: header fields but the log position, and body; they carry no checksums."""
+    inner, at = inflate(body), 0
+    while at < len(inner):
+        if at + HEADER > len(inner):
+            raise ValueError("inner_event_truncated")
+        ts, kind, server, size, _, flags = struct.unpack_from("<IBIIIH", inner, at)
+        if size < HEADER or at + size > len(inner):
+            raise ValueError("inner_event_malformed" if size < HEADER else "inner_event_truncated")
+        if kind == PAYLOAD:
+            raise ValueError("nested_payload_unsupported")
+        yield {"type": kind, "timestamp": ts, "server_id": server, "flags": flags, "body": inner[at + HEADER : at + size]}
+        at += size
 
 
 def _packed(b: bytes, at: int) -> tuple[int, int]:
