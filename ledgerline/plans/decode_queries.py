@@ -152,7 +152,30 @@ def q46_xa_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.union(done)
 
 
-QUERIES = {f.__name__: f for f in (q42_crc_filter, q43_zstd_roundtrip, q44_binary_decode, q45_xa_committed, q46_xa_outcomes)}
+#: A table map of shop.events (id BIGINT, doc JSON): as above.
+EVENTS_MAP = "0A0000000000 0000 04 73686F70 00 06 6576656E7473 00 02 08F5 01 04 02 01 01 00 04 07 02 6964 03 646F63"
+
+
+def _document() -> Column:
+    """An object of two keys in binary: k, a number of 16 bits or null in its entry, and t, a string behind the keys."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    said = F.col("event_type").cast("binary")
+    number = F.when(k.isNull(), _raw("04 0000")).otherwise(F.concat(_raw("05"), _bytes(F.coalesce(k, F.lit(0)), 2)))
+    entries = F.concat(_raw("1200 0100 1300 0100"), number, _raw("0C 1400"), _raw("6B 74"))
+    return F.concat(_raw("00 0200"), _bytes(F.octet_length(said) + 21, 2), entries, _bytes(F.octet_length(said), 1), said)
+
+
+def q50_json_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON columns of row images, read from their binary form to VARIANT."""
+    image = _once(_document(), lambda d: F.concat(_raw("00"), _bytes(F.col("event_id"), 8), _bytes(F.octet_length(d), 4), d))
+    pair = F.array(_event(19, _raw(EVENTS_MAP)), _event(30, F.concat(_raw("0A0000000000 0000 0200 02 03"), image)))
+    made = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("file"), F.posexplode(pair).alias("seq", "raw")).withColumn("seq", F.col("seq").cast("bigint"))
+    changes = binlog.decode_changes(stored(binlog.open_events(made), "decode-events"), [("shop", "events")])
+    row = F.parse_json("after")
+    return changes.select(F.variant_get(row, "$.id", "bigint").alias("event_id"), F.variant_get(row, "$.doc.k", "bigint").alias("k"), F.variant_get(row, "$.doc.t", "string").alias("kind"))
+
+
+QUERIES = {f.__name__: f for f in (q42_crc_filter, q43_zstd_roundtrip, q44_binary_decode, q45_xa_committed, q46_xa_outcomes, q50_json_columns)}
 ORACLES = {
     "q42_crc_filter": "SELECT CASE WHEN event_id % 70 = 69 THEN 'truncated' WHEN event_id % 50 = 49 THEN 'crc_mismatch' ELSE 'ok' END AS verdict, count(*)::BIGINT AS n, sum(CASE WHEN event_id % 70 = 69 OR event_id % 50 = 49 THEN 0 ELSE event_id END)::BIGINT AS ids FROM events GROUP BY 1",
     "q43_zstd_roundtrip": "SELECT event_id AS seq, i::BIGINT AS inner, event_id * 3 + i AS xid FROM events, range(3) AS r(i)",
@@ -160,6 +183,7 @@ ORACLES = {
     "q45_xa_committed": """SELECT '00112233-4455-6677-8899-aabbccddeeff' AS source_uuid, o_orderkey * 2 AS gno, CASE WHEN o_orderkey % 10 = 5 THEN 100 ELSE 1000 + o_orderkey % 10 END AS committed_at,
         o_orderkey, round(o_totalprice * 100)::BIGINT AS cents
       FROM orders WHERE o_orderkey % 10 = 5 OR (o_orderkey % 10 <> 9 AND o_orderstatus = 'F')""",
+    "q50_json_columns": "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, event_type AS kind FROM events",
     "q46_xa_outcomes": """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 10 AS d, o_orderstatus AS s, o_orderkey % 20 = 19 AS found FROM orders),
       steps AS (
         SELECT 'repeated' AS outcome, k * 2 AS id, false AS done FROM o WHERE d = 4

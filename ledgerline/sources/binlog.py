@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ordered import DENSE, asof_backward, running_total
+from ledgerline.sources.binary_json import json_text
 
 #: The file's magic, event types, and header and checksum sizes.
 MAGIC = b"\xfebin"
@@ -294,7 +295,7 @@ def _columns(m: dict) -> list[tuple]:
             kind, args = ("enum", (size, next(enums))) if real == 247 else ("set", (size, next(sets))) if real == 248 else ("text", (1 + (size > 255),))
             at += 2
         elif t in (252, 245, 255):
-            kind, args, at = "text" if t == 252 else "bytes", (meta[at],), at + 1
+            kind, args, at = {252: "text", 245: "json", 255: "bytes"}[t], (meta[at],), at + 1
         elif t in (17, 18, 19):
             kind, args, at = {17: "timestamp", 18: "datetime", 19: "time"}[t], (meta[at],), at + 1
         else:
@@ -328,14 +329,20 @@ def _fraction(b: bytes, at: int, fsp: int) -> tuple[int, int]:
     return int.from_bytes(b[at : at + n], "big") * 100 ** (3 - n), at + n
 
 
+class _Json(str):
+    """JSON text that is a value as it stands."""
+
+
 def _value(b: bytes, at: int, kind: str, args: tuple) -> tuple[object, int]:
     if kind == "int":
         return int.from_bytes(b[at : at + args[0]], "little", signed=args[1]), at + args[0]
     if kind == "decimal":
         return _decimal(b, at, *args)
-    if kind in ("text", "bytes"):
+    if kind in ("text", "bytes", "json"):
         size, at = int.from_bytes(b[at : at + args[0]], "little"), at + args[0]
         value = b[at : at + size]
+        if kind == "json":
+            return _Json(json_text(value, _decimal)), at + size
         return value.decode("utf-8", "backslashreplace") if kind == "text" else value.hex(), at + size
     if kind in ("enum", "set"):
         size, members = args
@@ -377,10 +384,11 @@ def row_changes(kind: int, body: bytes, m: dict) -> list[tuple[str, str | None,
     while at < len(body):
         present = masks[len(images) % len(masks)]
         nulls, at = body[at : at + (len(present) + 7) // 8], at + (len(present) + 7) // 8
-        image = {}
+        image = []
         for i, (name, how, args) in enumerate(present):
-            image[name], at = (None, at) if nulls[i // 8] >> i % 8 & 1 else _value(body, at, how, args)
-        images.append(json.dumps(image))
+            value, at = (None, at) if nulls[i // 8] >> i % 8 & 1 else _value(body, at, how, args)
+            image.append(f"{json.dumps(name)}: {value if isinstance(value, _Json) else json.dumps(value)}")
+        images.append("{" + ", ".join(image) + "}")
     if op == "update":
         return [(op, a, b) for a, b in zip(images[::2], images[1::2])]
     return [(op, None, x) if op == "insert" else (op, x, None) for x in images]

@@ -4,7 +4,7 @@ import struct
 
 import pytest
 
-from ledgerline.sources import binlog
+from ledgerline.sources import binary_json, binlog
 import binlog_writer as w
 
 GTID_BODY = b"\1" + bytes(range(16)) + (42).to_bytes(8, "little") + b"\0" * 17
@@ -84,3 +84,81 @@ def test_rows_use_the_last_map_of_their_own_table_id(spark):
     assert {r.table for r in binlog.decode_changes(events, [("s", "b")]).collect()} == {"b"}
     with pytest.raises(Exception, match="unmapped_table_id"):
         binlog.decode_changes(events.where("seq <> 0 and seq <> 4")).collect()
+
+
+# --- JSON columns ---------------------------------------------------------------------------------------------------
+
+
+def _varint(n):
+    out = b""
+    while True:
+        out += bytes([n & 0x7F | (0x80 if n > 0x7F else 0)])
+        n >>= 7
+        if not n:
+            return out
+
+
+def _binary_json(x, width=2):
+    """(tag, bytes, whether it goes into an entry) of a value; a pair of a tag and bytes is a wrapped value."""
+    if x is None or isinstance(x, bool):
+        return 4, bytes([{None: 0, True: 1, False: 2}[x]]) + b"\0" * (width - 1), True
+    if isinstance(x, int):
+        for tag, f, inline in ((5, "<h", True), (6, "<H", True), (7, "<i", width == 4), (8, "<I", width == 4), (9, "<q", False), (10, "<Q", False)):
+            try:
+                raw = struct.pack(f, x)
+                return tag, raw + b"\0" * (width - len(raw) if inline else 0), inline
+            except struct.error:
+                pass
+    if isinstance(x, float):
+        return 11, struct.pack("<d", x), False
+    if isinstance(x, str):
+        return 12, _varint(len(x.encode())) + x.encode(), False
+    if isinstance(x, tuple):
+        return 15, bytes([x[0]]) + _varint(len(x[1])) + x[1], False
+    named = isinstance(x, dict)
+    number = "<H" if width == 2 else "<I"
+    keys = [k.encode() for k in x] if named else []
+    values = [_binary_json(v, width) for v in (x.values() if named else x)]
+    at = 2 * width + len(keys) * (width + 2) + len(values) * (1 + width)
+    entries, tail = b"", b"".join(keys)
+    for k in keys:
+        entries += struct.pack(number, at) + struct.pack("<H", len(k))
+        at += len(k)
+    for tag, raw, inline in values:
+        entries += bytes([tag]) + (raw if inline else struct.pack(number, at))
+        if not inline:
+            tail, at = tail + raw, at + len(raw)
+    whole = struct.pack(number, len(x)) + struct.pack(number, at) + entries + tail
+    return (0 if named else 2) + (width == 4), whole, False
+
+
+def pack(x, width=2):
+    tag, raw, _ = _binary_json(x, width)
+    return bytes([tag]) + raw
+
+
+@pytest.mark.parametrize("width", [2, 4])
+@pytest.mark.parametrize(
+    "value", [None, True, False, 0, -1, 32767, 40000, -70000, 4_000_000_000, -(1 << 63), (1 << 64) - 1, 1.5, -2e300, "", "é\"\\n😀", "x" * 300, [], {}, [[[]], {}], {"a": {"b": [1, "two", None, {"c": 99999, "": [True]}]}, "ä": -5}]
+)
+def test_binary_json(value, width):
+    assert json.loads(binary_json.json_text(pack(value, width), binlog._decimal)) == value
+
+
+def test_wrapped_values_of_json():
+    def text(kind, raw):
+        return binary_json.json_text(pack([(kind, raw)]), binlog._decimal)
+
+    def packed(y, mo, d, h, mi, s, micro):
+        return struct.pack("<q", ((((y * 13 + mo) << 5 | d) << 17 | h << 12 | mi << 6 | s) << 24) + micro)
+
+    assert text(12, packed(2024, 2, 29, 23, 59, 58, 123456)) == '["2024-02-29 23:59:58.123456"]'
+    assert text(10, packed(1999, 12, 31, 0, 0, 0, 0)) == '["1999-12-31"]'
+    assert text(11, struct.pack("<q", -((100 << 12 | 5 << 6 | 9) << 24))) == '["-100:05:09.000000"]'
+    assert text(246, bytes([30, 2]) + bytes([0x80]) + (7).to_bytes(4, "big") * 3 + bytes([25])) == "[7000000007000000007.25]"
+
+
+@pytest.mark.parametrize("raw", [b"\x00", b"\x0c\xff\xff\xff\xff\xff\xff\x01", b"\x0c\x05abc", b"\x04\x07", b"\x63", b"\x0f\x10\x01a", b"\x02\x01\x00\x07\x00\x02\x00\x00", b"\x00\x01\x00\x0b\x00\xff\x00\x01\x00\x04\x00\x00", b"\x0b" + b"\xff" * 8, b"\x0c\x01\xff"])
+def test_what_is_no_json_is_refused_without_its_bytes(raw):
+    with pytest.raises(ValueError, match="^(json_malformed|unsupported_json_type)$"):
+        binary_json.json_text(raw, binlog._decimal)
