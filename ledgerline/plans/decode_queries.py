@@ -85,12 +85,25 @@ def _rows_event() -> Column:
 def q44_binary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = F.array(_event(19, _raw(ORDERS_MAP)), _rows_event())
     made = _orders(spark, sf_dir).select(F.col("o_orderkey").cast("string").alias("file"), F.posexplode(pair).alias("seq", "raw")).withColumn("seq", F.col("seq").cast("bigint"))
-    events = stored(binlog.open_events(made), "decode-events")  # looked at more than once below
+    return read_orders(made)
+
+
+def read_orders(raw: DataFrame) -> DataFrame:
+    """The orders in the row images of raw events."""
+    events = stored(binlog.open_events(raw), "decode-events")  # looked at more than once below
     image = F.from_json("after", "id bigint, status string, cents bigint, day string")
     changes = binlog.decode_changes(events, [("shop", "orders")]).select("op", image.alias("r"))
     return changes.select("op", F.col("r.id").alias("o_orderkey"), F.col("r.status").alias("o_orderstatus"), F.col("r.cents").alias("cents"), F.col("r.day").alias("day"))
 
 
+def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, content) of captured files: a table map and the orders of 5,000 keys each."""
+    rows = _orders(spark, sf_dir).select(F.floor(F.col("o_orderkey") / 5000).alias("part"), "o_orderkey", F.hex(_rows_event()).alias("raw"))
+    files = rows.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "raw"))).alias("events"))
+    content = F.unhex(F.concat(F.lit("FE62696E"), F.hex(_event(19, _raw(ORDERS_MAP))), F.array_join(F.transform("events", lambda e: e["raw"]), "")))
+    return files.select(F.format_string("orders.%06d", "part").alias("name"), content.alias("content"))
+
+
 SID = "00112233445566778899AABBCCDDEEFF"
 UUID = "00112233-4455-6677-8899-aabbccddeeff"
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import gtid
 from ledgerline.operators.delivery import latest_state
-from ledgerline.plans.decode_queries import prepared_order_events, recovered_orders
-from ledgerline.plans.flow_queries import ORACLES as FLOW
 from ledgerline.plans.decode_queries import ORACLES as DECODE
+from ledgerline.plans.decode_queries import order_files, prepared_order_events, read_orders, recovered_orders
+from ledgerline.plans.flow_queries import ORACLES as FLOW
 from ledgerline.plans.snapshot_queries import ORACLES as SNAPSHOT
+from ledgerline.sources import captured
 from ledgerline.sources.changelog import change_log, table
 from ledgerline.sources.scratch import discard, scratch_dir, stored
 from ledgerline.streaming.assembly import Assembler, CapturedPipeline
@@ -96,9 +97,18 @@ def q49_merged_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mirror.state()
 
 
-QUERIES = {f.__name__: f for f in (q47_snapshot_handoff, q48_xa_over_batches, q49_merged_mirror)}
+def q51_captured_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders from captured files of some thousand each, every file read in ranges by several tasks."""
+    folder = _folder(spark, "captured")
+    captured.write_files(order_files(spark, sf_dir), folder)
+    captured.register(spark)
+    return read_orders(spark.read.format("captured_log").option("path", folder).option("splitBytes", 1 << 16).load())
+
+
+QUERIES = {f.__name__: f for f in (q47_snapshot_handoff, q48_xa_over_batches, q49_merged_mirror, q51_captured_log)}
 ORACLES = {
     "q47_snapshot_handoff": SNAPSHOT["q26_snapshot_then_stream_state"],
     "q48_xa_over_batches": DECODE["q45_xa_committed"],
     "q49_merged_mirror": FLOW["q27_latest_state"],
+    "q51_captured_log": DECODE["q44_binary_decode"],
 }
