@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.functions import gtid
 from ledgerline.functions.ordered import asof_backward, number_rows
+from ledgerline.sources.scratch import stored
 
 
 def chunk_rows(table: DataFrame, key: str, size: int) -> DataFrame:
@@ -15,6 +17,20 @@ def chunk_rows(table: DataFrame, key: str, size: int) -> DataFrame:
     return keyed.withColumn("chunk_seq", F.floor((F.col("_n") - 1) / size).cast("bigint")).drop("_n", "_all")
 
 
+def chunk_rows_in_order(table: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Adds chunk_seq, from 0: `size` rows each in the order of columns of any kind, equal rows in any order.
+
+    Rows are dealt by ranges of the order and numbered in each; one row a range carries how many come before.
+    """
+    n = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(table.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), "chunk-ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    placed = dealt.withColumn("_local", local).join(F.broadcast(starts), "_range")
+    return placed.withColumn("chunk_seq", F.floor((F.col("_start") + F.col("_local")) / size).cast("bigint")).select(*table.columns, "chunk_seq")
+
+
 def chunk_facts(chunks: DataFrame, key: str) -> DataFrame:
     """(chunk_seq, row_count, min_pk, max_pk, final_chunk) of each chunk."""
     facts = chunks.groupBy("chunk_seq").agg(F.count(F.lit(1)).alias("row_count"), F.min(key).alias("min_pk"), F.max(key).alias("max_pk"))

@@ -16,14 +16,14 @@ from ledgerline.sources.changelog import change_log, table, transactions
 KINDS = "CASE WHEN event_type IN ('signup', 'click') THEN 'gtid' WHEN event_type = 'purchase' THEN 'rows' WHEN event_type = 'view' THEN 'xid' ELSE 'marker' END"
 
 #: What a statement about a table may begin with, and its class; how its name may be written, with the schema and table that
-#: this names; and what may follow. Every beginning meets every name, and what follows in turn.
+#: this names; and what may follow. Every beginning meets every name, and what follows in turn. `@` stands for a row's table.
 OPENINGS = (
     ("CREATE TABLE", "create_table"), ("create  table if not exists", "create_table"), ("Create Temporary Table", "create_table"), ("CREATE TEMPORARY TABLE IF NOT EXISTS", "create_table"),
     ("DROP TABLE", "drop_table"), ("drop table if exists", "drop_table"), ("DROP TEMPORARY TABLE IF EXISTS", "drop_table"), ("TRUNCATE", "truncate"), ("truncate\ttable", "truncate"), (" ALTER TABLE", "alter_table"),
 )
-NAMES = (("stock", None, "stock"), ("`stock`", None, "stock"), ("depot.stock", "depot", "stock"), ("`depot`.`Stock 2`".replace(" ", "_"), "depot", "Stock_2"), ('"depot"."stock"', "depot", "stock"))
+NAMES = (("@", None, "@"), ("`@`", None, "@"), ("depot.@", "depot", "@"), ("`depot`.`@_2`", "depot", "@_2"), ('"depot"."@"', "depot", "@"))
 ENDINGS = {"create_table": ("(k INT)", " (k INT, PRIMARY KEY (k))"), "drop_table": ("", ";", ", crates"), "truncate": ("", ";"), "alter_table": (" ADD COLUMN w INT", "\n DROP COLUMN w")}
-OTHERS = ("OPTIMIZE TABLE stock", "GRANT SELECT ON depot.stock TO u", "CREATE INDEX i ON stock (k)", "SET @a = 'DROP TABLE stock'")
+OTHERS = ("OPTIMIZE TABLE @", "GRANT SELECT ON depot.@ TO u", "CREATE INDEX i ON @ (k)", "SET x = 'DROP TABLE @'")
 
 
 def statements() -> list[tuple[str, str, str | None, str | None]]:
@@ -35,14 +35,15 @@ def statements() -> list[tuple[str, str, str | None, str | None]]:
     return out + [(sql, "other", None, None) for sql in OTHERS] + [("DROP TABLE", "drop_table", "home", None)]
 
 
-SETTINGS = (
-    (0, "ROW", "FULL", "FULL", "", "ON", "1"), (1, "MIXED", "FULL", "FULL", "", "ON", "1"), (2, "ROW", "MINIMAL", "FULL", "", "ON", "1"), (3, "ROW", "FULL", "MINIMAL", "", "ON", "1"),
-    (4, "ROW", "FULL", "FULL", "PARTIAL_JSON", "ON", "1"), (5, "ROW", "FULL", "FULL", "", "OFF", "1"), (6, "ROW", "FULL", "FULL", "", "ON", "0"), (7, "ROW", "MINIMAL", "FULL", "", "ON", "0"),
-)
-REFUSED = (
-    (0, 1236, "replica can not handle replication events with the checksum"), (1, 1236, "the source has purged binary logs"), (2, 1236, "a replica with the same server_uuid"),
-    (3, 1236, "something else"), (4, 1045, "access denied"), (5, 1236, "purged logs and checksum"),
-)
+#: How the settings of a server follow from an order, by PRECONDITIONS' names; and what is wrong with each, in their order.
+SETTINGS = {
+    "binlog_format": "CASE WHEN o_orderkey % 7 = 0 THEN 'MIXED' ELSE 'ROW' END", "binlog_row_image": "CASE WHEN o_custkey % 5 = 0 THEN 'MINIMAL' ELSE 'FULL' END",
+    "binlog_row_metadata": "CASE WHEN o_orderkey % 11 <> 0 THEN 'FULL' END", "binlog_row_value_options": "CASE WHEN o_custkey % 13 = 0 THEN 'PARTIAL_JSON' ELSE '' END",
+    "gtid_mode": "CASE WHEN o_orderstatus = 'P' THEN 'OFF' ELSE 'ON' END", "log_bin": "CASE WHEN o_orderkey % 17 = 0 THEN '0' ELSE '1' END",
+}
+#: What a server may say when it refuses, by the remainder of an event's id, with a code of 1236 unless said otherwise.
+REFUSED = ("replica can not handle replication events with the checksum", "the source has purged binary logs", "a replica with the same server_uuid", "something else", "access denied", "purged logs and checksum")
+OTHER_CODE = (4, 1045)
 
 
 def values(rows: tuple, names: str) -> str:
@@ -83,7 +84,10 @@ def q15_desync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q16_ddl_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, sql) for i, (sql, *_) in enumerate(statements())], "id int, sql string")
+    told = [sql for sql, *_ in statements()]
+    name = F.concat(F.lit("t"), F.col("c_custkey").cast("string"))
+    sql = F.replace(F.get(F.array(*map(F.lit, told)), (F.col("c_custkey") % len(told)).cast("int")), F.lit("@"), name)
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), sql.alias("sql"))
     return rows.select("id", asm.classify_ddl(F.col("sql"), F.lit("home")).alias("c")).select("id", "c.kind", "c.schema", F.col("c.table").alias("table_name"))
 
 
@@ -126,12 +130,15 @@ def q30_batches_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q34_preconditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [n for n, _, _ in delivery.PRECONDITIONS]
-    return spark.createDataFrame(list(SETTINGS), "id int, " + ", ".join(f"{n} string" for n in names)).select("id", F.coalesce(delivery.precondition_fault(), F.lit("ok")).alias("verdict"))
+    settings = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), *[F.expr(e).alias(n) for n, e in SETTINGS.items()])
+    return settings.select("id", F.coalesce(delivery.precondition_fault(), F.lit("ok")).alias("verdict"))
 
 
 def q35_dump_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(list(REFUSED), "id int, code int, message string").select("id", delivery.dump_fault(F.col("code"), F.col("message")).alias("verdict"))
+    kind = (F.col("event_id") % len(REFUSED)).cast("int")
+    said = F.concat_ws(" ", F.lit("error"), F.col("event_id").cast("string"), F.get(F.array(*map(F.lit, REFUSED)), kind))
+    code = F.when(kind == OTHER_CODE[0], OTHER_CODE[1]).otherwise(1236)
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), delivery.dump_fault(code, said).alias("verdict"))
 
 
 def q36_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +169,8 @@ ORACLES = {
             UNION ALL SELECT e.source_uuid, e.seq, 'gtid_within_open_transaction' FROM e WHERE kind = 'gtid' AND ix > 1
               AND NOT EXISTS (SELECT 1 FROM e AS p WHERE p.source_uuid = e.source_uuid AND p.ix = e.ix - 1 AND p.kind = 'xid'))
       SELECT source_uuid, reason, count(*)::BIGINT AS n, min(seq) AS first_seq FROM f GROUP BY 1, 2""",
-    "q16_ddl_classify": f"SELECT id::INTEGER AS id, kind, schema, table_name FROM {values(tuple((i, *c) for i, (_, *c) in enumerate(statements())), 'id, kind, schema, table_name')}",
+    "q16_ddl_classify": f"""SELECT c_custkey AS id, kind, schema, replace(table_name, '@', 't' || c_custkey) AS table_name
+      FROM customer JOIN {values(tuple((i, *c) for i, (_, *c) in enumerate(statements())), 'i, kind, schema, table_name')} ON c_custkey % {len(statements())} = i""",
     "q17_xa_resolve": """WITH o AS (SELECT o_orderkey, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n,
         CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 10 <> 9 THEN 'held' END
              WHEN o_orderkey % 10 <> 9 THEN CASE o_orderstatus WHEN 'F' THEN 'committed' ELSE 'rolled_back' END
@@ -179,10 +187,11 @@ ORACLES = {
               (CASE WHEN w.closed THEN 1 ELSE w.n + 1 END >= 50 OR t.us - CASE WHEN w.closed THEN t.us ELSE w.oldest END >= 7200000000 OR t.nx IS NULL OR t.nx - t.us >= 7200000000)
             FROM w JOIN t ON t.source_uuid = w.source_uuid AND t.i = w.i + 1)
       SELECT source_uuid, oldest AS batch_start, us AS batch_end, n::BIGINT AS n FROM w WHERE closed""",
-    "q34_preconditions": "SELECT id::INTEGER AS id, CASE WHEN a <> 'ROW' THEN 'binlog_format_not_row' WHEN b <> 'FULL' THEN 'binlog_row_image_not_full' WHEN c <> 'FULL' THEN 'binlog_row_metadata_not_full' WHEN d <> '' THEN 'binlog_row_value_options_not_empty' WHEN e <> 'ON' THEN 'gtid_mode_not_on' WHEN f <> '1' THEN 'binlog_disabled' ELSE 'ok' END AS verdict FROM "
-    + values(SETTINGS, "id, a, b, c, d, e, f"),
-    "q35_dump_error": "SELECT id::INTEGER AS id, CASE WHEN code <> 1236 THEN 'dump_failed_' || code WHEN m LIKE '%checksum%' THEN 'checksum_negotiation_failed' WHEN m LIKE '%purged%' THEN 'data_gap' WHEN m LIKE '%server_uuid%' THEN 'server_id_conflict' ELSE 'unrecognized_dump_error' END AS verdict FROM "
-    + values(REFUSED, "id, code, m"),
+    "q34_preconditions": """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'binlog_format_not_row' WHEN o_custkey % 5 = 0 THEN 'binlog_row_image_not_full'
+      WHEN o_orderkey % 11 = 0 THEN 'binlog_row_metadata_not_full' WHEN o_custkey % 13 = 0 THEN 'binlog_row_value_options_not_empty' WHEN o_orderstatus = 'P' THEN 'gtid_mode_not_on'
+      WHEN o_orderkey % 17 = 0 THEN 'binlog_disabled' ELSE 'ok' END AS verdict FROM orders""",
+    "q35_dump_error": """SELECT event_id AS id, CASE event_id % 6 WHEN 0 THEN 'checksum_negotiation_failed' WHEN 1 THEN 'data_gap' WHEN 2 THEN 'server_id_conflict'
+      WHEN 3 THEN 'unrecognized_dump_error' WHEN 4 THEN 'dump_failed_1045' ELSE 'checksum_negotiation_failed' END AS verdict FROM events""",
     "q36_json_props": "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events",
     "q40_census": "SELECT event_type, count(*)::BIGINT AS n FROM events GROUP BY 1",
 }

@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The tables stored within each open block of a thread.
+_open = threading.local()
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was stored within: for work that needs no table after it, as a delivery."""
+    _open.blocks = [*getattr(_open, "blocks", []), []]
+    try:
+        yield
+    finally:
+        for path in _open.blocks.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the session. Without one, a session in one process, as in tests, gets a local folder; a
     cluster must name it, as its executors share no local folder."""
@@ -24,13 +47,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if blocks := getattr(_open, "blocks", None):
+        blocks[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(df.sparkSession, path)

@@ -17,7 +17,7 @@ from ledgerline.functions import gtid
 from ledgerline.operators import capture
 from ledgerline.operators.assemble import TERMINATORS
 from ledgerline.sources import binlog
-from ledgerline.sources.scratch import discard, stored
+from ledgerline.sources.scratch import released, stored
 from ledgerline.streaming.delivery import Halt, Pipeline, Progress
 from ledgerline.streaming.pool import Pool
 
@@ -32,15 +32,12 @@ OUT = ["source_uuid", "gno", "change_ix", "commit_ts", "schema", "table", "op",
 
 @dataclass
 class Step:
-    """What one micro-batch of events comes to: changes to deliver, ids that are done, and what to carry on."""
+    """What one micro-batch of events comes to: changes to deliver, ids that are done, and what to carry on. It reads tables
+    that were stored for it, so it is to be made and used within released()."""
 
     changes: DataFrame
     points: DataFrame
     carried: dict[str, DataFrame]
-    scratch: list[DataFrame]
-
-    def discard(self) -> None:
-        discard(*self.scratch)
 
 
 @dataclass
@@ -116,7 +113,7 @@ class Assembler:
             "changes": still.select("gtid", "change_ix", "schema", "table", "op", "before", "after").union(kept),
             "used": held["used"].union(outcomes.where("outcome = 'advanced'").select("digest")).distinct(),
         }
-        return Step(now.union(before.select(*OUT)).union(stated), points, carried, [whole, events, unended, outcomes, changes])
+        return Step(now.union(before.select(*OUT)).union(stated), points, carried)
 
     def _recovered(self) -> DataFrame:
         return self.recovered.select("digest") if self.recovered is not None else self.spark.createDataFrame([], "digest string")
@@ -143,11 +140,9 @@ class CapturedPipeline:
         run = self.pipeline.run
         if self.pipeline.progress.holds(run, batch_id) or raw.isEmpty():
             return
-        step = self.assembler.step(raw, run)
-        try:
+        with released(self.assembler.spark):
+            step = self.assembler.step(raw, run)
             self.pipeline.deliver(step.changes, batch_id, step.points, lambda: self.assembler.pool.write(run, batch_id, step.carried))
-        finally:
-            step.discard()
 
     def start(self, raw: DataFrame, checkpoint: str, trigger: dict | None = None):
         return self.pipeline.run_each(raw, checkpoint, self.deliver, trigger)

@@ -15,6 +15,11 @@ from ledgerline.streaming.delivery import Halt, _folder, _names, measured, patie
 STATE = "schema string, table string, fingerprint string, pk_cursor bigint, delivered_pk bigint, chunk_seq bigint, done boolean"
 
 
+def state_of(key: str) -> str:
+    """The schema of a snapshot's state, with cursors of the kind of its keys."""
+    return STATE.replace("_cursor bigint", f"_cursor {key}").replace("_pk bigint", f"_pk {key}")
+
+
 @dataclass
 class SnapshotStore:
     """One row a table: how far its snapshot is. Each state is a version of its own; the last that was written whole counts,
@@ -22,10 +27,11 @@ class SnapshotStore:
 
     spark: SparkSession
     path: str
+    key: str = "bigint"  # the kind of the keys: that, or binary for keys of several columns (functions.keys)
 
     def read(self) -> DataFrame:
-        versions = self._versions()
-        return self.spark.createDataFrame(self.spark.read.schema(STATE).parquet(f"{self.path}/v{versions[-1]}").collect(), STATE) if versions else self.spark.createDataFrame([], STATE)
+        versions, kind = self._versions(), state_of(self.key)
+        return self.spark.createDataFrame(self.spark.read.schema(kind).parquet(f"{self.path}/v{versions[-1]}").collect(), kind) if versions else self.spark.createDataFrame([], kind)
 
     def _versions(self) -> list[int]:
         return sorted(int(n[1:]) for n in _names(self.spark, self.path))
@@ -50,7 +56,7 @@ class SnapshotStore:
 
 @dataclass
 class Backfill:
-    """Delivers tables chunk by chunk, in the order of a unique integer key, to a sink that replaces rows by key.
+    """Delivers tables chunk by chunk, in the order of a unique key of the store's kind, to a sink that replaces rows by key.
 
     Before a chunk goes to the sink its last key is stored as delivered_pk, after it as pk_cursor. A snapshot that breaks
     off between the two reads that chunk again, and a delete of a key that the sink may have already still goes on.
@@ -65,7 +71,7 @@ class Backfill:
         """Starts with tables (schema, table, fingerprint), or goes on with the stored ones, which must be the same."""
         stored = self.store.read()
         if stored.isEmpty():
-            fresh = {"pk_cursor": "bigint", "delivered_pk": "bigint"}
+            fresh = {"pk_cursor": self.store.key, "delivered_pk": self.store.key}
             self.store.write(tables.select("schema", "table", "fingerprint").withColumns({c: F.lit(None).cast(t) for c, t in fresh.items()}).withColumns({"chunk_seq": F.lit(0).cast("bigint"), "done": F.lit(False)}))
         elif not drifted(tables, stored).isEmpty():
             raise Halt("snapshot_config_drifted")

@@ -21,6 +21,7 @@ from ledgerline.functions import gtid
 from ledgerline.functions.ordered import DENSE, running_total
 from ledgerline.operators.delivery import allowed, deduplicated, latest_state, receipts
 from ledgerline.operators.snapshot import gate
+from ledgerline.sources.scratch import released
 
 INTERVALS = "source_uuid string, lo bigint, hi bigint"
 RUNS = "run string, upto bigint"
@@ -161,6 +162,10 @@ class Pipeline:
         keep, if given, stores what must count from the record on."""
         if self.progress.holds(self.run, batch_id) or (points is None and batch.isEmpty()):
             return
+        with released(self.progress.spark):
+            self._deliver(batch, batch_id, points, keep)
+
+    def _deliver(self, batch: DataFrame, batch_id: int, points: DataFrame | None, keep: Callable[[], None] | None) -> None:
         if self.faults is not None and (found := self.faults(batch).first()) is not None:
             raise Halt(found["reason"])
         if self.end is not None:

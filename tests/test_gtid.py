@@ -9,11 +9,17 @@ KIND = "source_uuid string, lo bigint, hi bigint"
 
 
 def make(spark, rng):
+    """Sets of intervals that lie apart, touch, overlap, lie in each other, or begin or end where a span of 50 does."""
     rows = []
-    for u in U:
-        for _ in range(rng.randrange(6)):
-            lo = rng.randrange(1, 500)
-            rows.append((u, lo, lo + rng.randrange(61)))
+    for u in rng.sample(U, rng.randrange(len(U) + 1)):
+        lo, hi = 7, 7 + rng.randrange(120)
+        rows.append((u, lo, hi))
+        for shape in rng.choices(("apart", "touching", "overlapping", "inside", "edge"), k=4):
+            length = rng.randrange(1, 90)
+            lo = {"apart": hi + 2 + rng.randrange(70), "touching": hi + 1, "overlapping": (lo + hi) // 2, "inside": lo, "edge": 50 * (hi // 50 + 1)}[shape]
+            hi = max(lo, {"inside": lo + (hi - lo) // 2, "edge": lo + 49}.get(shape, lo + length))
+            rows.append((u, lo, hi))
+    rng.shuffle(rows)
     return spark.createDataFrame(rows, KIND), {(u, i) for u, lo, hi in rows for i in range(lo, hi + 1)}
 
 
