@@ -1,8 +1,10 @@
 """Mixing sources to target weights: word blocks drawn by index through pseudorandom permutations.
 
-The words of each source, laid end to end, are cut into blocks of fixed length. Each output shard draws how many blocks of
-each source it takes; the k-th block drawn from a source over all shards is block permutation(k) of that source, so that
-no block comes twice before every block came once. Sources are rows of a table, so there may be any number of them.
+The words of each source, laid end to end, are cut into blocks of fixed length. Each output shard has its number of slots
+and draws by one multinomial how many of them each source fills; what the shards together draw over a source's quota is
+then given to sources under theirs, slot by slot. The k-th block drawn from a source over all shards is block
+permutation(k) of that source, so that no block comes twice before every block came once. Sources are rows of a table, so
+there may be any number of them: the draw goes to groups of sources first, then within each group.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ SHARE = 1.5
 MOST_USES = 2
 BLOCK_WORDS = 128
 OUTPUT_SHARDS = 64
+#: Sources that are drawn from together.
+GROUP = 4096
 #: Rows are laid end to end in buckets of about so many; slots are numbered in runs of so many.
 BUCKET_ROWS, RUN = 1 << 14, 8192
 #: The draws of so many copies of a row are listed together.
@@ -77,23 +81,59 @@ def source_plan(sized: DataFrame, block_words: int) -> DataFrame:
     return plan
 
 
+def settled_draws(slots: np.ndarray, quotas: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A row a shard, a column a source: how many of the shard's slots the source fills.
+
+    Each row is one multinomial draw by the quotas. Of a source that came to more than its quota over all rows, slots chosen
+    at random are given to sources that came to less, in random order. So rows keep their slots, and columns sum to the
+    quotas, if these sum to the slots.
+    """
+    total = int(quotas.sum())
+    if not total:
+        return np.zeros((len(slots), len(quotas)), dtype=np.int64)
+    counts = np.stack([rng.multinomial(n, quotas / total) for n in slots]).astype(np.int64)
+    over = counts.sum(axis=0) - quotas
+    freed = []  # the shards of the slots that change hands
+    for s in np.flatnonzero(over > 0):
+        back = rng.multivariate_hypergeometric(counts[:, s], over[s], method="marginals")
+        counts[:, s] -= back
+        freed.append(np.repeat(np.arange(len(slots)), back))
+    if freed:
+        takers = rng.permutation(np.repeat(np.flatnonzero(over < 0), -over[over < 0]))
+        np.add.at(counts, (np.concatenate(freed), takers), 1)
+    return counts
+
+
 def draw_counts(plan: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(shard, src, n, first, blocks, high, low): how many blocks of a source each shard draws, in one multinomial draw a source.
+    """(shard, src, n, first, blocks, high, low): how many blocks of a source each shard draws, by settled_draws().
 
-    A source's quota falls to the shards alike, so the counts of a shard, given their sum, are a multinomial draw of sources
-    by quota, and all shards together take the quota. `first` counts the source's blocks in the shards before.
+    The shards' slots are alike to one, and all together those of the quotas. Quotas of groups of GROUP sources are drawn on
+    the driver, which holds a number a group and shard; those of a group's sources in a task. `first` counts the source's
+    blocks in the shards before.
     """
+    grouped = plan.withColumn("_group", F.floor(F.col("src") / GROUP).cast("bigint"))
+    totals = sorted((r["_group"], r.quota) for r in grouped.groupBy("_group").agg(F.sum("quota").alias("quota")).collect())
+    total = sum(q for _, q in totals)
+    slots = np.array([total // shards + (k < total % shards) for k in range(shards)])
+    by_group = settled_draws(slots, np.array([q for _, q in totals], dtype=np.int64), np.random.default_rng((seed, 0)))
+    drawn = {g: by_group[:, i].tolist() for i, (g, _) in enumerate(totals)}
+    shared = plan.sparkSession.sparkContext.broadcast(drawn)
     names = ("shard", "src", "n", "first", "blocks", "high", "low")
+    facts = ("src", "quota", "blocks", "high", "low")
 
-    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for src, quota, *domain in zip(*[batch.column(c).to_pylist() for c in ("src", "quota", "blocks", "high", "low")]):
-                n = np.random.default_rng((seed, src)).multinomial(quota, np.full(shards, 1 / shards))
-                on = np.flatnonzero(n)
-                columns = [on, np.full(len(on), src), n[on], (np.cumsum(n) - n)[on], *[np.full(len(on), d) for d in domain]]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=list(names))
+            for group, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                columns = {c: np.array([r[c] for r in rows], dtype=np.int64) for c in facts}
+                n = settled_draws(np.array(shared.value[group]), columns["quota"], np.random.default_rng((seed, 1, group)))
+                shard, at = np.nonzero(n)
+                first = (np.cumsum(n, axis=0) - n)[shard, at]
+                out = (shard, columns["src"][at], n[shard, at], first, *[columns[c][at] for c in ("blocks", "high", "low")])
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in out], names=list(names))
 
-    return arrow_map(plan, drawn, ", ".join(f"{c} bigint" for c in names))
+    # A group is GROUP rows at most.
+    lists = grouped.groupBy("_group").agg(F.array_sort(F.collect_list(F.struct(*facts))).alias("rows"))
+    return arrow_map(lists, within, ", ".join(f"{c} bigint" for c in names))
 
 
 def permuted(index: Column, high: Column, low: Column, n: Column, key: Column, rounds: int = 4) -> Column:
@@ -151,7 +191,7 @@ def drawn_blocks(plan: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """docs with _id and _hash, which only equal rows share, the source as text and the size."""
-    hashed = [c for c, t in docs.dtypes if "map<" not in t and t != "variant"]
+    hashed = [F.to_json(F.struct(c)) if "map<" in t or "variant" in t else F.col(c) for c, t in docs.dtypes]  # maps have no hash
     return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)).cast("bigint")), "_source": F.col("source").cast("string"), "_size": word_count(F.col("text")), "_hash": F.xxhash64(*hashed)})
 
 

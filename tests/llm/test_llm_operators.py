@@ -443,6 +443,67 @@ def test_targets(spark, sizes):
     assert [r.target for r in plan] == pytest.approx(plain_targets(sizes))
 
 
+@pytest.mark.parametrize("shards, quotas", [(1, [3, 0, 5]), (4, [0, 0]), (7, [1000, 10, 1, 0, 333]), (64, [1] * 30), (3, [5000] * 200)])
+def test_draws_of_shards_meet_the_quotas(shards, quotas):
+    import numpy as np
+
+    quotas, total = np.array(quotas), sum(quotas)
+    slots = np.array([total // shards + (k < total % shards) for k in range(shards)])
+    spread = []
+    for seed in range(30):
+        n = mixing.settled_draws(slots, quotas, np.random.default_rng(seed))
+        assert (n >= 0).all() and (n.sum(axis=1) == slots).all() and (n.sum(axis=0) == quotas).all()
+        spread.append(n[0])
+    if shards == 7:  # a shard's counts vary as a draw does, around its share of each quota
+        spread = np.array(spread)
+        assert abs(spread[:, 0].mean() - slots[0] * 1000 / total) < 4 and 1 < spread[:, 0].std() < 12
+
+
+def test_permutation_takes_each_index_once(spark):
+    for n in (1, 2, 3, 10, 97, 1000):
+        high = max(1, int(n**0.5 + 0.999))
+        low = -(-n // high)
+        rows = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(high), F.lit(low), F.lit(n), F.lit(5)).alias("p")).collect()
+        assert sorted(r.p for r in rows) == list(range(n))
+
+
+def test_blocks_of_the_mix_hold_the_words_they_should(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 2)
+    texts = [" ".join(f"w{i}_{k}" for k in range(7 * i % 40)) for i in range(40)] + ["same words here"] * 3
+    rows = docs(spark, texts, sources=["a", "b", None, "c", "d"])
+    keyed = mixing._keyed(rows)
+    sized = mixing._sized(keyed)
+    plan = mixing.source_plan(sized, 8)
+    laid = mixing.lay_out(sized, plan).collect()
+    words = defaultdict(list)
+    for r in sorted(laid, key=lambda r: (r.src, r.offset, r.size)):
+        assert len(words[r.src]) == r.offset or not r.size
+        words[r.src] += texts[r.doc_id].split()
+    drawn = {(r.shard, r.slot): (r.src, r.block) for r in mixing.drawn_blocks(plan, 3, 11).collect()}
+    facts = {r.src: r for r in plan.collect()}
+    per_shard, uses = Counter(k for k, _ in drawn), Counter(drawn.values())
+    assert all(sorted(s for k, s in drawn if k == shard) == list(range(n)) for shard, n in per_shard.items())
+    assert max(per_shard.values()) - min(per_shard.values()) <= 1
+    for src, r in facts.items():
+        own = [uses[src, b] for b in range(r.blocks)]
+        assert sum(own) == r.quota and (not own or max(own) - min(own) <= 1)
+    got = defaultdict(list)
+    for r in mixing.mix_documents(rows, block_words=8, shards=3, seed=11).collect():
+        got[r.shard, r.slot] += r.text.split()
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(words[src][8 * b : 8 * b + 8]) for k, (src, b) in drawn.items()}
+    taken = Counter()
+    for src, b in drawn.values():
+        for at in range(8 * b, min(8 * b + 8, len(words[src]))):
+            taken[next(r.rid for r in laid if r.src == src and r.offset <= at < r.offset + r.size)] += 1
+    doc = {r.rid: r.doc_id for r in laid}
+    assert {r.doc_id: r.taken for r in mixing.mix_counts(rows, block_words=8, shards=3, seed=11).collect()} == {doc[i]: taken[i] for i in doc}
+
+
+def test_mix_keeps_rows_that_differ_in_a_map(spark):
+    rows = docs(spark, ["some words of a text"] * 2).withColumn("doc_id", F.lit(1).cast("bigint")).withColumn("m", F.create_map(F.lit("k"), F.monotonically_increasing_id()))
+    assert len({r.m["k"] for r in mixing.mix_documents(rows, block_words=4, shards=2).collect()}) == 2
+
+
 def test_mix(spark):
     texts = ODD + [" ".join(f"w{i}_{k}" for k in range(50 + 13 * i)) for i in range(30)]
     rows = docs(spark, texts, extra=True, sources=["b", None, "a", "zz"])
