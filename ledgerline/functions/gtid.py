@@ -114,16 +114,16 @@ def _holding(rows: DataFrame, intervals: DataFrame, number: str, keys: tuple[str
 
 
 def _semi(rows: DataFrame, intervals: DataFrame, number: str, keys: tuple[str, ...], inside: bool) -> DataFrame:
-    """The rows in the set, or those that aren't. A set of FEW intervals, as most are, is broadcast: its size is checked
-    first. Beyond that each row looks up the last interval before it."""
-    sets = stored(normalize(intervals, keys), "interval-set")
+    """The rows in the set, or those that aren't. A set of FEW intervals, as most are, is broadcast as it is: its size is
+    checked first. Beyond that each row looks up the last interval before it, once they are joined."""
+    sets = stored(intervals.select(*keys, F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi")), "interval-set")
     if sets.count() <= FEW:
         held = F.broadcast(sets.select(*[F.lower(F.col(k)).alias(f"_{k}") if k == keys[0] else F.col(k).alias(f"_{k}") for k in keys], F.col("lo").alias("_lo"), F.col("hi").alias("_hi")))
         same = (F.lower(F.col(keys[0])) == F.col(f"_{keys[0]}")) & F.col(number).between(F.col("_lo"), F.col("_hi"))
         for k in keys[1:]:
             same = same & (F.col(k) == F.col(f"_{k}"))
         return rows.join(held, same, "left_semi" if inside else "left_anti")
-    found = _holding(rows, sets, number, keys)
+    found = _holding(rows, normalize(sets, keys), number, keys)
     holds = F.coalesce(F.col("_hi") >= F.col(number), F.lit(False))
     return found.where(holds if inside else ~holds).drop("_hi")
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.checks import drifted, pending_tables
-from ledgerline.operators.snapshot import keyset_page
+from ledgerline.operators.snapshot import after_key, chunk_facts, chunk_rows_in_order
+from ledgerline.sources.scratch import stored
 from ledgerline.streaming.delivery import Halt, _folder, _names, measured, patiently
 
 STATE = "schema string, table string, fingerprint string, pk_cursor bigint, delivered_pk bigint, chunk_seq bigint, done boolean"
@@ -66,6 +67,7 @@ class Backfill:
     sink: Callable[[DataFrame, str], None]
     size: int = 4096
     seen: list[dict] = field(default_factory=list)
+    _plans: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
 
     def begin(self, tables: DataFrame) -> None:
         """Starts with tables (schema, table, fingerprint), or goes on with the stored ones, which must be the same."""
@@ -87,23 +89,39 @@ class Backfill:
         schema, table = first
         rows, key = read(schema, table)
         state = self.store.read().where((F.col("schema") == schema) & (F.col("table") == table)).first()
-        page = keyset_page(rows, [key], None if state.pk_cursor is None else [state.pk_cursor], self.size).persist()
+        rest = rows if state.pk_cursor is None else rows.where(after_key([key], [state.pk_cursor]))
+        upto, last = self._next(schema, table, rest, key, state.pk_cursor)
+        page = (rest if last else rest.where(F.col(key) <= F.lit(upto))).persist()
         try:
-            facts = page.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("top"), F.first("final_page").alias("last")).first()
+            facts = page.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("top")).first()
             if not facts.n:
-                self.store.put(schema, table, done=True)
+                self.store.put(schema, table, **({"done": True} if last else {"pk_cursor": upto}))
                 return True
-            patiently(lambda: self.store.put(schema, table, delivered_pk=facts.top), "snapshot_store_failed")
+            top = facts.top if last else upto
+            patiently(lambda: self.store.put(schema, table, delivered_pk=top), "snapshot_store_failed")
             try:
-                self.sink(page.drop("final_page").withColumn("op", F.lit("snapshot")), f"{schema}.{table}~{state.chunk_seq}")
+                self.sink(page.withColumn("op", F.lit("snapshot")), f"{schema}.{table}~{state.chunk_seq}")
             except Exception as fault:
                 raise Halt("snapshot_sink_error") from fault
-            patiently(lambda: self.store.put(schema, table, pk_cursor=facts.top, chunk_seq=state.chunk_seq + 1, done=facts.last), "snapshot_store_failed")
+            patiently(lambda: self.store.put(schema, table, pk_cursor=top, chunk_seq=state.chunk_seq + 1, done=last), "snapshot_store_failed")
             self.seen.append(measured({"row_count": facts.n, "chunk_seq": state.chunk_seq}, {"schema": schema, "table": table}))
             return True
         finally:
             page.unpersist()
 
+    def _next(self, schema: str, table: str, rest: DataFrame, key: str, after: object) -> tuple[object, bool]:
+        """Where the next chunk ends, and whether it is the last, which has no end.
+
+        The ends of all chunks are planned in one pass over the keys that are left, when a table is begun or gone on with; a
+        chunk is then a range of keys, which scans can push down.
+        """
+        if (schema, table) not in self._plans:
+            self._plans[schema, table] = stored(chunk_facts(chunk_rows_in_order(rest.select(key), [key], self.size), key).select("max_pk"), "backfill-plan")
+        plan = self._plans[schema, table]
+        ahead = plan if after is None else plan.where(F.col("max_pk") > F.lit(after))
+        found = ahead.agg(F.min("max_pk").alias("upto"), F.count(F.lit(1)).alias("left")).first()
+        return found.upto, found.left <= 1
+
     def run(self, read: Callable[[str, str], tuple[DataFrame, str]]) -> None:
         while self.step(read):
             pass
