@@ -50,6 +50,7 @@ class Assembler:
       ids is done before. A prepare that comes again while it is held is passed over.
     - recovered (digest) are those found prepared at the first start. Each explains one resolution without a prepare.
     - most_prepared bounds the transactions held: one more halts, as none may be dropped.
+    - Without two_phase, a step of a two-phase transaction halts.
 
     Steps of transactions that the progress holds already are passed over. Any fault halts before anything is delivered.
     """
@@ -60,6 +61,7 @@ class Assembler:
     tables: list[tuple[str, str]] | None = None
     recovered: DataFrame | None = None
     most_prepared: int | None = None
+    two_phase: bool = True
 
     @cached_property
     def pool(self) -> Pool:
@@ -81,6 +83,8 @@ class Assembler:
         processed = self.progress.read()
         known = [*capture.two_phase_steps(closed).columns]
         fresh = gtid.non_members(capture.two_phase_steps(closed).select("*", *capture.id_parts("gtid")), processed).select(*known)
+        if not self.two_phase and not fresh.isEmpty():
+            raise Halt("unsupported_transaction_shape")
         found = self._recovered().join(held["used"], "digest", "left_anti")
         outcomes = stored(capture.resolve_steps(held["prepared"].select(*known).union(fresh), found), "assembly-outcomes")
         self._halt(capture.outcome_faults(outcomes))
