@@ -47,20 +47,29 @@ def q42_crc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.groupBy(F.coalesce("fault", F.lit("ok")).alias("verdict")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("fault").isNull(), binlog.little(F.col("body"), 1, 7)).otherwise(0)).cast("bigint").alias("ids"))
 
 
+#: Letters of the statement text in each payload of q43, all alike.
+ALIKE = 300
+
+
 def q43_zstd_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three commits an event within a compressed payload: a frame of one raw block, written out byte by byte."""
+    """A statement text and three commits an event within a compressed payload, written out byte by byte: a frame of three
+    blocks, of which the second stands for ALIKE bytes by one."""
     key = F.col("event_id")
-    inner = F.concat(*[_event(16, _bytes(key * 3 + i, 8), sealed=False) for i in range(3)])
+    text = F.concat(_bytes(F.lit(0), 4), _raw("1D"), _bytes(F.lit(1), 4), _bytes(F.lit(19 + ALIKE), 4), _raw("00000000 0000"))
+    commits = F.concat(*[_event(16, _bytes(key * 3 + i, 8), sealed=False) for i in range(3)])
+
+    def block(content: Column, size: Column | int, kind: int, last: bool) -> Column:
+        size = F.lit(size) if isinstance(size, int) else size
+        return F.concat(_bytes(size * 8 + 2 * kind + int(last), 3), content)
 
-    def packed(block: Column) -> Column:
-        # The frame: magic, a descriptor for one segment with its size in one byte, and a last raw block, its size above 3 bits.
-        n = F.octet_length(block)
-        frame = F.concat(_raw("28B52FFD 20"), _bytes(n, 1), _bytes(n * 8 + 1, 3), block)
-        return _once(frame, lambda f: F.concat(_raw("02 01 00 03 01"), _bytes(n, 1), _raw("01 01"), _bytes(F.octet_length(f), 1), _raw("00"), f))
+    def packed(tail: Column) -> Column:
+        # The frame: magic, a descriptor for one segment with its size over 256 in two bytes, and its blocks.
+        n = F.octet_length(tail) + 19 + ALIKE
+        frame = F.concat(_raw("28B52FFD 60"), _bytes(n - 256, 2), block(text, 19, 0, False), block(_raw("78"), ALIKE, 1, False), block(tail, F.octet_length(tail), 0, True))
+        return _once(frame, lambda f: F.concat(_raw("02 01 00 03 03 FC"), _bytes(n, 2), _raw("01 01"), _bytes(F.octet_length(f), 1), _raw("00"), f))
 
-    made = table(spark, sf_dir, "events").select(F.lit("f").alias("file"), key.alias("seq"), _event(40, _once(inner, packed)).alias("raw"))
-    expanded = binlog.open_events(made)
-    return expanded.select("seq", "inner", binlog.little(F.col("body"), 1, 7).alias("xid"))
+    made = table(spark, sf_dir, "events").select(F.lit("f").alias("file"), key.alias("seq"), _event(40, _once(commits, packed)).alias("raw"))
+    return binlog.open_events(made).where(F.col("type") == binlog.XID).select("seq", "inner", binlog.little(F.col("body"), 1, 7).alias("xid"))
 
 
 #: A table map of shop.orders (id and cents BIGINT, status CHAR, day DATE): table 9, flags, names, types, metadata, null bits,
@@ -191,7 +200,7 @@ def q50_json_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (q42_crc_filter, q43_zstd_roundtrip, q44_binary_decode, q45_xa_committed, q46_xa_outcomes, q50_json_columns)}
 ORACLES = {
     "q42_crc_filter": "SELECT CASE WHEN event_id % 70 = 69 THEN 'truncated' WHEN event_id % 50 = 49 THEN 'crc_mismatch' ELSE 'ok' END AS verdict, count(*)::BIGINT AS n, sum(CASE WHEN event_id % 70 = 69 OR event_id % 50 = 49 THEN 0 ELSE event_id END)::BIGINT AS ids FROM events GROUP BY 1",
-    "q43_zstd_roundtrip": "SELECT event_id AS seq, i::BIGINT AS inner, event_id * 3 + i AS xid FROM events, range(3) AS r(i)",
+    "q43_zstd_roundtrip": "SELECT event_id AS seq, i::BIGINT AS inner, event_id * 3 + i - 1 AS xid FROM events, range(1, 4) AS r(i)",
     "q44_binary_decode": "SELECT 'insert' AS op, o_orderkey, o_orderstatus, round(o_totalprice * 100)::BIGINT AS cents, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders",
     "q45_xa_committed": """SELECT '00112233-4455-6677-8899-aabbccddeeff' AS source_uuid, o_orderkey * 2 AS gno, CASE WHEN o_orderkey % 10 = 5 THEN 100 ELSE 1000 + o_orderkey % 10 END AS committed_at,
         o_orderkey, round(o_totalprice * 100)::BIGINT AS cents
