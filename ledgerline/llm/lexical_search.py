@@ -282,16 +282,19 @@ def search(index: LexicalIndex, items: DataFrame, k: int = 10, most_bytes: int =
     spark = items.sparkSession
     numbered = stored(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "text"), "lexical-items")
     found: DataFrame | None = None
+    scratch: list[DataFrame] = []
     for part in _parts(numbered, most_bytes):
-        now = _search_part(spark, index, part, k)
+        now = _search_part(spark, index, part, k, scratch)
         found = now if found is None else found.union(now)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "rid")
     ranked = found.where("score > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     best = stored(ranked, "lexical-best")
+    discard(*scratch)
     return numbered.select("item", "item_id").join(F.broadcast(best) if best.count() <= MOST_CANDIDATES else best, "item").select("item_id", "rank", "doc_id", "score")
 
 
-def _search_part(spark: SparkSession, index: LexicalIndex, part: list[tuple[int, str | None]], k: int) -> DataFrame:
+def _search_part(spark: SparkSession, index: LexicalIndex, part: list[tuple[int, str | None]], k: int, scratch: list[DataFrame]) -> DataFrame:
+    """(item, rid, doc_id, score) of a part's candidates; the tables that this reads are added to scratch."""
     terms = Terms()
     asked = [(item, terms(text)[0]) for item, text in part]
     wanted = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *[t for _, t in asked]]))
@@ -311,9 +314,13 @@ def _search_part(spark: SparkSession, index: LexicalIndex, part: list[tuple[int,
     reached = F.when(F.col("held") == k, F.col("least")).otherwise(F.lit(0))
     candidates = stored(bounds.join(F.broadcast(least), "item").where(F.col("high") >= reached).select("item", "rid"), "lexical-candidates")
     discard(bounds)
+    scratch.append(candidates)
     return _scored(index, candidates, candidates.count(), queries)
 
 
 def ranked_search(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
-    """search() over an index of docs that is made for it."""
-    return search(build_index(docs), items, k)
+    """search() over an index of docs that is made for it and deleted once the best are known."""
+    index = build_index(docs)
+    found = search(index, items, k)
+    index.discard()
+    return found
