@@ -17,6 +17,7 @@ from ledgerline.sources import captured
 from ledgerline.sources.changelog import change_log, table
 from ledgerline.sources.scratch import discard, scratch_dir, stored
 from ledgerline.streaming.assembly import Assembler, CapturedPipeline
+from ledgerline.streaming.batching import Batching
 from ledgerline.streaming.delivery import Pipeline, Progress
 from ledgerline.streaming.handoff import Handoff
 from ledgerline.streaming.mirror import MergedMirror
@@ -97,6 +98,18 @@ def q49_merged_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mirror.state()
 
 
+def q58_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of q30, of entries that come in slices which cut batches; at the end the time is past every deadline."""
+    folder, flush = _folder(spark, "batching"), 7_200_000_000
+    log = stored(change_log(spark, sf_dir).select(F.col("source_uuid").alias("source"), "seq", F.unix_micros(F.col("commit_ts").cast("timestamp")).alias("at")), "batching-log")
+    end, late = log.agg(F.coalesce(F.max("seq"), F.lit(0)) + 1, F.coalesce(F.max("at"), F.lit(0))).first()
+    kind = "source string, batch_start bigint, batch_end bigint, n bigint"
+    batches = Batching(Progress(spark, f"{folder}/progress"), f"{folder}/pool", lambda df, name: df.write.mode("overwrite").parquet(f"{folder}/out/{name}"), 50, flush)
+    for i in range(2):
+        batches.deliver(log.where((F.col("seq") >= end * i // 2) & (F.col("seq") < end * (i + 1) // 2)), i, late + flush if i else None)
+    return spark.read.schema(kind).parquet(f"{folder}/out/*").withColumnRenamed("source", "source_uuid")
+
+
 def q51_captured_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders from captured files of some thousand each, every file read in ranges by several tasks."""
     folder = _folder(spark, "captured")
@@ -105,10 +118,11 @@ def q51_captured_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_orders(spark.read.format("captured_log").option("path", folder).option("splitBytes", 1 << 16).load())
 
 
-QUERIES = {f.__name__: f for f in (q47_snapshot_handoff, q48_xa_over_batches, q49_merged_mirror, q51_captured_log)}
+QUERIES = {f.__name__: f for f in (q47_snapshot_handoff, q48_xa_over_batches, q49_merged_mirror, q51_captured_log, q58_stream_batches)}
 ORACLES = {
     "q47_snapshot_handoff": SNAPSHOT["q26_snapshot_then_stream_state"],
     "q48_xa_over_batches": DECODE["q45_xa_committed"],
     "q49_merged_mirror": FLOW["q27_latest_state"],
+    "q58_stream_batches": FLOW["q30_batches_deadline"],
     "q51_captured_log": DECODE["q44_binary_decode"],
 }
