@@ -21,7 +21,9 @@ FEW = 512
 #: The grammar of an entry. Numbers have no sign and no leading zero.
 UUID = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 NUMBER = "[1-9][0-9]*"
-ENTRY = f"^(?i){UUID}(:{NUMBER}(-{NUMBER})?)+$"
+SOURCE, RANGE = rf"^(?i){UUID}\z", rf"^{NUMBER}(-{NUMBER})?\z"
+#: What an entry may have around it.
+BLANKS = " \t\n\x0b\f\r"
 
 
 def normalize(df: DataFrame, keys: tuple[str, ...] = KEYS, span: int = SPAN) -> DataFrame:
@@ -145,10 +147,17 @@ def uncovered(ranges: DataFrame, intervals: DataFrame, keys: tuple[str, ...] = K
 
 def entry_fault(entry: Column) -> Column:
     """Null for a well-formed entry, else why it is refused; never holds any of the entry's text."""
-    trimmed = F.regexp_replace(entry, r"^\s+|\s+$", "")
-    ranges = F.filter(F.split(trimmed, ":"), lambda x: F.regexp_like(x, F.lit(f"^{NUMBER}-{NUMBER}$")))
-    descending = F.exists(ranges, lambda r: F.split(r, "-")[0].cast("decimal(38,0)") > F.split(r, "-")[1].cast("decimal(38,0)"))
-    return F.when(~F.regexp_like(trimmed, F.lit(ENTRY)), F.lit("malformed_entry")).when(descending, F.lit("descending_interval"))
+    # Each part is matched by itself: a pattern over all parts would go as deep as there are parts.
+    parts = F.split(F.trim(entry, F.lit(BLANKS)), ":")
+    malformed = (F.size(parts) < 2) | ~F.regexp_like(F.get(parts, F.lit(0)), F.lit(SOURCE)) | F.exists(_ranges(parts), lambda r: ~F.regexp_like(r, F.lit(RANGE)))
+    ends = F.transform(F.filter(_ranges(parts), lambda r: F.contains(r, F.lit("-"))), lambda r: F.split(r, "-"))
+    descending = F.exists(ends, lambda e: e[0].cast("decimal(38,0)") > e[1].cast("decimal(38,0)"))
+    return F.when(malformed, F.lit("malformed_entry")).when(descending, F.lit("descending_interval"))
+
+
+def _ranges(parts: Column) -> Column:
+    """What follows the source in the parts of an entry."""
+    return F.slice(parts, F.lit(2), F.size(parts))
 
 
 def set_fault(text: Column) -> Column:
@@ -161,8 +170,9 @@ def parse(df: DataFrame, text: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys..., source_uuid, lo, hi) of set texts; white space counts only at the ends of entries. A malformed text fails the query."""
     fault = set_fault(F.col(text))
     whole = F.when(fault.isNotNull(), F.raise_error(F.lit("malformed transaction-id set")).cast("string")).otherwise(F.regexp_replace(F.col(text), r"\s+", ""))
-    entries = df.select(*keys, F.explode(F.filter(F.split(whole, ","), lambda x: F.length(x) > 0)).alias("_entry")).withColumn("_parts", F.split("_entry", ":"))
-    ranges = entries.select(*keys, F.lower(F.col("_parts")[0]).alias("source_uuid"), F.explode(F.slice("_parts", F.lit(2), F.size("_parts"))).alias("_range"))
+    entries = df.select(*keys, F.explode(F.filter(F.split(whole, ","), lambda x: F.length(x) > 0)).alias("_entry"))
+    parted = entries.select(*keys, F.lower(F.substring_index("_entry", ":", 1)).alias("source_uuid"), _ranges(F.split("_entry", ":")).alias("_ranges"))
+    ranges = parted.select(*keys, "source_uuid", F.explode("_ranges").alias("_range"))
     ends = F.split("_range", "-")
     return normalize(ranges.select(*keys, "source_uuid", ends[0].cast("bigint").alias("lo"), F.element_at(ends, -1).cast("bigint").alias("hi")), (*keys, "source_uuid"))
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.functions import gtid
 
@@ -101,3 +102,12 @@ def test_one_source_over_many_spans(spark, monkeypatch, seed):
 def test_white_space_between_entries_parses(spark):
     df = spark.createDataFrame([(f" {U[0]}:1-3:7,\n{U[1].upper()}:2 ",)], "gtid_set string")
     assert gtid.render(gtid.parse(df, "gtid_set")).first()[0] == f"{U[0]}:1-3:7,{U[1]}:2"
+
+
+def test_a_text_of_many_intervals_parses(spark):
+    """One entry of 30,000 intervals, more than a pattern over a whole entry can go through."""
+    text = U[0].upper() + "".join(f":{3 * i + 1}-{3 * i + 2}" for i in range(30_000))
+    parsed = gtid.parse(spark.createDataFrame([(text,)], "gtid_set string"), "gtid_set")
+    assert {(r.source_uuid, r.lo, r.hi) for r in parsed.collect()} == {(U[0], 3 * i + 1, 3 * i + 2) for i in range(30_000)}
+    faults = spark.createDataFrame([(text + ":9-8",), (text + ":07",)], "gtid_set string").select(gtid.set_fault(F.col("gtid_set"))).collect()
+    assert [r[0] for r in faults] == ["descending_interval", "malformed_entry"]
