@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.functions import gtid
-from ledgerline.functions.ordered import DENSE, asof_backward, number_rows
+from ledgerline.functions.ordered import DENSE, ROWS, asof_backward, number_rows
 from ledgerline.sources.scratch import discard, stored
 
 
@@ -37,7 +40,9 @@ def deadline_batches(rows: DataFrame, by: str, at: str, most: int, flush: int) -
 
     A batch closes after the entry that fills it or comes `flush` after its oldest, and before a pause of `flush`. `at` is
     a number that rises strictly. Where a batch would end is found for every possible start, by lookups ahead in the
-    order; which entries really start one follows from the first by doubling steps, so no source is walked in one task.
+    order. A batch goes over at most `most` entries, so only that many may be the first start in a span of ROWS or more; where
+    each of these leaves the span is found within it, and which are real by doubling steps over them. Then every span is
+    walked by itself.
     """
     placed = stored(number_rows(rows.select(by, F.col(at).cast("bigint").alias("at")), [by], "at", "i"), "batch-order")
     placed = placed.withColumn("_back", -F.col("i"))
@@ -47,8 +52,23 @@ def deadline_batches(rows: DataFrame, by: str, at: str, most: int, flush: int) -
     due = ahead.withColumn("_due", -(F.col("at") + flush))
     late = placed.select(by, (-F.col("at")).alias("_late"), F.col("i").alias("late_i"))
     ends = asof_backward(due, late, [by], "_due", "_late", ["late_i"]).withColumn("end_i", F.least(F.col("i") + most - 1, F.col("gap_i"), F.coalesce("late_i", F.col("gap_i"))))
-    ends = stored(ends.select(by, "i", "at", "end_i"), "batch-ends")
-    step, starts, n = ends.select(by, "i", (F.col("end_i") + 1).alias("to")), ends.where("i = 1").select(by, "i"), -1
+    width = max(ROWS, 16 * most)
+    ends = stored(ends.select(by, "i", "at", "end_i", F.floor((F.col("i") - 1) / width).cast("bigint").alias("_span")), "batch-ends")
+    steps = ends.select(by, "_span", "i", (F.col("end_i") + 1).alias("to"))
+    kind = T.StructType([ends.schema[by], *ends.select("i", F.col("i").alias("to")).schema.fields])
+
+    def leaving(part: pa.Table) -> pa.Table:
+        """Where the batches that begin with each of the first `most` entries of a span go on after it."""
+        i, to = _ordered(part)
+        beyond, out = int(i[-1]) + 1, to.tolist()
+        for k in range(len(out) - 1, -1, -1):
+            if out[k] < beyond:
+                out[k] = out[out[k] - int(i[0])]
+        n = min(most, len(out))
+        return pa.table({by: part.column(by).slice(0, n), "i": i[:n], "to": out[:n]})
+
+    step = stored(steps.groupBy(by, "_span").applyInArrow(leaving, kind), "batch-steps")
+    starts, n = step.where("i = 1").select(by, "i"), -1
     while True:
         starts = stored(starts.union(starts.join(step, [by, "i"]).select(by, F.col("to").alias("i"))).distinct(), "batch-starts")
         now = starts.count()
@@ -58,8 +78,32 @@ def deadline_batches(rows: DataFrame, by: str, at: str, most: int, flush: int) -
         further = step.select(by, F.col("i").alias("to"), F.col("to").alias("_to"))
         step = stored(step.join(further, [by, "to"], "left").select(by, "i", F.coalesce("_to", "to").alias("to")), "batch-steps")
     discard(step)
-    begun = starts.join(ends.select(by, "i", "end_i", F.col("at").alias("batch_start")), [by, "i"])
-    return begun.join(ends.select(by, F.col("i").alias("end_i"), F.col("at").alias("batch_end")), [by, "end_i"]).select(by, "batch_start", "batch_end", (F.col("end_i") - F.col("i") + 1).alias("n"))
+
+    def walked(part: pa.Table) -> pa.Table:
+        """The batches that begin in a span, from the one that its first start begins."""
+        i, to = _ordered(part)
+        heads = part.column("_head").to_numpy(zero_copy_only=False)
+        at, first, out = int(i[0]), int(i[0]), []
+        if heads.max() > 0:
+            at, jumps = int(heads.max()), to.tolist()
+            while at - first < len(jumps):
+                out.append(at)
+                at = jumps[at - first]
+        return pa.table({by: pa.repeat(part.column(by)[0], len(out)).cast(part.schema.field(by).type), "i": pa.array(out, pa.int64()), "to": pa.array([int(to[x - first]) for x in out], pa.int64())})
+
+    # Of the starts among the first entries of spans, one is each span's own; the others of it are beyond its end.
+    heads = starts.withColumn("_span", F.floor((F.col("i") - 1) / width).cast("bigint")).groupBy(by, "_span").agg(F.min("i").alias("_head"))
+    begun = steps.join(heads, [by, "_span"], "left").withColumn("_head", F.coalesce("_head", F.lit(0))).groupBy(by, "_span").applyInArrow(walked, kind)
+    begun = stored(begun.select(by, "i", (F.col("to") - 1).alias("end_i")), "batch-begun")
+    firsts = begun.join(ends.select(by, "i", F.col("at").alias("batch_start")), [by, "i"])
+    return firsts.join(ends.select(by, F.col("i").alias("end_i"), F.col("at").alias("batch_end")), [by, "end_i"]).select(by, "batch_start", "batch_end", (F.col("end_i") - F.col("i") + 1).alias("n"))
+
+
+def _ordered(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a span's entries in order, without gaps, and where each would go on."""
+    i, to = part.column("i").to_numpy(), part.column("to").to_numpy()
+    order = np.argsort(i)
+    return i[order], to[order]
 
 
 def latest_state(changes: DataFrame, key: list[str], order: str, columns: list[str], op: str = "op") -> DataFrame:

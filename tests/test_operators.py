@@ -31,6 +31,28 @@ def test_ordered_helpers(spark, span):
     assert got == {(k, at): None if k == "b" or at < 10 else "x" if at < 100 else "y" for k, at, _ in rows}
 
 
+def test_deadline_batches_over_many_spans(spark, monkeypatch):
+    """Sources of many spans, one that ends with a span: as walked one by one, and without a join over all entries a doubling step."""
+    monkeypatch.setattr(delivery, "ROWS", 64)
+    rng = random.Random(9)
+    times = {"x": sorted(rng.sample(range(40_000), 3001)), "y": sorted(rng.sample(range(9000), 640))}
+    kept = []
+    monkeypatch.setattr(delivery, "stored", lambda df, name: kept.append((name, df.count())) or df.localCheckpoint())
+    monkeypatch.setattr(delivery, "discard", lambda *tables: None)
+    df = spark.createDataFrame([(s, t) for s in times for t in times[s]], "s string, at bigint")
+    got = sorted(tuple(r) for r in delivery.deadline_batches(df, "s", "at", 4, 40).collect())
+    want = []
+    for s, ts in times.items():
+        batch = []
+        for i, t in enumerate(ts):
+            batch.append(t)
+            if len(batch) == 4 or t - batch[0] >= 40 or i + 1 == len(ts) or ts[i + 1] - t >= 40:
+                want.append((s, batch[0], batch[-1], len(batch)))
+                batch = []
+    assert got == want
+    assert max(n for name, n in kept if name in ("batch-steps", "batch-starts")) <= 4 * (3001 // 64 + 640 // 64 + 2)
+
+
 @pytest.mark.parametrize("most,flush,seed", [(3, 10, 1), (50, 25, 2), (1, 5, 3), (1000, 1, 4)])
 def test_deadline_batches(spark, most, flush, seed):
     rng = random.Random(seed)
