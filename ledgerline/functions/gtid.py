@@ -55,8 +55,13 @@ def from_points(df: DataFrame, number: str = "gno", keys: tuple[str, ...] = KEYS
     return normalize(df.select(*keys, F.col(number).alias("lo"), F.col(number).alias("hi")), keys)
 
 
-def _sweep(a: DataFrame, b: DataFrame, keys: tuple[str, ...], keep: Column) -> DataFrame:
-    """Boundaries of both sets in order, with how many intervals of each are open; keeps the stretches where `keep` holds."""
+#: Where a stretch lies, by how many intervals of two sets are open.
+ONLY_A, BOTH = "in_a > 0 AND in_b = 0", "in_a > 0 AND in_b > 0"
+
+
+def _swept(a: DataFrame, b: DataFrame, keys: tuple[str, ...], keep: str) -> DataFrame:
+    """Boundaries of both sets in order, with how many intervals of each are open; keeps the stretches where `keep` holds.
+    Stretches may touch."""
     zero, one = F.lit(0), F.lit(1)
     marks = None
     for side, da, db in ((a, one, zero), (b, zero, one)):
@@ -74,7 +79,7 @@ def _sweep(a: DataFrame, b: DataFrame, keys: tuple[str, ...], keep: Column) -> D
     open_ = in_order.rowsBetween(Window.unboundedPreceding, 0)
     local = marks.withColumns({"_ina": F.sum("da").over(open_), "_inb": F.sum("db").over(open_), "_then": F.lead("point").over(in_order)})
     swept = local.join(carried, [*keys, "_span"]).select(*keys, "point", (F.col("_ina") + F.col("_a")).alias("in_a"), (F.col("_inb") + F.col("_b")).alias("in_b"), F.coalesce("_then", "_after").alias("_next"))
-    return normalize(swept.where(keep & F.col("_next").isNotNull()).select(*keys, F.col("point").alias("lo"), (F.col("_next") - 1).alias("hi")), keys)
+    return swept.where(F.expr(keep) & F.col("_next").isNotNull()).select(*keys, F.col("point").alias("lo"), (F.col("_next") - 1).alias("hi"))
 
 
 def union(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -82,11 +87,11 @@ def union(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame
 
 
 def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _sweep(a, b, keys, (F.col("in_a") > 0) & (F.col("in_b") == 0))
+    return normalize(_swept(a, b, keys, ONLY_A), keys)
 
 
 def intersect(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _sweep(a, b, keys, (F.col("in_a") > 0) & (F.col("in_b") > 0))
+    return normalize(_swept(a, b, keys, BOTH), keys)
 
 
 def count_points(a: DataFrame) -> DataFrame:
@@ -96,16 +101,16 @@ def count_points(a: DataFrame) -> DataFrame:
 
 def is_subset(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """One row, `yes`: whether b holds all of a."""
-    return subtract(a, b, keys).agg((F.count(F.lit(1)) == 0).alias("yes"))
+    return _swept(a, b, keys, ONLY_A).agg((F.count(F.lit(1)) == 0).alias("yes"))
 
 
 def is_disjoint(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return intersect(a, b, keys).agg((F.count(F.lit(1)) == 0).alias("yes"))
+    return _swept(a, b, keys, BOTH).agg((F.count(F.lit(1)) == 0).alias("yes"))
 
 
 def is_equal(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Each holds all of the other."""
-    return is_subset(a, b, keys).withColumnRenamed("yes", "one").crossJoin(is_subset(b, a, keys)).select((F.col("one") & F.col("yes")).alias("yes"))
+    return _swept(a, b, keys, "(in_a > 0) <> (in_b > 0)").agg((F.count(F.lit(1)) == 0).alias("yes"))
 
 
 def _holding(rows: DataFrame, intervals: DataFrame, number: str, keys: tuple[str, ...]) -> DataFrame:

@@ -79,6 +79,16 @@ def test_malformed_sets_are_refused(spark):
         gtid.parse(df.limit(1), "gtid_set").collect()
 
 
+def test_comparing_sets_merges_nothing(spark, monkeypatch):
+    """Whether a set holds another is told from the stretches of both, which needn't be merged to be counted."""
+    a = spark.createDataFrame([(U[0], 1, 9), (U[0], 12, 20), (U[1], 5, 5)], KIND)
+    b = spark.createDataFrame([(U[0], 2, 4), (U[0], 13, 20)], KIND)
+    monkeypatch.setattr(gtid, "normalize", lambda *_: pytest.fail("merged"))
+    assert [gtid.is_subset(x, y).first().yes for x, y in ((b, a), (a, b))] == [True, False]
+    assert [gtid.is_disjoint(x, y).first().yes for x, y in ((a, b), (b, spark.createDataFrame([(U[0], 5, 12), (U[1], 2, 4)], KIND)))] == [False, True]
+    assert [gtid.is_equal(x, y).first().yes for x, y in ((a, a), (a, b), (b, a))] == [True, False, False]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_one_source_over_many_spans(spark, monkeypatch, seed):
     """Intervals of one source in spans of 16 numbers, some over many spans, with both ways to find members."""
