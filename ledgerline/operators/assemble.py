@@ -17,9 +17,9 @@ def query_kind(sql: Column, begun: Column) -> Column:
     return F.when(text == "COMMIT", "commit").when((text == "BEGIN") | text.startswith("XA "), "begin").when(begun, "marker").otherwise("ddl")
 
 
-def number_transactions(events: DataFrame, by: str = "source_uuid", at: str = "seq", kind: str = "kind") -> DataFrame:
-    """Adds txn_ix, the running count of transaction ids of the source; 0 before its first."""
-    return running_total(events, [by], at, F.when(F.col(kind) == BEGIN, 1).otherwise(0), "txn_ix", DENSE)
+def number_transactions(events: DataFrame, by: str = "source_uuid", at: str = "seq", kind: str = "kind", span: float = DENSE) -> DataFrame:
+    """Adds txn_ix, the running count of transaction ids of the source; 0 before its first. span: how wide ROWS rows lie in `at`."""
+    return running_total(events, [by], at, F.when(F.col(kind) == BEGIN, 1).otherwise(0), "txn_ix", span)
 
 
 def assemble(changes: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -33,12 +33,12 @@ def assemble(changes: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def order_faults(events: DataFrame, by: str = "source_uuid", at: str = "seq", kind: str = "kind") -> DataFrame:
+def order_faults(events: DataFrame, by: str = "source_uuid", at: str = "seq", kind: str = "kind", span: float = DENSE) -> DataFrame:
     """(by, at, reason): every event that a well-formed stream can't have; a pipeline checks that there is none.
 
     Rows or a terminator outside a transaction, and a transaction id while another transaction is still open.
     """
-    numbered = number_transactions(events, by, at, kind)
+    numbered = number_transactions(events, by, at, kind, span)
     ends = numbered.where(F.col(kind).isin(*TERMINATORS)).groupBy(by, "txn_ix").agg(F.min(at).alias("_end"))
     placed = numbered.join(ends, [by, "txn_ix"], "left")
     outside = (F.col("txn_ix") == 0) | (F.col(at) > F.col("_end"))

@@ -54,7 +54,7 @@ def event_faults(events: DataFrame) -> DataFrame:
     damaged = events.where("fault is not null").select("file", F.col("seq"), F.col("fault").alias("reason"))
     sound = events.where("fault is null")
     strange = sound.where("kind in ('unknown', 'malformed')").select("file", "seq", F.when(F.col("kind") == "unknown", "unknown_event_type").otherwise("xa_prepare_malformed"))
-    order = order_faults(sound, by="file", at=ORDER).select("file", F.shiftright(ORDER, binlog.INNER_BITS).cast("bigint"), "reason")
+    order = order_faults(sound, by="file", at=ORDER, span=binlog.ORDER_SPAN).select("file", F.shiftright(ORDER, binlog.INNER_BITS).cast("bigint"), "reason")
     return damaged.union(strange).union(order)
 
 

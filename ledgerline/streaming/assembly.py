@@ -74,11 +74,12 @@ class Assembler:
         events = capture.placed_events(whole)
         self._halt(capture.event_faults(events))
 
-        last = events.where("txn_ix > 0").groupBy("file").agg(F.max("txn_ix").alias("txn_ix"))
-        ended = events.where(F.col("kind").isin(*TERMINATORS)).select("file", "txn_ix").distinct()
-        unended = stored(last.join(ended, ["file", "txn_ix"], "left_anti"), "assembly-open")
-        open_ = events.join(F.broadcast(unended), ["file", "txn_ix"], "left_semi").select(*told.columns)
-        closed = events.join(F.broadcast(unended), ["file", "txn_ix"], "left_anti")
+        # Transactions that are open may be nearly all, so they are joined, not broadcast, and what they part is stored once.
+        ends = F.max(F.coalesce(F.col("kind").isin(*TERMINATORS), F.lit(False))).alias("_ended")
+        last = events.where("txn_ix > 0").groupBy("file", "txn_ix").agg(ends).groupBy("file").agg(F.max(F.struct("txn_ix", "_ended")).alias("_last"))
+        unended = last.where("not _last._ended").select("file", F.col("_last.txn_ix").alias("txn_ix"), F.lit(True).alias("_open"))
+        parted = stored(events.join(unended, ["file", "txn_ix"], "left").select(*events.columns, "_open"), "assembly-parted")
+        open_, closed = parted.where("_open").select(*told.columns), parted.where("_open is null").drop("_open")
 
         processed = self.progress.read()
         known = [*capture.two_phase_steps(closed).columns]
@@ -93,7 +94,7 @@ class Assembler:
         if self.most_prepared is not None and waits.count() > self.most_prepared:
             raise Halt("xa_prepared_pool_exhausted")
 
-        changes = stored(capture.numbered_changes(closed.select(*events.columns), self.tables), "assembly-changes")
+        changes = stored(capture.numbered_changes(closed, self.tables), "assembly-changes")
         at_once = capture.committed_at_once(closed)
         done = outcomes.where("outcome = 'committed'").select(F.col("prepare_file").alias("file"), F.col("prepare_ix").alias("txn_ix"), "prepare_gtid", "ts")
         here = done.where("txn_ix is not null").select("file", "txn_ix", *capture.id_parts("prepare_gtid"), F.col("ts").alias("commit_ts"))

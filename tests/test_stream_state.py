@@ -269,3 +269,25 @@ def test_a_mirror_reads_few_tables_after_many_deliveries(spark, tmp_path):
     assert {r.k: r.v for r in mirror.lookup(some).collect()} == {k: v for k, v in now.items() if k in (1, 5)}
     mirror(spark.createDataFrame([("a", 99, "insert", "s", "t", 777, 99, 1)], CHANGES), "r~99")
     assert mirror.state().where("k = 777").isEmpty()  # written, not recorded
+
+
+def test_open_transactions_are_not_broadcast(spark, monkeypatch):
+    """What a micro-batch leaves open may be nearly all of it; and spans of a file's order are as wide as rows lie in it."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions
+
+    from ledgerline.plans.decode_queries import prepared_order_events
+    from ledgerline.sources import binlog
+    from ledgerline.streaming import assembly
+
+    spans = []
+    faults = capture.order_faults
+    monkeypatch.setattr(assembly, "F", SimpleNamespace(**{**vars(functions), "broadcast": lambda _: pytest.fail("broadcast")}))
+    monkeypatch.setattr(capture, "order_faults", lambda *a, **k: spans.append(k.get("span")) or faults(*a, **k))
+    events = prepared_order_events(spark, "/root/testdata/sf0.001").where("file in ('1', '2', '4', '15')")
+    shared = f"{spark.conf.get('spark.checkpoint.dir')}/unbroadcast"
+    whole = assembly.Assembler(spark, f"{shared}/pool", assembly.Progress(spark, f"{shared}/progress"), [("shop", "orders")])
+    step = whole.step(events.where("seq < 3"), "run")
+    assert step.carried["open"].count() == 12 and step.changes.isEmpty()
+    assert spans == [binlog.ORDER_SPAN]
