@@ -299,6 +299,17 @@ def test_pooling_in_chunks_sees_every_window():
     assert np.allclose(whole, toxicity.pooled_over(toxicity.Encoder(tables, most=60), words, chunk=7))
 
 
+def test_workers_hold_no_rows_of_untrained_buckets():
+    import numpy as np
+
+    texts = [[b"bad" if i % 2 else b"good", b"word", f"once{i}".encode()] for i in range(40)]
+    net = toxicity.train_net([toxicity.bucket_ids(t, {}) for t in texts], np.arange(40) % 2)
+    rows, places = net.packed()
+    assert len(rows) < 100 and len(net.projections()) == toxicity.BUCKETS
+    for words in texts[:3]:
+        assert (toxicity.pooled_over(toxicity.Encoder(rows, places=places), words) == toxicity.pooled_over(toxicity.Encoder(net.projections()), words)).all()
+
+
 def test_training_in_segments_sees_every_window():
     import numpy as np
 
