@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import struct
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,54 +111,87 @@ def read_orders(raw: DataFrame) -> DataFrame:
     return changes.select("op", F.col("r.id").alias("o_orderkey"), F.col("r.status").alias("o_orderstatus"), F.col("r.cents").alias("cents"), F.col("r.day").alias("day"))
 
 
+def _laid(kind: int, body: bytes, at: int = 0) -> bytes:
+    """An event as _event() has it, for what is laid out in tasks."""
+    head = struct.pack("<IBIIIH", at, kind, 1, len(body) + 23, 0, 0) + body
+    return head + struct.pack("<I", zlib.crc32(head))
+
+
+def _laid_row(key: int, status: str | None, cents: int | None, day: dt.date | None) -> bytes:
+    """The rows event of an order, with a bit for each value that is null."""
+    said = (status or "").encode()
+    values = [struct.pack("<q", key), None if status is None else bytes([len(said)]) + said, None if cents is None else struct.pack("<q", cents)]
+    values.append(None if day is None else (day.year * 512 + day.month * 32 + day.day).to_bytes(3, "little"))
+    nulls = sum(1 << i for i, v in enumerate(values) if v is None)
+    return _laid(30, bytes.fromhex("090000000000 0000 0200 04 0F") + bytes([nulls]) + b"".join(v for v in values if v is not None))
+
+
 def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(name, content) of captured files: a table map and the orders of 5,000 keys each."""
-    rows = _orders(spark, sf_dir).select(F.floor(F.col("o_orderkey") / 5000).alias("part"), "o_orderkey", F.hex(_rows_event()).alias("raw"))
-    files = rows.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "raw"))).alias("events"))
-    content = F.unhex(F.concat(F.lit("FE62696E"), F.hex(_event(19, _raw(ORDERS_MAP))), F.array_join(F.transform("events", lambda e: e["raw"]), "")))
-    return files.select(F.format_string("orders.%06d", "part").alias("name"), content.alias("content"))
+    head = binlog.MAGIC + _laid(19, bytes.fromhex(ORDERS_MAP))
+
+    def file(part: pa.Table) -> pa.Table:
+        rows = sorted(zip(*[part.column(c).to_pylist() for c in ("o_orderkey", "o_orderstatus", "cents", "day")]), key=lambda r: r[0])
+        return pa.table({"name": [f"orders.{part.column('part')[0].as_py():06}"], "content": pa.array([head + b"".join(_laid_row(*r) for r in rows)], pa.binary())})
+
+    return _orders(spark, sf_dir).withColumn("part", F.floor(F.col("o_orderkey") / 5000)).groupBy("part").applyInArrow(file, "name string, content binary")
 
 
 SID = "00112233445566778899AABBCCDDEEFF"
 UUID = "00112233-4455-6677-8899-aabbccddeeff"
 
 
-def _gtid(n: Column) -> Column:
-    return _event(33, F.concat(_raw("01" + SID), _bytes(n, 8), _raw("00" * 17)))
+def _laid_gtid(n: int) -> bytes:
+    return _laid(33, bytes.fromhex("01" + SID) + struct.pack("<q", n) + bytes(17))
 
 
-def _statement(sql: Column, at: Column) -> Column:
-    return _event(2, F.concat(_raw("01000000 00000000 04 0000 0000"), F.lit("shop").cast("binary"), _raw("00"), sql.cast("binary")), at=at)
+def _laid_statement(sql: str, at: int) -> bytes:
+    return _laid(2, bytes.fromhex("01000000 00000000 04 0000 0000") + b"shop\0" + sql.encode(), at)
 
 
-def prepared_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured files (path, events) of an order in two phases, a file an order: prepared as 2k unless its key ends in 9, ended as 2k + 1
-    by a commit (status F) or a rollback (O); of those that end in 4 the prepare comes twice, and of those that end in 5 it
-    is in one phase, so that it commits at once. Keys of 19, 39 and so on were found prepared at start."""
-    key = F.col("o_orderkey")
-    gtrid, digit = F.concat(F.lit("order-"), key.cast("string")), key % 10
-    xid = F.concat(F.lit("X'"), F.lower(F.hex(gtrid.cast("binary"))), F.lit("',X'62',7"))
-    begin = [_gtid(key * 2), _statement(F.concat(F.lit("XA START "), xid), F.lit(50)), _event(19, _raw(ORDERS_MAP)), _rows_event()]
-    body = F.concat(_bytes(F.when(digit == 5, 1).otherwise(0), 1), _bytes(F.lit(7), 4), _bytes(F.octet_length(gtrid), 4), _bytes(F.lit(1), 4), gtrid.cast("binary"), _raw("62"))
-    prepare = F.array(*begin, _event(38, body, at=F.lit(100)))
-    verb = F.when(F.col("o_orderstatus") == "F", "XA COMMIT ").otherwise("XA ROLLBACK ")
-    end = F.array(_gtid(key * 2 + 1), _statement(F.concat(verb, xid), F.lit(1000) + digit))
-    none = F.array().cast("array<binary>")
-    first = F.when(digit == 9, none).otherwise(_once(prepare, lambda p: F.when(digit == 4, F.concat(p, p)).otherwise(p)))
-    events = F.concat(first, F.when((F.col("o_orderstatus") == "P") | (digit == 5), none).otherwise(end))
-    return _orders(spark, sf_dir).select(key.cast("string").alias("path"), events.alias("events"))
+def _prepared(key: int, status: str | None, cents: int | None, day: dt.date | None) -> list[bytes]:
+    """The events of an order in two phases: prepared as 2k unless its key ends in 9, ended as 2k + 1 by a commit (status F) or
+    a rollback (O); of those that end in 4 the prepare comes twice, and of those that end in 5 it is in one phase, so that it
+    commits at once. Keys of 19, 39 and so on were found prepared at start."""
+    gtrid, digit = b"order-%d" % key, key % 10
+    xid = f"X'{gtrid.hex()}',X'62',7"
+    out = []
+    if digit != 9:
+        body = struct.pack("<BIII", digit == 5, 7, len(gtrid), 1) + gtrid + b"b"
+        out = [_laid_gtid(key * 2), _laid_statement(f"XA START {xid}", 50), _laid(19, bytes.fromhex(ORDERS_MAP)), _laid_row(key, status, cents, day), _laid(38, body, 100)]
+    if digit == 4:
+        out *= 2
+    if status != "P" and digit != 5:
+        out += [_laid_gtid(key * 2 + 1), _laid_statement(f"XA {'COMMIT' if status == 'F' else 'ROLLBACK'} {xid}", 1000 + digit)]
+    return out
+
+
+def _each_prepared(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    for row in zip(*[batch.column(c).to_pylist() for c in ("o_orderkey", "o_orderstatus", "cents", "day")]):
+        yield str(row[0]), _prepared(*row)
 
 
 def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events of prepared_order_files(), read back from the files' bytes."""
-    content = F.unhex(F.concat(F.lit("FE62696E"), F.array_join(F.transform("events", lambda e: F.hex(e)), "")))
-    return capture.captured_events(prepared_order_files(spark, sf_dir).select("path", content.alias("content")))
+    """The events of _prepared() of each order, read back from the bytes of a file an order."""
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(path, binlog.MAGIC + b"".join(events)) for path, events in _each_prepared(batch)]
+            yield pa.RecordBatch.from_pydict({"path": pa.array([p for p, _ in made], pa.string()), "content": pa.array([c for _, c in made], pa.binary())})
+
+    return capture.captured_events(_orders(spark, sf_dir).mapInArrow(files, "path string, content binary"))
 
 
 def prepared_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file, seq, raw) of each event of prepared_order_files()."""
-    each = prepared_order_files(spark, sf_dir).select(F.col("path").alias("file"), F.posexplode("events").alias("seq", "raw"))
-    return each.withColumn("seq", F.col("seq").cast("bigint"))
+    """(file, seq, raw) of each event of _prepared() of each order."""
+
+    def events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(path, k, raw) for path, each in _each_prepared(batch) for k, raw in enumerate(each)]
+            columns = {"file": pa.string(), "seq": pa.int64(), "raw": pa.binary()}
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(columns.values())], names=list(columns))
+
+    return _orders(spark, sf_dir).mapInArrow(events, binlog.EVENT_SCHEMA)
 
 
 def recovered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -371,11 +371,12 @@ def _value(b: bytes, at: int, kind: str, args: tuple) -> tuple[object, int]:
     return dt.time(n >> 12, n >> 6 & 63, n & 63, micro).isoformat(), at
 
 
-def row_changes(kind: int, body: bytes, m: dict) -> list[tuple[str, str | None, str | None]]:
-    """(op, before, after) of each row of a row event, images as JSON objects; absent columns are left out."""
+def row_changes(kind: int, body: bytes, m: dict, columns: list[tuple] | None = None) -> list[tuple[str, str | None, str | None]]:
+    """(op, before, after) of each row of a row event, images as JSON objects; absent columns are left out.
+    columns, if given, are the map's, read before."""
     op, at = ROW_EVENTS[kind], 8 + int.from_bytes(body[8:10], "little")
     n, at = _packed(body, at)
-    width, columns = (n + 7) // 8, _columns(m)
+    width, columns = (n + 7) // 8, columns or _columns(m)
     masks = []
     for _ in range(2 if op == "update" else 1):
         masks.append([c for i, c in enumerate(columns) if body[at + i // 8] >> i % 8 & 1])
@@ -424,7 +425,7 @@ def decode_changes(events: DataFrame, tables: list[tuple[str, str]] | None = Non
         named = named.where(hit)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, dict] = {}
+        known: dict[bytes, tuple[dict, list[tuple]]] = {}
         for batch in batches:
             out = []
             for r in batch.to_pylist():
@@ -432,9 +433,11 @@ def decode_changes(events: DataFrame, tables: list[tuple[str, str]] | None = Non
                     raise ValueError("unmapped_table_id")
                 if len(known) > 10_000:
                     known.clear()
-                m = known.setdefault(r["map_body"], None) or table_map(r["map_body"])
-                known[r["map_body"]] = m
-                out += [(r["file"], r["seq"], r["inner"], i, m["schema"], m["table"], *c) for i, c in enumerate(row_changes(r["type"], r["body"], m))]
+                if r["map_body"] not in known:
+                    m = table_map(r["map_body"])
+                    known[r["map_body"]] = m, _columns(m)
+                m, columns = known[r["map_body"]]
+                out += [(r["file"], r["seq"], r["inner"], i, m["schema"], m["table"], *c) for i, c in enumerate(row_changes(r["type"], r["body"], m, columns))]
             names = [x.split()[0] for x in CHANGE_SCHEMA.split(", ")]
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.string()] * 5)
             yield _batch(out, *zip(names, kinds))

@@ -162,3 +162,20 @@ def test_wrapped_values_of_json():
 def test_what_is_no_json_is_refused_without_its_bytes(raw):
     with pytest.raises(ValueError, match="^(json_malformed|unsupported_json_type)$"):
         binary_json.json_text(raw, binlog._decimal)
+
+
+def test_columns_of_a_map_are_read_once(monkeypatch):
+    types, meta, names, unsigned = [3, 3], b"", ["id", "v"], b"\0"
+    m = binlog.table_map(w.table_map_body(1, "s", "t", types, meta, names, unsigned))
+    columns = binlog._columns(m)
+    monkeypatch.setattr(binlog, "_columns", lambda _: pytest.fail("read again"))
+    body = w.rows_body(1, 2, [b"\0" + (5).to_bytes(4, "little") + (6).to_bytes(4, "little")])
+    assert [(op, json.loads(after)) for op, _, after in binlog.row_changes(30, body, m, columns)] == [("insert", {"id": 5, "v": 6})]
+
+
+def test_rows_laid_out_in_tasks_equal_those_of_columns(spark, sf_dir):
+    from ledgerline.plans import decode_queries as d
+
+    orders = d._orders(spark, sf_dir).limit(200)
+    for r in orders.select("*", d._rows_event().alias("raw")).collect():
+        assert d._laid_row(r.o_orderkey, r.o_orderstatus, r.cents, r.day) == bytes(r.raw)
