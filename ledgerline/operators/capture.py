@@ -6,41 +6,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.functions.ordered import running_total
 from ledgerline.operators.assemble import classify_ddl, order_faults
 from ledgerline.operators.delivery import xid_digest
-from ledgerline.sources import binlog
-from ledgerline.sources.scratch import discard, stored
+from ledgerline.sources import binlog, records
+from ledgerline.sources.scratch import stored
 
 ORDER = "_order"
 
 
-def captured_events(files: DataFrame) -> DataFrame:
-    """The events of files (path, content), payloads expanded, with their kind, transaction number and order in the file.
+def captured_events(files: DataFrame, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+    """The records (records.RECORDS) of files (path, content), payloads expanded, each file read once in its order.
 
-    A statement before its transaction began commits itself: its kind is ddl. The events are stored, so that what reads them
-    doesn't split and inflate the files again; discard() deletes them.
+    A statement before its transaction began commits itself. tables, if given, are those whose rows are read. The records are
+    stored, so that what reads them doesn't read the files again; discard() deletes them.
     """
-    told = stored(told_events(binlog.split_events(files)), "captured-kinds")
-    whole = placed_events(told)
-    discard(told)
-    return whole
+    return stored(records.file_records(files, tables), "captured-records")
 
 
-def told_events(raw: DataFrame) -> DataFrame:
-    """Raw events (file, seq, raw), payloads expanded, with their kind and their order in the file; not yet by transaction."""
-    events = binlog.open_events(raw)
-    said = F.when(F.col("type") == binlog.QUERY, binlog.statement_of(F.col("body")))
-    return events.withColumn("_said", said).withColumn("kind", binlog.kind_of(F.col("type"), F.col("_said.sql"), F.col("body"))).withColumn(ORDER, binlog.place())
+def told_events(raw: DataFrame, open_: DataFrame | None = None) -> DataFrame:
+    """Raw events (file, seq, raw), with those (records.EVENT) that earlier ones left open, as placed_events() takes them."""
+    return records.to_read(raw, open_)
 
 
-def placed_events(told: DataFrame) -> DataFrame:
-    """Told events with txn_ix, the running number of transactions in their file, as a stored table."""
-    numbered = running_total(told, ["file"], ORDER, F.when(F.col("kind") == "gtid", 1).otherwise(0), "txn_ix", span=binlog.ORDER_SPAN)
-    begun = numbered.where("kind = 'begin'").groupBy("file", "txn_ix").agg(F.min(ORDER).alias("_begun"))
-    placed = numbered.join(begun, ["file", "txn_ix"], "left")
-    own = F.coalesce(F.col(ORDER) < F.col("_begun"), F.lit(True))
-    return stored(placed.withColumn("kind", F.when(F.col("kind") == "statement", F.when(own, "ddl").otherwise("marker")).otherwise(F.col("kind"))).drop("_begun"), "captured-events")
+def placed_events(told: DataFrame, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+    """The records of told events, as a stored table. txn_ix is the running number of transactions in their file."""
+    return stored(records.event_records(told, tables), "captured-records")
 
 
 def capture_faults(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
@@ -50,12 +40,11 @@ def capture_faults(events: DataFrame, recovered: DataFrame | None = None) -> Dat
 
 
 def event_faults(events: DataFrame) -> DataFrame:
-    """(file, seq, reason) of each damaged or unknown event and each break of order."""
-    damaged = events.where("fault is not null").select("file", F.col("seq"), F.col("fault").alias("reason"))
-    sound = events.where("fault is null")
-    strange = sound.where("kind in ('unknown', 'malformed')").select("file", "seq", F.when(F.col("kind") == "unknown", "unknown_event_type").otherwise("xa_prepare_malformed"))
-    order = order_faults(sound, by="file", at=ORDER, span=binlog.ORDER_SPAN).select("file", F.shiftright(ORDER, binlog.INNER_BITS).cast("bigint"), "reason")
-    return damaged.union(strange).union(order)
+    """(file, seq, reason) of each damaged or unknown event and each break of order. A file that one task reads tells its
+    breaks itself; those of a file of several spans are found by the marks it left."""
+    marks = events.where("kind = 'mark'").select("file", (F.shiftleft("seq", binlog.INNER_BITS) + F.col("inner")).alias(ORDER), F.col("verb").alias("kind"))
+    order = order_faults(marks, by="file", at=ORDER, span=binlog.ORDER_SPAN).select("file", F.shiftright(ORDER, binlog.INNER_BITS).cast("bigint"), "reason")
+    return events.where("kind = 'fault'").select("file", "seq", "reason").union(order)
 
 
 def outcome_faults(outcomes: DataFrame) -> DataFrame:
@@ -64,10 +53,6 @@ def outcome_faults(outcomes: DataFrame) -> DataFrame:
     return odd.select("file", F.shiftright("at", binlog.INNER_BITS).cast("bigint").alias("seq"), F.col("outcome").alias("reason"))
 
 
-def _ids(events: DataFrame) -> DataFrame:
-    return events.where("kind = 'gtid'").select("file", "txn_ix", binlog.gtid_of(F.col("body")).alias("gtid"))
-
-
 def prepared_outcomes(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
     """(digest, file, at, txn_ix, gtid, prepare_file, prepare_ix, prepare_gtid, ts, outcome) of each step of a two-phase
     transaction, by its digest, as resolve_steps() has it. Files follow each other by name.
@@ -77,14 +62,8 @@ def prepared_outcomes(events: DataFrame, recovered: DataFrame | None = None) ->
 
 def two_phase_steps(events: DataFrame) -> DataFrame:
     """(digest, verb, file, at, txn_ix, gtid, ts) of each prepare, and of each commit or rollback of a prepared transaction."""
-    ended = events.where("fault is null and kind in ('xa_prepare', 'xa_resolve')")
-    prepare, end = binlog.prepare_of(F.col("body")), binlog.resolution_of(F.col("_said.sql"))
-    xid = F.when(F.col("kind") == "xa_prepare", F.struct(*[prepare[c].alias(c) for c in ("format_id", "gtrid", "bqual")])).otherwise(F.struct(*[end[c].alias(c) for c in ("format_id", "gtrid", "bqual")]))
-    steps = ended.withColumn("_xid", xid).select(
-        xid_digest(F.col("_xid.format_id"), F.col("_xid.gtrid"), F.col("_xid.bqual")).alias("digest"),
-        F.when(F.col("kind") == "xa_prepare", "prepare").otherwise(end["verb"]).alias("verb"), "file", F.col(ORDER).alias("at"), "txn_ix", F.timestamp_seconds("timestamp").alias("ts"),
-    )
-    return steps.join(_ids(events), ["file", "txn_ix"]).select("digest", "verb", "file", "at", "txn_ix", "gtid", "ts")
+    at = F.shiftleft("seq", binlog.INNER_BITS) + F.col("inner")
+    return events.where("kind in ('xa_prepare', 'xa_resolve')").select("digest", "verb", "file", at.alias("at"), "txn_ix", "gtid", F.timestamp_seconds("timestamp").alias("ts"))
 
 
 def resolve_steps(steps: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
@@ -127,8 +106,7 @@ def committed(events: DataFrame, recovered: DataFrame | None = None) -> DataFram
 
 def committed_at_once(events: DataFrame) -> DataFrame:
     """(file, txn_ix, source_uuid, gno, commit_ts) of the transactions that ended in one phase."""
-    ends = events.where(F.col("kind").isin("xid", "commit", "ddl")).groupBy("file", "txn_ix").agg(F.min_by(F.timestamp_seconds("timestamp"), F.col(ORDER)).alias("commit_ts"))
-    return _ids(events).join(ends, ["file", "txn_ix"]).select("file", "txn_ix", *id_parts("gtid"), "commit_ts")
+    return events.where("kind = 'done'").select("file", "txn_ix", *id_parts("gtid"), F.timestamp_seconds("timestamp").alias("commit_ts"))
 
 
 def id_parts(gtid: str) -> list[Column]:
@@ -157,16 +135,22 @@ def committed_changes(events: DataFrame, tables: list[tuple[str, str]] | None =
 
 
 def numbered_changes(events: DataFrame, tables: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(file, txn_ix, change_ix, schema, table, op, before, after) of all changes of the tables, committed or not."""
-    changes = binlog.decode_changes(events.drop("_said", "kind", ORDER, "txn_ix"), tables)
-    where = events.where("kind = 'rows'").select("file", "seq", "inner", "txn_ix")
-    return changes.join(where, ["file", "seq", "inner"]).select("file", "txn_ix", F.struct("seq", "inner", "change_ix").alias("change_ix"), "schema", "table", "op", "before", "after")
+    """(file, txn_ix, change_ix, schema, table, op, before, after) of all changes of the tables, committed or not. A row event
+    that couldn't be read fails the query."""
+    changes = events.where("kind = 'change'")
+    if tables is not None:
+        hit = F.col("schema").isNull()  # without a table map, so it fails below
+        for s, t in tables:
+            hit = hit | ((F.col("schema") == s) & (F.col("table") == t))
+        changes = changes.where(hit)
+    sound = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason")).cast("boolean")).otherwise(True)
+    return changes.where(sound).select("file", "txn_ix", F.struct("seq", "inner", "change_ix").alias("change_ix"), "schema", "table", "op", "before", "after")
 
 
 def schema_changes(events: DataFrame) -> DataFrame:
     """(source_uuid, gno, kind, schema, table) of each statement that commits itself; its text goes no further."""
-    ddl = events.where("kind = 'ddl'").select("file", "txn_ix", classify_ddl(F.col("_said.sql"), F.col("_said.schema")).alias("_c"))
-    return ddl.join(committed(events), ["file", "txn_ix"]).select("source_uuid", "gno", "_c.kind", "_c.schema", F.col("_c.table").alias("table"))
+    ddl = events.where("kind = 'ddl'").select(*id_parts("gtid"), classify_ddl(F.col("after"), F.col("schema")).alias("_c"))
+    return ddl.select("source_uuid", "gno", "_c.kind", "_c.schema", F.col("_c.table").alias("table"))
 
 
 def stream_files(spark: SparkSession, folder: str) -> DataFrame:

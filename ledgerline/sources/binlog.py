@@ -11,7 +11,7 @@ import decimal
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ ROW_EVENTS = {30: "insert", 31: "update", 32: "delete"}
 PASSED = (3, 27, ROWS_QUERY, 35)
 KNOWN = (QUERY, ROTATE, FORMAT, XID, TABLE_MAP, GTID, XA_PREPARE, PAYLOAD, *ROW_EVENTS, *PASSED)
 HEADER, CHECKSUM = 19, 4
+_SIZE = struct.Struct("<I")
 #: A payload may inflate to so many bytes.
 MOST_INFLATED = 1 << 30
 
@@ -47,23 +48,37 @@ def little(body: Column, at: Column | int, n: int) -> Column:
     return F.conv(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(n))]), 16, 10).cast("bigint")
 
 
+def raw_events(content: bytes) -> Iterator[bytes]:
+    """The bytes of each event of a captured file, in order."""
+    at = len(MAGIC) if content.startswith(MAGIC) else 0
+    while at < len(content):
+        whole = at + HEADER <= len(content)
+        size = max(_SIZE.unpack_from(content, at + 9)[0], HEADER) if whole else len(content) - at
+        yield content[at : at + size]
+        at += size
+
+
 def split_events(files: DataFrame) -> DataFrame:
     """(file, seq, raw) of each event of captured files (path, content), in file order. A cut last event comes as it is."""
 
     def events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                at, rows = len(MAGIC) if content.startswith(MAGIC) else 0, []
-                while at < len(content):
-                    size = struct.unpack_from("<I", content, at + 9)[0] if at + HEADER <= len(content) else 0
-                    size = max(size, HEADER) if at + HEADER <= len(content) else len(content) - at
-                    rows.append((path, len(rows), content[at : at + size]))
-                    at += size
+                rows = [(path, k, raw) for k, raw in enumerate(raw_events(content))]
                 yield _batch(rows, ("file", pa.string()), ("seq", pa.int64()), ("raw", pa.binary()))
 
     return files.select("path", "content").mapInArrow(events, EVENT_SCHEMA)
 
 
+def values(column: pa.Array, absent: int | None = None) -> list:
+    """to_pylist() without an object a value where that can be had. absent, if given, stands for null numbers."""
+    if column.null_count and pa.types.is_integer(column.type):
+        if absent is None:
+            return column.to_pylist()
+        column = column.fill_null(absent)
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _batch(rows: list[tuple], *fields: tuple[str, pa.DataType]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
@@ -147,19 +162,6 @@ def place() -> Column:
     return F.when(fits, F.shiftleft(F.col("seq"), INNER_BITS) + F.col("inner")).otherwise(F.raise_error(F.lit("too_many_events")).cast("bigint"))
 
 
-def prepare_of(body: Column) -> Column:
-    """struct(one_phase, format_id, gtrid, bqual) of a prepare event; null if its lengths don't add up."""
-    lengths = [little(body, at, 4) for at in (2, 6, 10)]
-    whole = F.length(body) == 13 + lengths[1] + lengths[2]
-    return F.when(
-        whole,
-        F.struct(
-            (little(body, 1, 1) == 1).alias("one_phase"), lengths[0].alias("format_id"), F.substring(body, F.lit(14), lengths[1].cast("int")).alias("gtrid"),
-            F.substring(body, (lengths[1] + 14).cast("int"), lengths[2].cast("int")).alias("bqual"),
-        ),
-    )
-
-
 def resolution_of(sql: Column) -> Column:
     """struct(verb, format_id, gtrid, bqual) of the statement that ends a prepared transaction; null for any other text."""
     text = F.trim(sql)
@@ -168,17 +170,6 @@ def resolution_of(sql: Column) -> Column:
     return F.when(part[0] != "", F.struct(F.lower(part[0]).alias("verb"), part[3].cast("bigint").alias("format_id"), F.unhex(part[1]).alias("gtrid"), F.unhex(part[2]).alias("bqual")))
 
 
-def kind_of(type_: Column, sql: Column, body: Column) -> Column:
-    """The event's part in a transaction. A prepare in one phase commits; a statement that ends a prepared one resolves it."""
-    text = F.upper(F.trim(sql))
-    return (
-        F.when(type_ == GTID, "gtid").when(type_ == XID, "xid").when(type_.isin(*ROW_EVENTS), "rows").when(type_ == TABLE_MAP, "table_map")
-        .when(type_ == QUERY, F.when(text == "COMMIT", "commit").when(resolution_of(sql).isNotNull(), "xa_resolve").when((text == "BEGIN") | text.startswith("XA "), "begin").otherwise("statement"))
-        .when(type_ == XA_PREPARE, F.when(prepare_of(body).isNull(), "malformed").when(little(body, 1, 1) == 1, "commit").otherwise("xa_prepare"))
-        .when(type_.isin(*KNOWN), "other").otherwise("unknown")
-    )
-
-
 def inflate(payload: bytes) -> bytes:
     """The bytes of a compressed-payload body; ValueError with a reason that holds none of them."""
     at, fields = 0, {}
@@ -271,7 +262,7 @@ def table_map(body: bytes) -> dict:
 
 
 def _columns(m: dict) -> list[tuple]:
-    """(name, kind, arguments) of each column."""
+    """The name as it stands in JSON, and what reads a value, of each column."""
     meta, at, out, sets, enums, numeric = bytes.fromhex(m["meta"]), 0, [], iter(m["sets"]), iter(m["enums"]), 0
     unsigned = bytes.fromhex(m["unsigned"])
     if len(m["names"]) != len(m["types"]):
@@ -300,7 +291,7 @@ def _columns(m: dict) -> list[tuple]:
             kind, args, at = {17: "timestamp", 18: "datetime", 19: "time"}[t], (meta[at],), at + 1
         else:
             raise ValueError("unsupported_column_type")  # its width is unknown, so nothing after it can be read
-        out.append((name, kind, args))
+        out.append((f"{json.dumps(name)}: ", _reading(kind, args)))
     return out
 
 
@@ -333,17 +324,38 @@ class _Json(str):
     """JSON text that is a value as it stands."""
 
 
-def _value(b: bytes, at: int, kind: str, args: tuple) -> tuple[object, int]:
+def _reading(kind: str, args: tuple) -> Callable[[bytes, int], tuple[str, int]]:
+    """What reads a value of a column at a place: as JSON, and the place after it. The kinds that most columns have come first."""
     if kind == "int":
-        return int.from_bytes(b[at : at + args[0]], "little", signed=args[1]), at + args[0]
+        size, signed = args
+        return lambda b, at: (repr(int.from_bytes(b[at : at + size], "little", signed=signed)), at + size)
+    quote = json.encoder.encode_basestring_ascii
+    if kind == "text":
+        wide = args[0]
+
+        def text(b: bytes, at: int) -> tuple[str, int]:
+            start = at + wide
+            end = start + int.from_bytes(b[at:start], "little")
+            return quote(b[start:end].decode("utf-8", "backslashreplace")), end
+
+        return text
+
+    def any_(b: bytes, at: int) -> tuple[str, int]:
+        value, at = _value(b, at, kind, args)
+        return value if isinstance(value, _Json) else json.dumps(value), at
+
+    return any_
+
+
+def _value(b: bytes, at: int, kind: str, args: tuple) -> tuple[object, int]:
     if kind == "decimal":
         return _decimal(b, at, *args)
-    if kind in ("text", "bytes", "json"):
+    if kind in ("bytes", "json"):
         size, at = int.from_bytes(b[at : at + args[0]], "little"), at + args[0]
         value = b[at : at + size]
         if kind == "json":
             return _Json(json_text(value, _decimal)), at + size
-        return value.decode("utf-8", "backslashreplace") if kind == "text" else value.hex(), at + size
+        return value.hex(), at + size
     if kind in ("enum", "set"):
         size, members = args
         n, at = int.from_bytes(b[at : at + size], "little"), at + size
@@ -379,17 +391,24 @@ def row_changes(kind: int, body: bytes, m: dict, columns: list[tuple] | None = N
     width, columns = (n + 7) // 8, columns or _columns(m)
     masks = []
     for _ in range(2 if op == "update" else 1):
-        masks.append([c for i, c in enumerate(columns) if body[at + i // 8] >> i % 8 & 1])
+        mask = int.from_bytes(body[at : at + width], "little")
+        masks.append(columns if not ~mask & (1 << n) - 1 and n == len(columns) else [c for i, c in enumerate(columns) if mask >> i & 1])
         at += width
-    images = []
-    while at < len(body):
+    images, size = [], len(body)
+    while at < size:
         present = masks[len(images) % len(masks)]
-        nulls, at = body[at : at + (len(present) + 7) // 8], at + (len(present) + 7) // 8
+        end = at + (len(present) + 7) // 8
+        nulls, at = int.from_bytes(body[at:end], "little"), end
         image = []
-        for i, (name, how, args) in enumerate(present):
-            value, at = (None, at) if nulls[i // 8] >> i % 8 & 1 else _value(body, at, how, args)
-            image.append(f"{json.dumps(name)}: {value if isinstance(value, _Json) else json.dumps(value)}")
+        for i, (name, read) in enumerate(present):
+            if nulls and nulls >> i & 1:
+                image.append(name + "null")
+            else:
+                value, at = read(body, at)
+                image.append(name + value)
         images.append("{" + ", ".join(image) + "}")
+    if at > size:
+        raise ValueError("row_image_malformed")  # it says more than it holds
     if op == "update":
         return [(op, a, b) for a, b in zip(images[::2], images[1::2])]
     return [(op, None, x) if op == "insert" else (op, x, None) for x in images]

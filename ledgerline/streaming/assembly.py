@@ -15,16 +15,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import gtid
 from ledgerline.operators import capture
-from ledgerline.operators.assemble import TERMINATORS
 from ledgerline.sources import binlog
+from ledgerline.sources.records import EVENT
 from ledgerline.sources.scratch import released, stored
 from ledgerline.streaming.delivery import Halt, Pipeline, Progress
 from ledgerline.streaming.pool import Pool
 
-TOLD = (
-    "file string, seq bigint, fault string, type int, timestamp bigint, server_id bigint, log_pos bigint, flags int, body binary, inner bigint, "
-    "_said struct<schema:string,sql:string>, kind string, _order bigint"
-)
 STEPS = "digest string, verb string, file string, at bigint, txn_ix bigint, gtid string, ts timestamp"
 CHANGES = "gtid string, change_ix struct<seq:bigint,inner:bigint,change_ix:int>, schema string, table string, op string, before string, after string"
 OUT = ["source_uuid", "gno", "change_ix", "commit_ts", "schema", "table", "op", "before", "after"]
@@ -65,25 +61,18 @@ class Assembler:
 
     @cached_property
     def pool(self) -> Pool:
-        return Pool(self.spark, self.path, self.progress, {"open": TOLD, "prepared": STEPS, "changes": CHANGES, "used": "digest string"})
+        return Pool(self.spark, self.path, self.progress, {"open": EVENT, "prepared": STEPS, "changes": CHANGES, "used": "digest string"})
 
     def step(self, raw: DataFrame, run: str) -> Step:
         held, writer = self.pool.read()
-        told = capture.told_events(raw).select(*[c.split()[0] for c in ("file, seq, fault, type, timestamp, server_id, log_pos, flags, body, inner, _said, kind, _order").split(", ")])
-        whole = stored(told.union(held["open"].select(*told.columns)) if writer == run else told, "assembly-told")
-        events = capture.placed_events(whole)
+        events = capture.placed_events(capture.told_events(raw, held["open"] if writer == run else None), self.tables)
         self._halt(capture.event_faults(events))
-
-        # Transactions that are open may be nearly all, so they are joined, not broadcast, and what they part is stored once.
-        ends = F.max(F.coalesce(F.col("kind").isin(*TERMINATORS), F.lit(False))).alias("_ended")
-        last = events.where("txn_ix > 0").groupBy("file", "txn_ix").agg(ends).groupBy("file").agg(F.max(F.struct("txn_ix", "_ended")).alias("_last"))
-        unended = last.where("not _last._ended").select("file", F.col("_last.txn_ix").alias("txn_ix"), F.lit(True).alias("_open"))
-        parted = stored(events.join(unended, ["file", "txn_ix"], "left").select(*events.columns, "_open"), "assembly-parted")
-        open_, closed = parted.where("_open").select(*told.columns), parted.where("_open is null").drop("_open")
+        open_ = events.where("kind = 'open'").select(*[c.split()[0] for c in EVENT.split(", ")])
 
         processed = self.progress.read()
-        known = [*capture.two_phase_steps(closed).columns]
-        fresh = gtid.non_members(capture.two_phase_steps(closed).select("*", *capture.id_parts("gtid")), processed).select(*known)
+        steps = capture.two_phase_steps(events)
+        known = steps.columns
+        fresh = gtid.non_members(steps.select("*", *capture.id_parts("gtid")), processed).select(*known)
         if not self.two_phase and not fresh.isEmpty():
             raise Halt("unsupported_transaction_shape")
         found = self._recovered().join(held["used"], "digest", "left_anti")
@@ -94,15 +83,15 @@ class Assembler:
         if self.most_prepared is not None and waits.count() > self.most_prepared:
             raise Halt("xa_prepared_pool_exhausted")
 
-        changes = stored(capture.numbered_changes(closed, self.tables), "assembly-changes")
-        at_once = capture.committed_at_once(closed)
+        changes = capture.numbered_changes(events, self.tables)
+        at_once = capture.committed_at_once(events)
         done = outcomes.where("outcome = 'committed'").select(F.col("prepare_file").alias("file"), F.col("prepare_ix").alias("txn_ix"), "prepare_gtid", "ts")
         here = done.where("txn_ix is not null").select("file", "txn_ix", *capture.id_parts("prepare_gtid"), F.col("ts").alias("commit_ts"))
         now = changes.join(at_once.union(here), ["file", "txn_ix"]).select(*OUT)
         before = held["changes"].join(done.where("txn_ix is null").select(F.col("prepare_gtid").alias("gtid"), F.col("ts").alias("commit_ts")), "gtid").withColumns(
             dict(zip(("source_uuid", "gno"), capture.id_parts("gtid")))
         )
-        ddl = capture.schema_changes(closed)
+        ddl = capture.schema_changes(events)
         stated = ddl.join(at_once.select("source_uuid", "gno", "commit_ts"), ["source_uuid", "gno"]).select(
             "source_uuid", "gno", F.lit(None).cast("struct<seq:bigint,inner:bigint,change_ix:int>").alias("change_ix"), "commit_ts", "schema", "table", F.lit("schema").alias("op"),
             F.lit(None).cast("string").alias("before"), F.col("kind").alias("after"),
