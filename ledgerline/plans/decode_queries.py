@@ -181,7 +181,7 @@ def _each_prepared(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
         yield str(row[0]), _prepared(*row)
 
 
-def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepared_orders(spark: SparkSession, sf_dir: str, tables: list[tuple[str, str]]) -> DataFrame:
     """The records of the events of _prepared() of each order, read back from the bytes of a file an order."""
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +189,7 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             made = [(path, binlog.MAGIC + b"".join(events)) for path, events in _each_prepared(batch)]
             yield pa.RecordBatch.from_pydict({"path": pa.array([p for p, _ in made], pa.string()), "content": pa.array([c for _, c in made], pa.binary())})
 
-    return capture.captured_events(_orders(spark, sf_dir).mapInArrow(files, "path string, content binary"))
+    return capture.captured_events(_dealt_orders(spark, sf_dir).mapInArrow(files, "path string, content binary"), tables)
 
 
 def prepared_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,14 +211,14 @@ def recovered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q45_xa_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = [("shop", "orders")]
-    changes = capture.committed_changes(prepared_orders(spark, sf_dir), tables, recovered_orders(spark, sf_dir))
+    changes = capture.committed_changes(prepared_orders(spark, sf_dir, tables), tables, recovered_orders(spark, sf_dir))
     image = F.from_json("after", "id bigint, cents bigint")
     return changes.select("source_uuid", "gno", F.unix_seconds("commit_ts").alias("committed_at"), image["id"].alias("o_orderkey"), image["cents"].alias("cents"))
 
 
 def q46_xa_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each step of a two-phase transaction and what it came to, with how many ids are done in all."""
-    events, recovered = prepared_orders(spark, sf_dir), recovered_orders(spark, sf_dir)
+    events, recovered = prepared_orders(spark, sf_dir, [("shop", "orders")]), recovered_orders(spark, sf_dir)
     steps = capture.prepared_outcomes(events, recovered).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum(F.split("gtid", ":")[1].cast("bigint")).alias("ids"))
     done = capture.processed_points(events, recovered).agg(F.lit("done").alias("outcome"), F.count(F.lit(1)).alias("n"), F.sum("gno").alias("ids"))
     return steps.union(done)

@@ -79,3 +79,12 @@ def test_orders_are_dealt_over_tasks(spark, sf_dir):
 
     plan = d._dealt_orders(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [o_orderkey" in plan
+
+
+def test_events_are_dealt_once_where_files_come_whole(spark, sf_dir):
+    from ledgerline.plans import decode_queries as d
+
+    events = d.prepared_orders(spark, sf_dir, [("app", "other")])
+    assert events.where("kind = 'change'").isEmpty() and not events.where("kind = 'done'").isEmpty()
+    plan = capture.two_phase_steps(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(x in plan for x in ("Join", "Window", "Aggregate"))  # steps are read as they stand
