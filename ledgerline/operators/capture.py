@@ -116,13 +116,18 @@ def id_parts(gtid: str) -> list[Column]:
 
 def processed_points(events: DataFrame, recovered: DataFrame | None = None) -> DataFrame:
     """(source_uuid, gno) of all transactions that are done: a two-phase one's two ids from its resolution on, none before."""
-    return committed(events, recovered).select("source_uuid", "gno").union(resolved_points(prepared_outcomes(events, recovered))).distinct()
+    return done_points(events, prepared_outcomes(events, recovered))
+
+
+def done_points(events: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """processed_points() by the outcomes (gtid, prepare_gtid, outcome) of its steps. What commits in two phases is resolved."""
+    return committed_at_once(events).select("source_uuid", "gno").union(resolved_points(outcomes)).distinct()
 
 
 def resolved_points(outcomes: DataFrame) -> DataFrame:
     """(source_uuid, gno) of both transactions of each resolution: the one that ends it, and the one it was prepared in."""
     done = outcomes.where("outcome in ('committed', 'rolled_back', 'advanced')")
-    return done.select(*id_parts("gtid")).union(done.where("prepare_gtid is not null").select(*id_parts("prepare_gtid")))
+    return done.select(F.explode(F.array_compact(F.array("gtid", "prepare_gtid"))).alias("_id")).select(*id_parts("_id"))
 
 
 def committed_changes(events: DataFrame, tables: list[tuple[str, str]] | None = None, recovered: DataFrame | None = None) -> DataFrame:

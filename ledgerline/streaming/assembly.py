@@ -96,7 +96,7 @@ class Assembler:
             "source_uuid", "gno", F.lit(None).cast("struct<seq:bigint,inner:bigint,change_ix:int>").alias("change_ix"), "commit_ts", "schema", "table", F.lit("schema").alias("op"),
             F.lit(None).cast("string").alias("before"), F.col("kind").alias("after"),
         )
-        points = at_once.select("source_uuid", "gno").union(capture.resolved_points(outcomes)).distinct()
+        points = capture.done_points(events, outcomes)
 
         new_waits = waits.where("txn_ix is not null").select("file", "txn_ix", "gtid")
         kept = changes.join(new_waits, ["file", "txn_ix"]).select("gtid", "change_ix", "schema", "table", "op", "before", "after")

@@ -88,3 +88,10 @@ def test_events_are_dealt_once_where_files_come_whole(spark, sf_dir):
     assert events.where("kind = 'change'").isEmpty() and not events.where("kind = 'done'").isEmpty()
     plan = capture.two_phase_steps(events)._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("Join", "Window", "Aggregate"))  # steps are read as they stand
+
+
+def test_outcomes_of_steps_are_found_once_for_what_is_done(spark):
+    events = captured(spark, file([gtid(1), query(f"XA START {xa('x')}"), prepared("x"), gtid(2), query(f"XA COMMIT {xa('x')}"), gtid(3), query("BEGIN"), XID]))
+    points = capture.processed_points(events)
+    assert sorted(r.gno for r in points.collect()) == [1, 2, 3]
+    assert points._jdf.queryExecution().optimizedPlan().toString().count("lag(") == 1
